@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import bpe, mixing, mpeg_ts, quality_rules, simhash, url_filter, warc
+from postlode.llm import bpe, common, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -20,6 +20,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def _classified(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", (~common.training_row(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _classified(toxicity.score(docs, toxicity.train(docs, labels)), 0.5)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.apply_rules(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
@@ -53,5 +67,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_url_filter, op5_bpe, op6_simhash, op7_warc, op8_mpeg_ts, op9_mixing)}
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _classified(quality_model.score(docs, quality_model.train(docs, labels)), 0.3)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_bpe, op6_simhash, op7_warc, op8_mpeg_ts, op9_mixing, op10_quality_model)}
 ORACLES: dict[str, str] = {}
