@@ -1,10 +1,6 @@
 """Named queries over the tables of a folder, and the SQL that gives the same rows."""
 
-from __future__ import annotations
+from postlode.catalogue import on_postings, on_tables
+from postlode.catalogue.base import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "on_postings", "on_tables"]
