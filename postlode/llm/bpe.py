@@ -196,34 +196,36 @@ def tokenizer(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): one row for each row of docs; ids are packed little-endian unsigned 32-bit numbers.
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keep..., ids): one row for each row of docs; ids are packed little-endian unsigned 32-bit numbers.
 
-    Null and empty texts have no ids; repeated rows stay; texts are encoded whole.
+    path is the tokenizer's file, which every executor can open. Null and
+    empty texts have no ids; repeated rows stay; texts are encoded whole.
     """
-    named = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"{named.schema.simpleString()[7:-1].split(',text:')[0].replace(':', ' ', 1)}, ids binary"
+    named = docs.select(F.col(id_col).alias("_id"), *keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    fields = [f for f in named.schema if f.name != "_text"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "ids binary"])
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in slices(batches, "text", 2 << 20):
-            ids = bpe.encode(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field(0).type), pa.array(ids, pa.binary())], schema=out)
+        for batch in slices(batches, "_text", 2 << 20):
+            ids = bpe.encode(batch.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name).cast(out.field(f.name).type) for f in fields), pa.array(ids, pa.binary())], schema=out)
 
-    return named.mapInArrow(run, schema)
+    return named.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, ids, decoded): the text of packed ids as `encode` gives them; null ids decode to an empty text."""
-    named = encoded.select(id_col, "ids")
-    schema = f"{named.schema.simpleString()[7:-1].split(',ids:')[0].replace(':', ' ', 1)}, ids binary, decoded string"
+    named = encoded.select(F.col(id_col).alias("_id"), F.col("ids").alias("_ids"))
+    schema = f"_id {named.schema['_id'].dataType.simpleString()}, _ids binary, decoded string"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in slices(batches, "ids", 2 << 20):
-            texts = [bpe.decode(x or b"") for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field(0).type), batch.column("ids").cast(pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())], schema=out)
+        for batch in slices(batches, "_ids", 2 << 20):
+            texts = [bpe.decode(x or b"") for x in batch.column("_ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field(0).type), batch.column(1).cast(pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())], schema=out)
 
-    return named.mapInArrow(run, schema)
+    return named.mapInArrow(run, schema).withColumnsRenamed({"_id": id_col, "_ids": "ids"})

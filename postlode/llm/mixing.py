@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlode.llm.common import checkpointed, stored, word_count
@@ -55,16 +55,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     sizes = stored(docs.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
     targets = source_targets(sizes, weights, most).withColumnRenamed("source", "_source")
+    joined = sizes.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    return joined.withColumn("copies", _copies(F.col(id_col), most, seed))
+
+
+def _copies(doc_id: Column, most: float, seed: int) -> Column:
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
-    joined = sizes.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    return joined.withColumn("copies", (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long"))
+    return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1) -> DataFrame:
+    """The rows of docs with all their columns, each as often as mix() takes it.
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it; ids must be unique."""
-    id_col = options.get("id_col", "doc_id")
-    copies = mix(docs, **options).where("copies > 0").select(F.col(id_col).alias("_mixed"), "copies")
-    repeated = docs.join(copies, docs[id_col] == copies["_mixed"])
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[repeated[c] for c in docs.columns])
+    Only the targets of the sources are joined, so texts move only where the
+    sources are too many to be broadcast.
+    """
+    sizes = stored(docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
+    targets = source_targets(sizes, weights, most).select(F.col("source").alias("_source"), "source_size", "target")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_own"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    joined = rows.join(targets, F.col("_own").eqNullSafe(F.col("_source")), "left").withColumn("_copies", _copies(F.col("_id"), most, seed))
+    return joined.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")

@@ -157,20 +157,20 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     return Model({w: float(x) for w, x in zip(chosen, weights, strict=True) if abs(x) > 1e-3}, bias, leak)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, offending): one row for each row of docs.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keep..., text, score, offending): one row for each row of docs.
 
     offending are the sentences (start, end in characters, score) that alone
-    reach 0.5. Null and empty texts have the leak's score.
+    reach 0.5. Null texts stay null; they and empty ones have the leak's score.
     """
-    named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"id {named.schema['id'].dataType.simpleString()}, score double, offending array<struct<start:int,end:int,score:double>>"
+    named = docs.select(F.col(id_col).alias("_id"), *keep, F.col(text_col).alias("_text"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema), "score double, offending array<struct<start:int,end:int,score:double>>"])
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, frozenset[str]] = {}
-        for batch in slices(batches, "text"):
-            found = [model.score(t, cache) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(out.field("id").type), pa.array([s for s, _ in found], pa.float64()), pa.array([b for _, b in found], out.field("offending").type)], schema=out)
+        for batch in slices(batches, "_text"):
+            found = [model.score(t or "", cache) for t in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(batch.columns, out, strict=False)), pa.array([s for s, _ in found], pa.float64()), pa.array([b for _, b in found], out.field("offending").type)], schema=out)
 
-    return named.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return named.mapInArrow(run, schema).withColumnsRenamed({"_id": id_col, "_text": text_col})
