@@ -73,4 +73,37 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_bpe, op6_simhash, op7_warc, op8_mpeg_ts, op9_mixing, op10_quality_model)}
-ORACLES: dict[str, str] = {}
+
+#: Words by place for each row of documents.
+ROWS = r"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents), w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d)"""
+QUALITY_SQL = ROWS + r""", lines AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM (SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w))),
+r AS (SELECT rid, count(DISTINCT i + k) AS n FROM g, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY rid),
+f AS (SELECT w.rid, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words FROM w JOIN lines ON lines.rid = w.rid LEFT JOIN r ON r.rid = w.rid),
+x AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS bad FROM x GROUP BY source),
+m AS (SELECT avg(bad / n) AS mean, var_pop(bad / n) AS v FROM h),
+q AS (SELECT mean, CASE WHEN v > 1e-12 THEN greatest(mean * (1 - mean) / v - 1, 0) ELSE 1e6 END AS s FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND (bad + mean * s) / (n + s) <= 0.5 AS kept FROM x JOIN h ON h.source IS NOT DISTINCT FROM x.source, q"""
+REPEATS_SQL = ROWS + r""", p AS (SELECT rid, i, w[i] AS word, array_to_string(w[i : i + 34], ' ') AS run, i + 34 <= len(w) AS whole FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+s AS (SELECT rid, i, CASE WHEN whole THEN count(*) OVER (PARTITION BY whole, run) ELSE 0 END > 1 AS again FROM p),
+c AS (SELECT rid, i, max(again::INT) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) = 1 AS gone FROM s),
+k AS (SELECT p.rid, count(*) FILTER (WHERE gone) AS n, string_agg(word, ' ' ORDER BY p.i) FILTER (WHERE NOT gone) AS kept FROM p JOIN c ON c.rid = p.rid AND c.i = p.i GROUP BY p.rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON k.rid = w.rid"""
+URL_SQL = r"""WITH a AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT unnest(['allow', 'block', 'block', 'allow', 'block']) AS verdict, unnest(['org', 'example.org', 'example.org', 'com', 'com']) AS h, unnest(['/', '/es/', '/en/1', '/fr/', '/de/']) AS p),
+m AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict FROM a JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT a.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM a LEFT JOIN m ON m.page_id = a.page_id"""
+WARC_SQL = r"""WITH a AS (SELECT page_id, coalesce(html, '') AS h FROM pages), f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first, unhex(sha1(h))::BIT::VARCHAR AS b FROM a)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + 16 * (substr(b, 5 * i + 1, 1) = '1')::INT + 8 * (substr(b, 5 * i + 2, 1) = '1')::INT + 4 * (substr(b, 5 * i + 3, 1) = '1')::INT + 2 * (substr(b, 5 * i + 4, 1) = '1')::INT + (substr(b, 5 * i + 5, 1) = '1')::INT)::INT, 1)), '') AS payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f"""
+MIX_SQL = r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM s),
+o AS (SELECT *, 3.0::DOUBLE * source_size AS most, sum(source_size) OVER ()::DOUBLE AS total, 3.0::DOUBLE * source_size / weight AS ratio FROM w),
+c AS (SELECT *, total - coalesce(sum(most) OVER (ORDER BY ratio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(weight) OVER (ORDER BY ratio ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM o),
+l AS (SELECT rest / free AS share FROM c WHERE rest / free < ratio ORDER BY ratio LIMIT 1),
+t AS (SELECT source, source_size, least(coalesce(share, 1e300) * weight, most) AS target FROM o LEFT JOIN l ON TRUE),
+r AS (SELECT d.doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0) ELSE 0 END::DOUBLE AS rate, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, source_size, target, ((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM r"""
+#: The others are beyond SQL: trained models, XXH64 and bit votes, merges of a vocabulary, stored streams. Tests hold them against plain versions.
+ORACLES = {"op1_quality_rules": QUALITY_SQL, "op3_substring_dedup": REPEATS_SQL, "op4_url_filter": URL_SQL, "op7_warc": WARC_SQL, "op9_mixing": MIX_SQL}
