@@ -22,7 +22,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below 0.5; the model learns from the labels of the documents given."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
+    scored = toxicity.score(docs, model, keep=COLUMNS[2:])
     return scored.where("score < 0.5").select(*COLUMNS)
 
 

@@ -265,11 +265,13 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     covers goes. The words that stay are joined by one space. spans are the
     maximal repeats as (first word, word after the last). Null and empty texts
     become empty; rows that repeat an id are rows of their own; columns besides
-    the text pass through unchanged.
+    the text pass through unchanged, unless they have the name of a new one,
+    which takes their place.
 
     Runs are compared by 80 bits and the range of two independent hashes.
     """
     spark, block = docs.sparkSession, (window + 1) // 2
+    docs = docs.drop("n_words", "n_removed", "spans")
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES, 1)
     ranges = min(1 << 15, 1 << (wanted - 1).bit_length())

@@ -41,12 +41,12 @@ def corpus():
 @pytest.fixture(scope="module")
 def docs(spark):
     # columns whose names the operators use inside must do no harm
-    return spark.createDataFrame(corpus(), DOCS).repartition(3).withColumns({"host": F.lit(1), "label": F.lit("x"), "id": F.lit(2), "fp": F.lit(3), "size": F.lit(4), "batch_id": F.lit(5)})
+    return spark.createDataFrame(corpus(), DOCS).repartition(3).withColumns({"host": F.lit(1), "label": F.lit("x"), "id": F.lit(2), "fp": F.lit(3), "size": F.lit(4), "batch_id": F.lit(5), "n_words": F.lit(6), "score": F.lit(7), "_row": F.lit(8), "_text": F.lit(9), "_id": F.lit(10), "source_size": F.lit(11), "target": F.lit(12)})
 
 
 @pytest.fixture(scope="module")
 def empty(docs):
-    return docs.where("false").drop("id")
+    return docs.where("false")
 
 
 def words(t):
@@ -54,7 +54,7 @@ def words(t):
 
 
 def test_quality_rules(docs, empty):
-    found = quality_rules.quality_rules(docs.drop("host")).collect()
+    found = quality_rules.quality_rules(docs).collect()
     assert len(found) == len(corpus())
     expected = Counter()
     for i, t, *_ in corpus():
@@ -89,7 +89,7 @@ def plain_targets(sizes):
 
 
 def test_mixing(spark, docs, empty):
-    found = mixing.mix(docs.drop("size")).collect()
+    found = mixing.mix(docs).collect()
     sizes = Counter()
     for _, t, _, s, _ in corpus():
         sizes[s] += len(words(t))
@@ -99,7 +99,7 @@ def test_mixing(spark, docs, empty):
         assert r.source_size == sizes[r.source] and math.isclose(r.target, targets[r.source])
         rate = r.target / r.source_size
         assert math.floor(rate) <= r.copies <= min(3, math.floor(rate) + 1)
-    again = mixing.mix(docs.drop("size").repartition(5)).collect()
+    again = mixing.mix(docs.repartition(5)).collect()
     assert Counter(map(tuple, found)) == Counter(map(tuple, again))
     copies = mixing.mixed_documents(docs)
     assert copies.columns == docs.columns and copies.count() == sum(r.copies for r in found)
@@ -270,7 +270,7 @@ def plain_components(ids, fps, radius):
 
 @pytest.mark.parametrize("tile", [4096, 3])
 def test_simhash(docs, empty, tile):
-    found = simhash.near_duplicates(docs.drop("id", "fp"), tile=tile).collect()
+    found = simhash.near_duplicates(docs, tile=tile).collect()
     rows = corpus()
     fps = [plain_fingerprint(r[1]) for r in rows]
     label = plain_components([r[0] for r in rows], fps, 4)
@@ -357,7 +357,7 @@ def test_transport_stream_counts_lost_packets_and_refuses_damage():
 
 
 def test_media_columns(docs, empty):
-    found = mpeg_ts.read_media(mpeg_ts.store_media(docs.drop("id"))).collect()
+    found = mpeg_ts.read_media(mpeg_ts.store_media(docs)).collect()
     expected = Counter()
     for i, t, *_ in corpus():
         raw = (t or "").encode()
