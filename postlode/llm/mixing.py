@@ -54,7 +54,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     repeat an id draw the same number; a null id draws as an empty one.
     """
     sizes = stored(docs.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    targets = source_targets(sizes, weights, most).withColumnRenamed("source", "_source")
+    targets = stored(source_targets(sizes, weights, most), "targets").withColumnRenamed("source", "_source")
     joined = sizes.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     return joined.withColumn("copies", _copies(F.col(id_col), most, seed))
 
@@ -69,11 +69,12 @@ def _copies(doc_id: Column, most: float, seed: int) -> Column:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1) -> DataFrame:
     """The rows of docs with all their columns, each as often as mix() takes it.
 
-    Only the targets of the sources are joined, so texts move only where the
+    Only the targets of the sources are joined. They are a written table, whose
+    size Spark knows before it plans the join, so texts move only where the
     sources are too many to be broadcast.
     """
     sizes = stored(docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    targets = source_targets(sizes, weights, most).select(F.col("source").alias("_source"), "source_size", "target")
+    targets = stored(source_targets(sizes, weights, most), "targets").select(F.col("source").alias("_source"), "source_size", "target")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_own"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     joined = rows.join(targets, F.col("_own").eqNullSafe(F.col("_source")), "left").withColumn("_copies", _copies(F.col("_id"), most, seed))
     return joined.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")

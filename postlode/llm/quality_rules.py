@@ -78,7 +78,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts = document_counts(docs, id_col, text_col, host_col)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     counts = stored(counts.withColumn("base_failed", failed), "counts")
-    hosts = host_verdicts(counts, max_host_rate).withColumnRenamed("host", "_host")
-    # spark.sql.adaptive broadcasts the hosts if they are measured to be few, and splits a hot host otherwise
+    hosts = stored(host_verdicts(counts, max_host_rate), "hosts").withColumnRenamed("host", "_host")
+    # Spark knows the size of the written hosts: it broadcasts them if they are few, and splits a hot host otherwise
     joined = counts.join(hosts, F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("host_ok"))
