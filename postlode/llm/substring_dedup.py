@@ -273,9 +273,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     spark, block = docs.sparkSession, (window + 1) // 2
     docs = docs.drop("n_words", "n_removed", "spans")
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES, 1)
+    # several ranges for each task even out what tasks get
+    wanted = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES, 1)
     ranges = min(1 << 15, 1 << (wanted - 1).bit_length())
-    batches = packed(docs, text_col, ranges)
+    batches = packed(docs, text_col, max(1, ranges // 4))
     hits = _anchors_hit(_probes(batches, block, ranges)).groupBy("batch_id").agg(F.collect_list("hit").alias("hits"))
     runs = _runs(batches.join(hits, "batch_id"), block, window, ranges)
     places = _repeated(runs).groupBy("batch_id").agg(F.collect_list("at").alias("places"))
