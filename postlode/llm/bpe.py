@@ -121,7 +121,7 @@ class Bpe:
 
     PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
-    def __init__(self, path: str, most_cached: int = 400_000):
+    def __init__(self, path: str, most_cached: int = 250_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, suffix = spec["model"], spec["model"]["end_of_word_suffix"]

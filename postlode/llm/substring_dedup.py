@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from postlode.llm.common import arrow_schema, shared_folder, slices
 
 U = np.uint64
-BATCH_BYTES, RANGE_BYTES = 6 << 20, 12 << 20
+BATCH_BYTES, RANGE_BYTES = 3 << 20, 12 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
