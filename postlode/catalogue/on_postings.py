@@ -190,13 +190,11 @@ def refresh_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def jd_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """benchmark items against the documents that share rare words with them."""
+    """benchmark items against the documents that share a run of words or enough words with them."""
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), similarity.words(F.col("text")).alias("words"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), similarity.words(F.col("text")).alias("words"))
-    pairs = similarity.candidate_pairs(items, docs)
-    joined = pairs.join(items.select(F.col("id").alias("left_id"), F.col("words").alias("a")), "left_id").join(docs.select(F.col("id").alias("right_id"), F.col("words").alias("b")), "right_id")
-    found = joined.withColumn("found", similarity.run_cover("a", "b"))
-    return found.select("left_id", "right_id", "shared", F.round("found.coverage", 6).alias("coverage"), F.round("found.rest_jaccard", 6).alias("rest_jaccard"), similarity.verdict(F.col("found")).alias("verdict"))
+    pairs = similarity.text_pairs(items, docs)
+    return pairs.select("left_id", "right_id", "shared", F.round("found.coverage", 6).alias("coverage"), F.round("found.rest_jaccard", 6).alias("rest_jaccard"), similarity.verdict(F.col("found")).alias("verdict"))
 
 
 @query()

@@ -175,6 +175,26 @@ def test_run_cover(spark):
     assert [r[0] for r in rows.select(similarity.verdict(F.col("f"))).collect()] == ["reuse", "regenerate"]
 
 
+def test_text_pairs_equal_brute_force(spark):
+    rnd = random.Random(5)
+    some = lambda n, k: [f"w{int(k * rnd.random() ** 2)}" for _ in range(n)]
+    queries = [(i, some(rnd.randint(3, 25), 90)) for i in range(12)] + [(12, []), (13, ["a"] * 7)]
+    passage = queries[0][1][:3] + [f"p{i}" for i in range(8)]
+    queries.append((14, passage))
+    texts = [(i, some(rnd.randint(1, 60), 90)) for i in range(150)] + [(150 + i, [*some(30, 90), *passage, *some(30, 90)]) for i in range(60)] + [(210, []), (211, ["b", *["a"] * 8])]
+    schema = "id long, words array<string>"
+    expected = {}
+    for (i, a), (j, b) in itertools.product(queries, texts):
+        found = similarity.cover(a, b)
+        if found[0] or found[1] >= similarity.EDITS:
+            expected[i, j] = (len(set(a) & set(b)), *found)
+    assert all((14, 150 + i) in expected for i in range(60)) and (13, 211) in expected and (12, 210) in expected
+    for held in (100, 4):
+        rows = similarity.text_pairs(spark.createDataFrame(queries, schema), spark.createDataFrame(texts, schema), most_held=held).collect()
+        assert len(rows) == len(expected)
+        assert {(r.left_id, r.right_id): (r.shared, *r.found) for r in rows} == expected
+
+
 def test_language_level(spark):
     texts = ["Fluent German required", "German is a plus", "basic knowledge of German", "We speak French", None, "German. fluent" + " " * 80 + "German"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
