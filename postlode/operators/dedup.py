@@ -8,13 +8,16 @@ of shared keys, so each component of the key graph can be folded by itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import deque
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
+from postlode.llm.common import arrow_schema
 from postlode.operators.components import components
 
 #: What the fold needs of a row besides its keys.
@@ -126,44 +129,70 @@ def mirrors(rows: DataFrame, german: str = r"(?iU)\b(?:der|die|das|und|praktik\w
     return ranked.where((F.col("_ord") != F.col("winner")) & agree & alike).select(F.col("_ord").alias("loser"), "winner")
 
 
-def bucket_fold(rows: DataFrame, keys: list[Column], meets: Callable[[dict, dict], bool], better: Callable[[dict, dict], bool], columns: Sequence[str]) -> DataFrame:
-    """(loser, winner): within each bucket rows meet the first resident that they are compatible with."""
-    named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
-    rows = rows.select("_ord", *columns, *named).where(" AND ".join(f"_k{i} <> ''" for i in range(len(keys))))
-    # rows alone in their bucket cannot meet any
-    alone = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))])
-    rows = rows.withColumn("_n", F.count("*").over(alone)).where("_n > 1")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        residents: list[dict] = []
-        removed = []
-        for row in pdf.sort_values("_ord").to_dict("records"):
-            i = next((i for i, r in enumerate(residents) if meets(row, r)), None)
-            if i is None:
-                residents.append(row)
-            elif better(row, residents[i]):
-                removed.append((residents[i]["_ord"], row["_ord"]))
-                residents.append(row)
-                del residents[i]
-            else:
-                removed.append((row["_ord"], residents[i]["_ord"]))
-        return pd.DataFrame(removed, columns=["loser", "winner"])
+class Residents:
+    """Of one bucket, the rows that stay so far, in order. Rows of one kind (source, country) wait in one queue, so only heads are looked at."""
 
+    def __init__(self) -> None:
+        self.queues: dict[tuple[str, str], deque[tuple[int, int, tuple]]] = {}
+        self.placed = 0
+
+    def meet(self, source: str, country: str, row: int, rank: tuple) -> tuple[int, int] | None:
+        """(loser, winner) of the row and the first resident of another source whose country does not contradict; without one it stays."""
+        heads = (q for (s, c), q in self.queues.items() if s != source and (not country or not c or c == country))
+        first = min(heads, key=lambda q: q[0][0], default=None)
+        if first is None or rank > first[0][2]:
+            lost = first.popleft() if first else None
+            self.queues = {k: q for k, q in self.queues.items() if q} if first is not None and not first else self.queues
+            self.queues.setdefault((source, country), deque()).append((self.placed, row, rank))
+            self.placed += 1
+            return lost and (lost[1], row)
+        return row, first[0][1]
+
+
+def bucket_fold(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(loser, winner) of rows (keys..., source, country, rank, _ord): within equal keys each meets, in order, the residents before it.
+
+    Tasks take rows sorted by key and order, and hold one bucket's residents.
+    """
     kind = rows.schema["_ord"].dataType.simpleString()
-    return rows.groupBy(*[f"_k{i}" for i in range(len(keys))]).applyInPandas(run, f"loser {kind}, winner {kind}")
+    schema = f"loser {kind}, winner {kind}"
+    out = arrow_schema(schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, residents = None, Residents()
+        for batch in batches:
+            removed = []
+            for *key, source, country, bulk, described, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != bucket:
+                    bucket, residents = key, Residents()
+                if (found := residents.meet(source, country, row, (bulk, described))) is not None:
+                    removed.append(found)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*removed, strict=True) if removed else [()] * 2, out, strict=True)], schema=out)
 
-def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:") -> DataFrame:
-    """(loser, winner) among postings of different sources with one title and city, by the same employer."""
-    made = rows.withColumns({"_who": F.array_join(identity(F.col("company")), " "), "_desc": F.coalesce("description", F.lit("")) != "", "_bulk": F.startswith("source", F.lit(bulk_prefix)), "_country": F.coalesce("country_iso", F.lit(""))})
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "_ord")
+    return dealt.select(*keys, "source", "country", "bulk", "described", "_ord").mapInArrow(run, schema)
 
-    def meets(a: dict, b: dict) -> bool:
-        return a["source"] != b["source"] and bool(a["_who"]) and a["_who"] == b["_who"] and (not a["_country"] or not b["_country"] or a["_country"] == b["_country"])
 
-    def better(a: dict, b: dict) -> bool:
-        return (a["_bulk"], a["_desc"]) > (b["_bulk"], b["_desc"])
+def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:") -> DataFrame:
+    """(loser, winner) among postings of different sources with one title and city, by the same employer.
 
-    return bucket_fold(made, [place_key(F.col("location")), title_bag(F.col("title"))], meets, better, ["source", "_who", "_desc", "_bulk", "_country"])
+    Where all rows of a bucket rank alike, none takes another's place, so the
+    first row of each source and country decides for all of its kind. Only
+    buckets whose rows differ in rank are replayed row by row.
+    """
+    keys, kind = ["_place", "_title", "_who"], ["source", "country"]
+    made = rows.select(
+        place_key(F.col("location")).alias("_place"), title_bag(F.col("title")).alias("_title"), F.array_join(identity(F.col("company")), " ").alias("_who"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("country_iso", F.lit("")).alias("country"),
+        F.coalesce(F.startswith("source", F.lit(bulk_prefix)), F.lit(False)).alias("bulk"), (F.coalesce("description", F.lit("")) != "").alias("described"), "_ord",
+    ).where(" AND ".join(f"{k} <> ''" for k in keys))
+    rank = F.struct("bulk", "described")
+    kinds = made.groupBy(*keys, *kind).agg(F.min("_ord").alias("_ord"), F.min(rank).alias("least"), F.max(rank).alias("most"))
+    mixed = kinds.groupBy(*keys).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b").select(*keys, (F.col("least") != F.col("most")).alias("_mixed"))
+    alike = kinds.join(mixed.where("NOT _mixed"), keys, "left_semi").select(*keys, *kind, "least.*", "_ord")
+    # a kind whose first row goes has each of its rows go with the same winner
+    lost = kinds.join(bucket_fold(alike, keys).withColumnRenamed("loser", "_ord"), "_ord").select(*keys, *kind, "winner")
+    plain = made.join(lost, [*keys, *kind]).select(F.col("_ord").alias("loser"), "winner")
+    return plain.unionByName(bucket_fold(made.join(mixed.where("_mixed"), keys, "left_semi"), keys))
 
 
 def wildcard_pairs(rows: DataFrame, anywhere: Column) -> DataFrame:

@@ -124,6 +124,40 @@ def test_cross_source_and_wildcard(spark):
     assert sorted(map(tuple, dedup.wildcard_pairs(four, F.col("location") == "any").collect())) == [(0, 2), (1, 3)]
 
 
+def plain_cross_source(rows):
+    """(loser, winner) by scanning all residents for each (_ord, bucket, source, country, bulk, described)."""
+    removed, residents = [], []
+    for row in sorted(rows):
+        i = next((i for i, r in enumerate(residents) if r[1] == row[1] and r[2] != row[2] and (not r[3] or not row[3] or r[3] == row[3])), None)
+        if i is None:
+            residents.append(row)
+        elif row[4:] > residents[i][4:]:
+            removed.append((residents[i][0], row[0]))
+            residents.append(row)
+            del residents[i]
+        else:
+            removed.append((row[0], residents[i][0]))
+    return sorted(removed)
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_cross_source_equals_plain_fold(spark, alike):
+    rnd = random.Random(9)
+    made = [(i, rnd.choice("xxxyz"), rnd.choice(["a", "b", "bulk:c"] if not alike else "abc"), rnd.choice(["", "de", "fr", "de"]), alike or rnd.random() < 0.6) for i in range(600)]
+    rows = spark.createDataFrame([posting(i, title="Data", company=who, source=s, country_iso=c, description="d" if d else None) for i, who, s, c, d in made], POSTING)
+    expected = plain_cross_source([(i, who, s, c, s.startswith("bulk:"), d) for i, who, s, c, d in made])
+    assert sorted(map(tuple, dedup.cross_source(rows.repartition(3)).collect())) == expected
+
+
+def test_cross_source_of_a_hot_bucket_meets_kinds_not_rows():
+    """A source whose rows never meet makes one queue of any length: twice the rows, twice the work."""
+    residents = dedup.Residents()
+    for i in range(200_000):
+        assert residents.meet("a", "de", i, (False, True)) is None
+    assert list(map(len, residents.queues.values())) == [200_000]
+    assert residents.meet("b", "", 200_000, (False, True)) == (200_000, 0)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(1, 30)] + [(100, 101)], "a long, b long")
     found = {r.node: r.component for r in components(edges).collect()}
