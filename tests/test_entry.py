@@ -6,9 +6,11 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from postlode import catalogue
+from postlode.operators import similarity
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -45,3 +47,10 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_distinctive_topics_are_in_no_document(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(similarity.words(F.col("text")))
+    known = {w for r in docs.collect() for w in r[0]}
+    found = {r.w for r in entry.queries()["distinctive_topics"](spark, SF).collect()}
+    assert found and not found & known
