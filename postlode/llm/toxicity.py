@@ -53,10 +53,10 @@ class Model:
 
     def logits(self, text: str, cache: dict[str, frozenset[str]]) -> Iterator[tuple[int, int, float]]:
         """(start, end, logit) of each sentence with a feature of the model; cache: features of words met before."""
-        lower = text.lower()
-        for m in SENTENCE.finditer(lower if len(lower) == len(text) else text):
+        # lower case can be longer, but has the same sentences: no character becomes or ceases to be an end of one
+        for m, lower in zip(SENTENCE.finditer(text), SENTENCE.findall(text.lower()), strict=True):
             hit: set[str] = set()
-            for word in TOKEN.findall(m[0]):
+            for word in TOKEN.findall(lower):
                 if found := cache[word] if word in cache else self.known(word, cache):
                     hit |= found
             if hit:

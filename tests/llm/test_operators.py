@@ -162,6 +162,13 @@ def test_noisy_or():
     assert [t["start"] for t in model.score("bad a. fine. so bad", {})[1]] == [0, 12]
 
 
+def test_toxicity_of_capitals_beside_a_letter_that_grows():
+    model = toxicity.Model({"bad$": 2.0}, -1.0, -3.0)
+    plain, bad = model.score("so BAD. fine", {})
+    score, grown = model.score("\u0130\u0130. so BAD. fine", {})
+    assert score == plain and [(x["start"], x["end"]) for x in grown] == [(3, 10)] and [(x["start"], x["end"]) for x in bad] == [(0, 6)]
+
+
 def plain_repeats(texts, n):
     starts = Counter()
     for t in texts:
