@@ -25,8 +25,8 @@ from postlode.llm.common import arrow_schema, stored
 CHUNKS = "record_id string, chunk_no int, last boolean, data binary"
 RECORDS = "id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-#: Room for the WARC header of one record: it must lie in the first chunk.
-HEADER_BYTES = 1 << 16
+#: A record's headers lie in its first chunk up to so many bytes; longer ones run over chunks of that size.
+HEADER_BYTES = 1 << 20
 
 
 def base32(sha1: bytes) -> str:
@@ -34,8 +34,8 @@ def base32(sha1: bytes) -> str:
 
 
 def header(page: str, url: str | None, record_id: str, digest: str, payload_bytes: int, refers_to: str | None) -> bytes:
-    """The lines before a record's block. Urls are quoted, and cut where they would outgrow the header."""
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{record_id}>", f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%~')[: HEADER_BYTES // 2]}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-Id: {page}", f"X-Payload-Bytes: {payload_bytes}", "Content-Type: application/http; msgtype=response"]
+    """The lines before a record's block. Urls are quoted."""
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{record_id}>", f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%~')}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-Id: {page}", f"X-Payload-Bytes: {payload_bytes}", "Content-Type: application/http; msgtype=response"]
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {refers_to}"]
     lines.append(f"Content-Length: {len(HTTP) + (payload_bytes if refers_to is None else 0)}")
@@ -78,9 +78,12 @@ def write_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                 head = header(page, urls[i], record, base32(bytes.fromhex(digests[i])), len(body), refers[i]) + HTTP
                 body = body if refers[i] is None else body[:0]
                 places = range(0, max(1, len(body)), chunk_bytes)
-                for k, start in enumerate(places):
-                    data, last = bytes(body[start : start + chunk_bytes]), k == len(places) - 1
-                    data = (head if k == 0 else b"") + data + (b"\r\n\r\n" if last else b"")
+                # of a long header all but the last piece are chunks without payload
+                heads = [head[i : i + HEADER_BYTES] for i in range(0, len(head), HEADER_BYTES)]
+                pieces = [(h, None) for h in heads[:-1]] + [(heads[-1] if start == 0 else b"", start) for start in places]
+                for k, (before, start) in enumerate(pieces):
+                    data, last = b"" if start is None else bytes(body[start : start + chunk_bytes]), k == len(pieces) - 1
+                    data = before + data + (b"\r\n\r\n" if last else b"")
                     ready.append((record, k, last, data))
                     held += len(data)
                     if held >= 4 << 20:
@@ -93,16 +96,24 @@ def write_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 class Reader:
-    """One record, fed with its chunks in order. It keeps a digest and counts, never the payload."""
+    """One record, fed with its chunks in order. It keeps the headers, a digest and counts, never the payload."""
 
     def __init__(self) -> None:
         self.fields: dict[str, str] | None = None
+        self.head, self.seen = bytearray(), 0
 
     def feed(self, data: bytes) -> None:
         if self.fields is None:
-            end = data.index(b"\r\n\r\n") + 4
+            self.head += data
+            # the blank lines that end the WARC header and the HTTP header
+            first = self.head.find(b"\r\n\r\n", self.seen)
+            end = first + 4
+            second = self.head.find(b"\r\n\r\n", end) if first >= 0 else -1
+            if second < 0:
+                self.seen = first if first >= 0 else max(0, len(self.head) - 3)
+                return
+            start, data, self.head = second + 4, bytes(self.head), bytearray()
             self.fields = dict(line.split(": ", 1) for line in data[:end].decode().split("\r\n")[1:-2])
-            start = data.index(b"\r\n\r\n", end) + 4
             self.left = int(self.fields["Content-Length"]) - (start - end)
             self.payload_bytes, self.digest = self.left, hashlib.sha1()
             data = memoryview(data)[start:]
@@ -111,7 +122,8 @@ class Reader:
         self.left -= len(own)
 
     def result(self) -> tuple:
-        f = self.fields or {}
+        if (f := self.fields) is None:
+            raise ValueError("damaged record without the end of its header")
         revisit = f["WARC-Type"] == "revisit"
         digest, stated = base32(self.digest.digest()), f["WARC-Payload-Digest"].removeprefix("sha1:")
         if self.left or not revisit and digest != stated:

@@ -332,6 +332,29 @@ def test_warc(spark, least, chunk):
     assert warc.read_records(warc.write_records(frame.where("false"))).count() == 0
 
 
+def test_warc_keeps_long_urls_whole(spark):
+    urls = ["http://a/" + "x" * (3 << 20) + end for end in "bcd"]
+    rows = [(1, urls[0], "y" * 2500), (2, urls[1], "y" * 2500), (3, urls[2], "")]
+    table = warc.write_records(spark.createDataFrame(rows, "page_id long, url string, html string"), chunk_bytes=1000)
+    assert [tuple(r)[:2] + (r.record_type,) for r in warc.read_records(table).orderBy("id").collect()] == [("1", 2500, "response"), ("2", 2500, "revisit"), ("3", 0, "response")]
+    chunks = table.orderBy("record_id", "chunk_no").collect()
+    assert max(len(c.data) for c in chunks) <= warc.HEADER_BYTES + 1004
+    readers = {}
+    for c in chunks:
+        readers.setdefault(c.record_id, warc.Reader()).feed(bytes(c.data))
+    assert {r.fields["X-Page-Id"]: r.fields["WARC-Target-URI"] for r in readers.values()} == {str(i): u for i, u, _ in rows}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7])
+def test_warc_header_over_pieces_of_any_size(size):
+    digest = warc.base32(hashlib.sha1(b"a\r\n\r\nb").digest())
+    data = warc.header("1", "http://a", "r", digest, 6, None) + warc.HTTP + b"a\r\n\r\nb\r\n\r\n"
+    reader = warc.Reader()
+    for i in range(0, len(data), size):
+        reader.feed(data[i : i + size])
+    assert reader.result() == ("1", 6, digest, "response", None)
+
+
 def test_warc_notices_damage(spark):
     table = warc.write_records(pages(spark)[1], chunk_bytes=1000)
     for bad in (table.where("NOT (chunk_no = 1)"), table.withColumn("data", F.when(F.col("chunk_no") == 1, F.overlay("data", F.lit(b"zz"), F.lit(5))).otherwise(F.col("data")))):
