@@ -27,14 +27,14 @@ def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates, the row with the smallest doc_id.
+    """Of each component of near-duplicates one row: that with the smallest doc_id, rows without one last, then by a hash of the row.
 
-    Of rows that repeat a doc_id one stays. Rows without a doc_id cannot be
-    told apart by one, and stay.
+    Rows are told apart by that hash, so a repeated or missing doc_id neither
+    loses a text nor keeps a copy.
     """
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    row = F.unhex(F.sha1(F.to_json(F.struct(*COLUMNS))))
+    kept = simhash.representatives(docs, row)
+    return docs.select(*COLUMNS, row.alias("_row")).join(kept.withColumnRenamed("row", "_row"), "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def remove_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlode.llm.common import arrow_schema, checkpointed, slices, stored
@@ -41,16 +41,17 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(bits * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp): the fingerprint's 64 bits as a signed long, for each row; null texts count as empty."""
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = "id long, fp long"
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, row: Column | None = None) -> DataFrame:
+    """(id, fp): the fingerprint's 64 bits as a signed long, for each row; null texts count as empty. With `row`, that binary too."""
+    more = [] if row is None else [row.alias("row")]
+    named = docs.select(F.col(id_col).cast("long").alias("id"), *more, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = "id long, row binary, fp long" if more else "id long, fp long"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], schema=out)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(out.field(c).type) for c in out.names[:-1]), pa.array(fps.view(np.int64))], schema=out)
 
     return named.mapInArrow(run, schema)
 
@@ -183,6 +184,24 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("labels still change")
 
 
+def _rooted(classes: DataFrame, radius: int, tile: int) -> DataFrame:
+    """(fp, least, root) of distinct fingerprints (fp, least): those of one component have one root."""
+    classes = stored(classes, "classes")
+    roots = components(links(classes.select("fp"), radius, tile))
+    return checkpointed(classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
+def representatives(docs: DataFrame, row: Column, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, tile: int = 4096) -> DataFrame:
+    """(row): of each component of near-duplicates the row first by id, rows without one last, and then by `row`, a binary that tells rows apart.
+
+    Components are of rows, not of ids: rows that repeat an id with texts of
+    different components are in all of these.
+    """
+    prints = stored(fingerprints(docs, id_col, text_col, shingle, row), "fingerprints")
+    rooted = _rooted(prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("least")), radius, tile)
+    return rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.row")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, tile: int = 4096) -> DataFrame:
     """(id, fp, component_id): one row for each row of docs.
 
@@ -192,10 +211,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id join by their fingerprint but are never a component's id, unless no row has one.
     """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), radius, tile))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = checkpointed(rooted)
+    rooted = _rooted(prints.groupBy("fp").agg(F.min("id").alias("least")), radius, tile)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id")
     return prints.join(named, F.col("fp") == F.col("_fp")).select(F.col("id").alias(id_col), "fp", "component_id")

@@ -38,6 +38,16 @@ def test_stage_of_near_copies_with_odd_ids(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
 
 
+def test_stage_of_near_copies_keeps_one_row_of_each_text(spark):
+    texts = ["one two three four five", "quite another text of words", "some third thing that is written here", "the fourth text is not like those above"]
+    rows = [(1, texts[0], "en", "a", 1), (1, texts[1], "en", "a", 1), (2, texts[1], "en", "b", 1), (None, texts[0], "en", "a", 1), (None, texts[2], "en", "a", 1), (None, texts[2], "en", "b", 1), (0, texts[3], "en", "a", 1), (1, texts[3], "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    runs = {tuple(sorted(map(str, corpus_pipeline.keep_one_of_near_copies(spark, docs.repartition(n), SF).collect()))) for n in (1, 5)}
+    assert len(runs) == 1
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, SF).collect()
+    assert sorted((r.text, r.doc_id) for r in kept) == sorted(zip(texts, (1, 1, None, 0), strict=True))
+
+
 @pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_query_runs(spark, name):
     found = queries.QUERIES[name](spark, SF)
