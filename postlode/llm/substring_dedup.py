@@ -9,15 +9,17 @@ block that was hit are extended to their full length and compared, and runs
 that prove equal merge into maximal repeats.
 
 Blocks, windows and runs travel as sorted arrays of hashes, one row for each
-pair of batch and hash range: what a row costs besides its hashes is shared by
-thousands of them, and a common passage counts once for each batch. A range's
-arrays fit a task because the number of ranges follows the input.
+pair of hash range and group of batches. Groups grow with the number of ranges,
+so that a row holds thousands of hashes at any size of the input, and beyond
+LEVEL_RANGES ranges rows are dealt out in two levels. A group sends each
+different hash once, however often its texts hold it, and a range's arrays fit
+a task because the number of ranges follows the input.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +32,14 @@ from pyspark.sql import functions as F
 from postlode.llm.common import arrow_schema, shared_folder, slices
 
 U = np.uint64
-BATCH_BYTES, RANGE_BYTES = 3 << 20, 12 << 20
+#: Bytes of text in a batch, in a group of batches at most, and in a range of hashes.
+BATCH_BYTES, GROUP_BYTES, RANGE_BYTES = 3 << 20, 24 << 20, 12 << 20
+#: Hashes that a row should hold, ranges that one level of dealing out makes at most, and hashes that a task of the second level holds.
+ROW_HASHES, LEVEL_RANGES, CHUNK_HASHES = 4096, 4096, 2 << 20
+#: Tasks that share the ranges at most, each taking some of them one after another.
+MOST_TASKS = 1 << 15
+#: Bits of a hash that travel below its range.
+KEPT = 48
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -105,156 +114,216 @@ class Batch:
         return at[(at - self.first[at]) % length == 0]
 
 
-def packed(docs: DataFrame, text_col: str, ranges: int) -> DataFrame:
-    """(batch_id, rows, lengths, blob): documents in batches, in a table bucketed by batch_id in the shared folder."""
+def packed(docs: DataFrame, text_col: str, group_bytes: int, buckets: int) -> DataFrame:
+    """(group_id, batch_id, rows, lengths, blob): documents in batches, bucketed by their group in the shared folder.
+
+    The table leaves the catalogue at once; its files stay for the plans that read them.
+    """
     spark = docs.sparkSession
-    others = [c for c in docs.columns if c != text_col]
-    named = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"), F.struct(*[docs[c] for c in others]).alias("_row"))
-    schema = f"batch_id long, rows array<{named.schema['_row'].dataType.simpleString()}>, lengths binary, blob binary"
+    others = [docs[c] for c in docs.columns if c != text_col] or [F.lit(0).alias("none")]
+    named = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"), F.struct(*others).alias("_row"))
+    schema = f"group_id long, batch_id long, rows array<{named.schema['_row'].dataType.simpleString()}>, lengths binary, blob binary"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n = TaskContext.get().partitionId(), 0
+        part, n, group, held = TaskContext.get().partitionId(), 0, 0, 0
         for batch in slices(batches, "_text", BATCH_BYTES):
             if not batch.num_rows:
                 continue
             texts = batch.column("_text").to_pylist()
+            lengths = np.array(list(map(len, texts)), "<i8")
+            if held and held + int(lengths.sum()) > group_bytes:
+                group, held = group + 1, 0
+            held += int(lengths.sum())
             blob = zstandard.compress(b"\n".join([*texts, b""]), 3)
-            lengths = np.array(list(map(len, texts)), "<i8").tobytes()
             row = batch.column("_row").cast(out.field("rows").type.value_type)
             rows = pa.ListArray.from_arrays(pa.array([0, len(row)], pa.int32()), row).cast(out.field("rows").type)
-            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | n], pa.int64()), rows, pa.array([lengths]), pa.array([blob])], schema=out)
+            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | group], pa.int64()), pa.array([part << 32 | n], pa.int64()), rows, pa.array([lengths.tobytes()]), pa.array([blob])], schema=out)
             n += 1
 
     name = f"postlode_batches_{uuid.uuid4().hex}"
     written = named.mapInArrow(run, schema).write.option("path", f"{shared_folder(spark)}/{name}")
-    written.bucketBy(ranges, "batch_id").saveAsTable(name)
-    return spark.table(name)
+    written.bucketBy(buckets, "group_id").saveAsTable(name)
+    batches = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return batches
 
 
-def _low_high(h: np.ndarray, shift: int) -> tuple[bytes, bytes]:
-    """48 bits of each hash below its range: 32 in one array, and 16 that hardly change from one to the next in another."""
-    h = (h << U(shift)) >> U(16)
-    return h.astype("<u4").tobytes(), (h >> U(32)).astype("<u2").tobytes()
+def _read(batch: pa.RecordBatch, i: int) -> Batch:
+    return Batch(zstandard.decompress(batch.column("blob")[i].as_py()), np.frombuffer(batch.column("lengths")[i].as_py(), "<i8"))
 
 
-def _joined(low: bytes, high: bytes) -> np.ndarray:
-    return np.frombuffer(high, "<u2").astype(U) << U(32) | np.frombuffer(low, "<u4")
+#: Hashes of a range, dealt out: groups and how many hashes of each, 48 bits of each hash below the range
+#: (32 that differ, and 16 that hardly change from one to the next), further bits, and two marks.
+HASHES = "range int, groups binary, counts binary, low binary, high binary, further binary, anchor binary, twice binary"
 
 
-def _bits(packed_bits: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(packed_bits, np.uint8), count=n).astype(bool)
+class Hashes:
+    """Hashes of one range in arrays: owner (a group), kept bits, further bits (none or 32), marks."""
 
+    def __init__(self, owner: np.ndarray, kept: np.ndarray, further: np.ndarray, anchor: np.ndarray, twice: np.ndarray):
+        self.owner, self.kept, self.further, self.anchor, self.twice = owner, kept, further, anchor, twice
 
-def _read(batch: pa.RecordBatch, i: int) -> Batch:
-    return Batch(zstandard.decompress(batch.column("blob")[i].as_py()), np.frombuffer(batch.column("lengths")[i].as_py(), "<i8"))
+    def row(self, number: int, at: slice | np.ndarray) -> tuple:
+        """The places `at`, in order of owner, as a row of HASHES."""
+        owner, kept = self.owner[at], self.kept[at]
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        counts = np.diff(np.concatenate([first, [len(owner)]]))
+        further = self.further[at].tobytes() if len(self.further) else b""
+        return number, owner[first].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), kept.astype("<u4").tobytes(), (kept >> U(32)).astype("<u2").tobytes(), further, np.packbits(self.anchor[at]).tobytes(), np.packbits(self.twice[at]).tobytes()
+
+    @classmethod
+    def of(cls, table: pa.Table | pa.RecordBatch) -> Hashes:
+        """All rows of a table, which are of one range."""
+        of = lambda name: table.column(name).to_pylist()
+        whole = lambda name, kind: np.frombuffer(b"".join(of(name)), kind)
+        sizes = [len(x) // 4 for x in of("low")]
+        marks = lambda name: np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(of(name), sizes, strict=True)])
+        kept = whole("high", "<u2").astype(U) << U(32) | whole("low", "<u4")
+        return cls(np.repeat(whole("groups", "<i8"), whole("counts", "<i4")), kept, whole("further", "<u4"), marks("anchor"), marks("twice"))
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True) if rows else [()] * len(schema), schema, strict=True)], schema=schema)
+
+
+def _top(h: np.ndarray, bits: int) -> np.ndarray:
+    """What is kept of whole hashes: the bits of a first level of `bits` bits, and KEPT bits below them."""
+    lost = max(0, 64 - bits - KEPT)
+    return h >> U(lost) << U(lost)
+
+
+def _whole(number: int, kept: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes from the number of their range (of `bits` bits) and the bits kept."""
+    return (U(number) << U(64 - bits) if bits else U(0)) | (kept << U(64 - KEPT)) >> U(bits)
 
 
-def _probes(batches: DataFrame, block: int, ranges: int) -> DataFrame:
-    """(range, batch_id, low, high, anchor, twice): the different windows of each batch, and which are blocks of it."""
-    schema = "range int, batch_id long, low binary, high binary, anchor binary, twice binary"
-    out, shift = arrow_schema(schema), ranges.bit_length() - 1
+def _dealt(h: np.ndarray, further: np.ndarray, anchor: np.ndarray, group: int, bits: int) -> Iterator[tuple]:
+    """A row for each range that has some of a group's hashes: each different hash once, marked if it came twice."""
+    order = np.lexsort((further, h)) if len(further) else np.argsort(h)
+    h, anchor, further = h[order], anchor[order], further[order] if len(further) else further
+    differ = h[1:] != h[:-1]
+    new = np.flatnonzero(np.concatenate([[True], differ | (further[1:] != further[:-1]) if len(further) else differ]))
+    twice = np.diff(np.concatenate([new, [len(h)]])) > 1
+    anchor, h, further = np.maximum.reduceat(anchor.astype(np.uint8), new), h[new], further[new] if len(further) else further
+    hashes = Hashes(np.full(len(h), group), (h << U(bits)) >> U(64 - KEPT), further, anchor, twice)
+    cuts = [0, *(np.searchsorted(h, np.arange(1, 1 << bits, dtype=U) << U(64 - bits)).tolist() if bits else ()), len(h)]
+    return (hashes.row(r, slice(a, b)) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b)
+
+
+def _by_group(batches: DataFrame, find: Callable[[Batch, pa.RecordBatch, int], tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int) -> DataFrame:
+    """HASHES of what `find` gives (hashes, further bits, anchor) for each batch, together for batches of a group that come one after another."""
+    out = arrow_schema(HASHES)
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        group = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if sum(len(x[0]) for x in held):
+                yield _table(list(_dealt(*map(np.concatenate, zip(*held, strict=True)), group, bits)), out)
+            held.clear()
+
         for batch in incoming:
-            for i, batch_id in enumerate(batch.column("batch_id").to_pylist()):
-                words = _read(batch, i)
-                at = words.rolling(block)
-                if not len(at):
-                    continue
-                all_hashes = window_hashes(words.hashes(1), at, block, 1)
-                own = (at - words.first[at]) % block == 0
-                order = np.argsort(all_hashes)
-                h = all_hashes[order]
-                new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                anchor = np.maximum.reduceat(own[order].astype(np.uint8), new)
-                twice = (np.diff(np.concatenate([new, [len(h)]])) > 1).astype(np.uint8)
-                h = h[new]
-                cuts = [0, *np.searchsorted(h, np.arange(1, ranges, dtype=U) << U(64 - shift)).tolist(), len(h)] if shift else [0, len(h)]
-                rows = [(r, batch_id, *_low_high(h[a:b], shift), np.packbits(anchor[a:b]).tobytes(), np.packbits(twice[a:b]).tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
-
-    return batches.select("batch_id", "lengths", "blob").mapInArrow(run, schema)
-
-
-def _anchors_hit(probes: DataFrame) -> DataFrame:
-    """(batch_id, hit): hashes of a batch's blocks that some other window equals."""
-    schema = "batch_id long, hit binary"
-    out = arrow_schema(schema)
+            for i, own in enumerate(batch.column("group_id").to_pylist()):
+                if own != group:
+                    yield from flush()
+                    group = own
+                held.append(find(_read(batch, i), batch, i))
+        yield from flush()
+
+    return batches.mapInArrow(run, HASHES)
 
-    def reduce(table: pa.Table) -> pa.Table:
-        ids = table.column("batch_id").to_pylist()
-        hashes = [_joined(a, b) for a, b in zip(table.column("low").to_pylist(), table.column("high").to_pylist(), strict=True)]
-        sizes = np.array(list(map(len, hashes)))
-        anchor = np.concatenate([_bits(x, n) for x, n in zip(table.column("anchor").to_pylist(), sizes, strict=True)])
-        twice = np.concatenate([_bits(x, n) for x, n in zip(table.column("twice").to_pylist(), sizes, strict=True)])
-        h, row = np.concatenate(hashes), np.repeat(np.arange(len(ids)), sizes)
-        order = np.argsort(h, kind="stable")
-        h = h[order]
-        new = np.concatenate([[True], h[1:] != h[:-1]])
-        group = np.cumsum(new) - 1
-        many = np.bincount(group, 1 + twice[order]) > 1
-        found = order[many[group] & anchor[order]]
-        whole = U(table.column("range")[0].as_py()) << U(48) | np.concatenate(hashes)[found]
-        by = np.argsort(row[found], kind="stable")
-        rows, whole = row[found][by], whole[by]
-        own, first = np.unique(rows, return_index=True)
-        ends = [*first[1:].tolist(), len(rows)]
-        return pa.Table.from_arrays([pa.array([ids[i] for i in own], pa.int64()), pa.array([whole[a:b].astype("<u8").tobytes() for a, b in zip(first.tolist(), ends, strict=True)], pa.binary())], schema=out)
-
-    return probes.groupBy("range").applyInArrow(reduce, schema)
-
-
-def _runs(anchored: DataFrame, block: int, window: int, ranges: int) -> DataFrame:
-    """(range, batch_id, low, high, other, at): the runs of full length around each block that was hit."""
-    schema = "range int, batch_id long, low binary, high binary, other binary, at binary"
-    out, shift = arrow_schema(schema), ranges.bit_length() - 1
+
+def _ranged(hashes: DataFrame, bits: int, first: int) -> DataFrame:
+    """hashes with the rows of each of 2 ** bits ranges together in a partition; those of 2 ** first ranges are dealt out again where these are fewer."""
+    tasks = min(bits, MOST_TASKS.bit_length() - 1)
+    if bits == first:
+        return hashes.repartitionById(1 << bits, "range")
+    out, more, spread = arrow_schema(HASHES), bits - first, max(0, tasks - first)
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, number = 0, None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                all_hashes = Hashes.of(pa.Table.from_batches(held))
+                fine = (all_hashes.kept >> U(KEPT - more)).astype(np.int64)
+                all_hashes.kept = all_hashes.kept << U(64 - KEPT + more) >> U(64 - KEPT)
+                order = np.argsort(fine, kind="stable")
+                cuts = np.searchsorted(fine[order], np.arange((1 << more) + 1)).tolist()
+                yield _table([all_hashes.row(number << more | r, order[a:b]) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b], out)
+            held.clear()
+
         for batch in incoming:
-            hits = batch.column("hits")
-            for i, batch_id in enumerate(batch.column("batch_id").to_pylist()):
-                words = _read(batch, i)
-                one, anchors = words.hashes(1), words.anchors(block)
-                h = window_hashes(one, anchors, block, 1)
-                h = (h >> U(64 - shift) << U(48) if shift else U(0)) | (h << U(shift)) >> U(16)
-                hit = anchors[np.isin(h, np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in hits[i].values]))]
-                at = (hit[:, None] - np.arange(block - 1, -1, -1)).ravel()
-                at = at[np.repeat(words.first[hit], block) <= at]
-                at = at[at + window <= words.last[at]]
-                if not len(at):
-                    continue
-                h, other = window_hashes(one, at, window, 1), window_hashes(words.hashes(2), at, window, 2)
-                order = np.argsort(h)
-                h, other, at = h[order], other[order], at[order]
-                cuts = [0, *np.searchsorted(h, np.arange(1, ranges, dtype=U) << U(64 - shift)).tolist(), len(h)] if shift else [0, len(h)]
-                rows = [(r, batch_id, *_low_high(h[a:b], shift), (other[a:b] >> U(32)).astype("<u4").tobytes(), at[a:b].astype("<u4").tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
-
-    return anchored.select("batch_id", "lengths", "blob", "hits").mapInArrow(run, schema)
-
-
-def _repeated(runs: DataFrame) -> DataFrame:
-    """(batch_id, at): where runs start that start anywhere else too."""
-    schema = "batch_id long, at binary"
+            for i, own in enumerate(batch.column("range").to_pylist()):
+                if own != number or size >= CHUNK_HASHES:
+                    yield from flush()
+                    number, size = own, 0
+                held.append(batch.slice(i, 1))
+                size += len(batch.column("low")[i].as_py()) // 4
+        yield from flush()
+
+    # dealing out again needs rows of one range together, but not all of them
+    part = F.shiftleft("range", spread) + F.pmod(F.xxhash64("groups"), F.lit(1 << spread)).cast("int")
+    fine = hashes.repartitionById(1 << first + spread, part).mapInArrow(run, HASHES)
+    return fine.repartitionById(1 << tasks, F.shiftright("range", bits - tasks)).sortWithinPartitions("range")
+
+
+def _found_again(hashes: DataFrame, anchors: bool, bits: int) -> DataFrame:
+    """(group_id, hashes, further): whole hashes of each group that came twice or more in all; with `anchors`, those of blocks alone."""
+    schema = "group_id long, hashes binary, further binary"
     out = arrow_schema(schema)
 
-    def reduce(table: pa.Table) -> pa.Table:
-        ids = table.column("batch_id").to_pylist()
-        hashes = [_joined(a, b) for a, b in zip(table.column("low").to_pylist(), table.column("high").to_pylist(), strict=True)]
-        row = np.repeat(np.arange(len(ids)), list(map(len, hashes)))
-        h = np.concatenate(hashes)
-        other = np.frombuffer(b"".join(table.column("other").to_pylist()), "<u4")
-        at = np.frombuffer(b"".join(table.column("at").to_pylist()), "<u4")
-        order = np.lexsort((other, h))
-        a, b = h[order], other[order]
-        group = np.cumsum(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) - 1
-        found = np.sort(order[np.bincount(group)[group] > 1])
-        own, first = np.unique(row[found], return_index=True)
-        ends = [*first[1:].tolist(), len(found)]
-        return pa.Table.from_arrays([pa.array([ids[i] for i in own], pa.int64()), pa.array([at[found[x:y]].tobytes() for x, y in zip(first.tolist(), ends, strict=True)], pa.binary())], schema=out)
+    def again(number: int, x: Hashes) -> pa.RecordBatch:
+        order = np.lexsort((x.further, x.kept)) if len(x.further) else np.argsort(x.kept, kind="stable")
+        kept, further = x.kept[order], x.further[order] if len(x.further) else x.further
+        differ = kept[1:] != kept[:-1]
+        same = np.cumsum(np.concatenate([[True], differ | (further[1:] != further[:-1]) if len(further) else differ])) - 1
+        many = np.bincount(same, 1 + x.twice[order]) > 1
+        found = order[many[same] & x.anchor[order].astype(bool) if anchors else many[same]]
+        found = found[np.argsort(x.owner[found], kind="stable")]
+        own, first = np.unique(x.owner[found], return_index=True)
+        cuts, whole = [*first.tolist(), len(found)], _whole(number, x.kept[found], bits).astype("<u8")
+        further = x.further[found] if len(x.further) else x.further
+        return _table([(g, whole[a:b].tobytes(), further[a:b].tobytes()) for g, a, b in zip(own.tolist(), cuts, cuts[1:], strict=False)], out)
 
-    return runs.groupBy("range").applyInArrow(reduce, schema)
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        number = None
+        for batch in incoming:
+            ranges = batch.column("range").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(ranges[1:] != ranges[:-1]) + 1).tolist(), len(ranges)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if held and ranges[a] != number:
+                    yield again(number, Hashes.of(pa.Table.from_batches(held)))
+                    held.clear()
+                if a < b:
+                    number = int(ranges[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield again(number, Hashes.of(pa.Table.from_batches(held)))
+
+    return hashes.mapInArrow(run, schema)
+
+
+def _answers(column: pa.ChunkedArray | pa.Array, i: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column[i].values) if column[i].is_valid else b"", kind)
+
+
+def _among(h: np.ndarray, other: np.ndarray, wanted: np.ndarray, wanted_other: np.ndarray) -> np.ndarray:
+    """Which (h, other) are among the wanted; h that are not wanted at all are seen at once."""
+    maybe = np.flatnonzero(np.isin(h, wanted))
+    kind = np.dtype([("h", "<u8"), ("other", "<u4")])
+    pair = lambda a, b: np.rec.fromarrays([a, b], dtype=kind)
+    out = np.zeros(len(h), bool)
+    if len(maybe):
+        one, back = np.unique(np.concatenate([pair(wanted, wanted_other), pair(h[maybe], other[maybe])]), return_inverse=True)
+        known = np.zeros(len(one), bool)
+        known[back[: len(wanted)]] = True
+        out[maybe] = known[back[len(wanted) :]]
+    return out
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) -> DataFrame:
@@ -266,20 +335,47 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     maximal repeats as (first word, word after the last). Null and empty texts
     become empty; rows that repeat an id are rows of their own; columns besides
     the text pass through unchanged, unless they have the name of a new one,
-    which takes their place.
+    which takes their place. Tables without rows or without repeats pass whole.
 
-    Runs are compared by 80 bits and the range of two independent hashes.
+    Runs are compared by two independent hashes of 32 bits and of 48 bits and
+    those of the first level of ranges, 80 to 92 in all, not word by word: that
+    any two of 10 ** 12 different runs, in ranges of all 92 bits, are taken for
+    equal has a chance of one in ten thousand.
     """
     spark, block = docs.sparkSession, (window + 1) // 2
     docs = docs.drop("n_words", "n_removed", "spans")
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    # several ranges for each task even out what tasks get
-    wanted = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES, 1)
-    ranges = min(1 << 15, 1 << (wanted - 1).bit_length())
-    batches = packed(docs, text_col, max(1, ranges // 4))
-    hits = _anchors_hit(_probes(batches, block, ranges)).groupBy("batch_id").agg(F.collect_list("hit").alias("hits"))
-    runs = _runs(batches.join(hits, "batch_id"), block, window, ranges)
-    places = _repeated(runs).groupBy("batch_id").agg(F.collect_list("at").alias("places"))
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES, 1)
+    bits = (wanted - 1).bit_length()
+    first = min(bits, LEVEL_RANGES.bit_length() - 1)
+    group_bytes = min(GROUP_BYTES, max(BATCH_BYTES, 6 * ROW_HASHES << first))
+    # tasks read a bucket batch by batch
+    buckets = min(total // GROUP_BYTES, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    batches = packed(docs, text_col, group_bytes, max(1, buckets))
+    none = np.zeros(0, "<u4")
+
+    def windows(words: Batch, batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = words.rolling(block)
+        return _top(window_hashes(words.hashes(1), at, block, 1), first), none, (at - words.first[at]) % block == 0
+
+    def run_hashes(words: Batch, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        other = window_hashes(words.hashes(2), at, window, 2) >> U(32)
+        return _top(window_hashes(words.hashes(1), at, window, 1), first), other.astype("<u4")
+
+    def runs(words: Batch, batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The runs of full length around each block that was hit."""
+        anchors = words.anchors(block)
+        h = _top(window_hashes(words.hashes(1), anchors, block, 1), first)
+        hit = anchors[np.isin(h, _answers(batch.column("hits"), i, "<u8"))]
+        at = (hit[:, None] - np.arange(block - 1, -1, -1)).ravel()
+        at = at[np.repeat(words.first[hit], block) <= at]
+        at = at[at + window <= words.last[at]]
+        return *run_hashes(words, at), np.zeros(len(at), bool)
+
+    texts = batches.select("group_id", "lengths", "blob")
+    hits = _found_again(_ranged(_by_group(texts, windows, first), bits, first), True, bits).groupBy("group_id").agg(F.collect_list("hashes").alias("hits"))
+    around = _by_group(texts.join(hits, "group_id"), runs, first)
+    again = _found_again(_ranged(around, bits, first), False, bits).groupBy("group_id").agg(F.collect_list("hashes").alias("hashes"), F.collect_list("further").alias("further"))
     others = [f for f in docs.schema if f.name != text_col]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), f"`{text_col}` string, n_words long, n_removed long, spans array<struct<first:int,after:int>>"])
     out = arrow_schema(schema)
@@ -289,10 +385,11 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) ->
             for i in range(batch.num_rows):
                 words = _read(batch, i)
                 cover = np.zeros(len(words.starts) + 1, np.int64)
-                for x in batch.column("places")[i].values if batch.column("places")[i].is_valid else ():
-                    at = np.frombuffer(x.as_py(), "<u4")
+                wanted = _answers(batch.column("hashes"), i, "<u8")
+                if len(wanted) and len(at := words.rolling(window)):
+                    at = at[_among(*run_hashes(words, at), wanted, _answers(batch.column("further"), i, "<u4"))]
                     np.add.at(cover, at, 1)
-                    np.add.at(cover, at.astype(np.int64) + window, -1)
+                    np.add.at(cover, at + window, -1)
                 gone = np.cumsum(cover)[:-1] > 0
                 texts, removed, spans = [], [], []
                 stops = [0, *words.stops.tolist()]
@@ -304,8 +401,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) ->
                     kept = [w for s, e in zip([0, *turns[1::2]], [*turns[::2], len(own)], strict=True) for w in own[s:e]] if turns else own
                     texts.append(b" ".join(kept))
                     spans.append([{"first": s, "after": e} for s, e in zip(turns[::2], turns[1::2], strict=True)])
-                fields = batch.column("rows")[i].values.flatten()
+                fields = batch.column("rows")[i].values.flatten()[: len(others)]
                 made = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.diff(words.bounds), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, out.field("spans").type)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*fields, *made], out, strict=True)], schema=out)
 
-    return batches.join(places, "batch_id", "left").select("rows", "lengths", "blob", "places").mapInArrow(run, schema)
+    return batches.join(again, "group_id", "left").select("rows", "lengths", "blob", "hashes", "further").mapInArrow(run, schema)

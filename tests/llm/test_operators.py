@@ -195,15 +195,30 @@ def test_substring_dedup(docs, empty, window):
         assert substring_dedup.remove_repeats(empty, window=window).count() == 0
 
 
-def test_substring_dedup_in_many_batches(spark, monkeypatch):
+@pytest.mark.parametrize(("levels", "chunk", "tasks"), [(4096, 1 << 20, 1 << 15), (4, 50, 1 << 15), (2, 1 << 20, 8), (1, 7, 1)])
+def test_substring_dedup_in_many_batches(spark, monkeypatch, levels, chunk, tasks):
     rnd = random.Random(2)
     texts = [" ".join(rnd.choice("ab") for _ in range(rnd.randint(0, 60))) for _ in range(60)]
-    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 100)
+    for name, value in (("BATCH_BYTES", 100), ("GROUP_BYTES", 300), ("RANGE_BYTES", 300), ("ROW_HASHES", 1), ("LEVEL_RANGES", levels), ("CHUNK_HASHES", chunk), ("MOST_TASKS", tasks)):
+        monkeypatch.setattr(substring_dedup, name, value)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     found = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(frame, window=9).collect()}
     assert [found[i] for i in range(60)] == plain_repeats(texts, 9)
 
 
+def test_substring_dedup_where_little_or_nothing_repeats(spark):
+    rnd = random.Random(5)
+    text = lambda n: " ".join(f"{rnd.getrandbits(40):x}" for _ in range(n))
+    long, passage = [text(200) for _ in range(50)], text(40)
+    for texts in (long, ["too short"] * 9, [long[0]], [*long, long[7]], [f"{long[0]} {passage}", *long[1:], f"a {passage}"]):
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(frame).collect()}
+        assert [found[i] for i in range(len(texts))] == plain_repeats(texts, 35)
+    only = substring_dedup.remove_repeats(frame.select("text"))
+    assert only.columns == ["text", "n_words", "n_removed", "spans"] and only.agg(F.sum("n_removed")).first()[0] == 80
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("postlode")]
+
+
 def test_url_filter(spark):
     rules = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"), ("block", "b.a.org/x"), ("allow", "a.org/xyz1"), ("block", "net/")]
     urls = ["http://example.org/es/1", "https://A.Example.ORG/en/12?x", "http://notexample.org/es/1", "http://org", "http://x.com/de/", "http://com/fr/#y", "ftp://b.a.org/xyz1", "http://q.b.a.org/x", "no url", "", None, "http://net", "http://net/", "http:///path", "a://b://c.net/d", "http://É.net/é?q", "http://x.example.org./es/"] + [f"http://hot.example.org/es/{i}" for i in range(300)]
