@@ -5,19 +5,23 @@ NFC and lower case, split into letter runs, single digits and runs of other
 signs, and each piece is merged by itself. Pieces are merged many at a time:
 every piece has a segment tree whose leaves hold the rank of the pair that
 starts at a symbol, the root names the leftmost lowest-rank pair, and a merge
-changes three leaves and their ancestors.
+changes three leaves and their ancestors. Where only a few pieces are of a length, each
+has a tree of plain numbers instead, which costs less for each merge.
+
+Letters, digits, lower case and NFC are those of the `tokenizers` library; the
+tables of Python 3.13 (Unicode 15.1) are completed by what differs.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,42 @@ from postlode.llm.common import arrow_schema, slices
 NONE = np.int64(1) << 62
 #: Fixed values of the byte alphabet: bytes that stand for the character of the same number.
 PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Fixed values of Unicode: white space, and the letters and digits that version 16 has beyond 15.1, as first and last of each run.
+WHITE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEW_DIGITS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+#: Fixed values of Unicode 17: (first, last, first of their lower case) of capitals that 15.1 lacks.
+NEW_CAPITALS = [(0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x0264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x019B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB)]
+#: Single characters are lower-cased, without the rule for a sigma that ends a word.
+LOWER = {ord("Σ"): ord("σ")} | {a + i: to + i for a, b, to in NEW_CAPITALS for i in range(b - a + 1)}
+HAS_LOWER = re.compile("[" + "".join(map(chr, LOWER)) + "]")
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
+def _runs(kind: str, more: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of the code points of a general category and of `more`."""
+    held = np.zeros(0x110001, bool)
+    held[[c for c in range(0x110000) if unicodedata.category(chr(c)).startswith(kind)]] = True
+    for a, b in more:
+        held[a : b + 1] = True
+    turns = np.flatnonzero(np.diff(held.astype(np.int8), prepend=0)).tolist()
+    return [(a, b - 1) for a, b in zip(turns[::2], turns[1::2], strict=True)]
+
+
+@lru_cache(1)
+def piece_patterns() -> tuple[re.Pattern, re.Pattern]:
+    """Pieces of texts of characters up to U+FFFF, and of any: a short class is quicker."""
+    letters, digits = _runs("L", NEW_LETTERS), _runs("N", NEW_DIGITS)
+
+    def pattern(last: int) -> re.Pattern:
+        of = lambda runs: "".join(rf"\U{a:08x}-\U{min(b, last):08x}" for a, b in runs if a <= last)
+        return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{of(letters)}]+|[{of(digits)}]|[^{of(WHITE)}{of(letters)}{of(digits)}]+")
+
+    return pattern(0xFFFF), pattern(0x10FFFF)
 
 
 class PairRanks:
@@ -116,12 +156,49 @@ def merge_pieces(symbols: np.ndarray, lengths: np.ndarray, pairs: PairRanks, mer
     return sym, alive
 
 
+def merge_piece(symbols: list[int], pairs: dict[int, int], merged: list[int]) -> list[int]:
+    """Merges one piece by its own segment tree. pairs: left << 32 | right -> rank."""
+    n = len(symbols)
+    size = 1 << max(1, (n - 1).bit_length())
+    none = (len(merged) + 1) * size
+    rank = lambda i, j: r * size + i if (r := pairs.get(symbols[i] << 32 | symbols[j])) is not None else none
+    tree = [none] * size + [rank(i, i + 1) for i in range(n - 1)] + [none] * (size - n + 1)
+    for i in range(size - 1, 0, -1):
+        tree[i] = min(tree[2 * i], tree[2 * i + 1])
+    after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+
+    def put(i: int, value: int) -> None:
+        i += size
+        tree[i] = value
+        while i > 1:
+            i >>= 1
+            a, b = tree[2 * i], tree[2 * i + 1]
+            least = a if a < b else b
+            if tree[i] == least:
+                return
+            tree[i] = least
+
+    while (root := tree[1]) < none:
+        at = root % size
+        gone = after[at]
+        then, prior = after[gone], before[at]
+        symbols[at], alive[gone], after[at] = merged[root // size], False, then
+        put(gone, none)
+        if then < n:
+            before[then] = at
+        put(at, rank(at, then) if then < n else none)
+        if prior >= 0:
+            put(prior, rank(prior, at))
+    return [x for x, left in zip(symbols, alive, strict=True) if left]
+
+
 class Bpe:
     """A `tokenizers` file of kind BPE with a word-end suffix, encoded as that library does with added special tokens off."""
 
-    PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+    #: Pieces of one length from which they are merged together; longer pieces than these are not kept.
+    TOGETHER, LONG = 24, 64
 
-    def __init__(self, path: str, most_cached: int = 250_000):
+    def __init__(self, path: str, most_cached: int = 48 << 20):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, suffix = spec["model"], spec["model"]["end_of_word_suffix"]
@@ -132,14 +209,17 @@ class Bpe:
             self.tokens[i] = token.encode()
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.pairs = PairRanks(np.array([vocab[a] for a, _ in pairs]), np.array([vocab[b] for _, b in pairs]))
-        self.merged = np.array([vocab[a + b] for a, b in pairs])
+        self.merged_list = [vocab[a + b] for a, b in pairs]
+        self.merged = np.array(self.merged_list)
         letters = {b: chr(b) for b in PLAIN}
         letters |= {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in letters)}
         self.inner = np.array([vocab[letters[b]] for b in range(256)])
         self.last = np.array([vocab[letters[b] + suffix] for b in range(256)])
-        self.split = regex.compile("|".join(map(regex.escape, self.special)))
+        self.pair_ranks = {int(k): int(r) for k, r in zip(self.pairs.keys, self.pairs.ranks, strict=True) if k >= 0}
+        self.split = re.compile("|".join(map(re.escape, self.special)))
+        self.piece, self.any_piece = piece_patterns()
         self.cache: dict[str, bytes] = {}
-        self.most_cached = most_cached
+        self.most_cached, self.cached = most_cached, 0
 
     def pieces(self, text: str) -> list[str]:
         """Pieces and special tokens of a text in order."""
@@ -151,9 +231,13 @@ class Bpe:
         return out + self._plain(text[start:]) if start else self._plain(text)
 
     def _plain(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.piece.findall(text.lower())
         text = unicodedata.normalize("NFC", text)
-        # single characters are lower-cased, without the rule for a sigma that ends a word
-        return self.PIECE.findall(text.replace("Σ", "σ").lower())
+        if HAS_LOWER.search(text):
+            text = text.translate(LOWER)
+        text = text.lower()
+        return (self.any_piece if BEYOND.search(text) else self.piece).findall(text)
 
     def merge(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as little-endian unsigned 32-bit numbers."""
@@ -165,6 +249,11 @@ class Bpe:
             own = np.flatnonzero(widths == width)
             for some in np.array_split(own, max(1, len(own) * int(width) // (1 << 18))):
                 n = lengths[some]
+                if len(some) < self.TOGETHER:
+                    for i in some.tolist():
+                        symbols = [*self.inner[np.frombuffer(encoded[i][:-1], np.uint8)].tolist(), int(self.last[encoded[i][-1]])]
+                        out[i] = np.array(merge_piece(symbols, self.pair_ranks, self.merged_list), "<u4").tobytes()
+                    continue
                 here = np.arange(width) < n[:, None]
                 symbols = np.zeros((len(some), width), np.int64)
                 symbols[here] = self.inner[np.frombuffer(b"".join(encoded[i] for i in some), np.uint8)]
@@ -178,13 +267,17 @@ class Bpe:
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text, packed as by merge()."""
         cut = [self.pieces(t) for t in texts]
-        if len(self.cache) > self.most_cached:
+        if self.cached > self.most_cached:
             self.cache.clear()
-        if not self.cache:
-            self.cache |= {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
-        new = list({p for pieces in cut for p in pieces if p not in self.cache})
-        self.cache |= zip(new, self.merge(new), strict=True) if new else ()
-        return [b"".join(map(self.cache.__getitem__, pieces)) for pieces in cut]
+            self.cached = 0
+        new = list({p for pieces in cut for p in pieces if p not in self.cache and p not in self.special})
+        found = dict(zip(new, self.merge(new), strict=True)) | {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
+        short = {p: ids for p, ids in found.items() if len(p) <= self.LONG}
+        # a piece and its ids cost about 200 bytes besides their own
+        self.cached += sum(200 + 2 * len(p) + len(ids) for p, ids in short.items())
+        self.cache |= short
+        long = {p: ids for p, ids in found.items() if len(p) > self.LONG}
+        return [b"".join([self.cache[p] if p in self.cache else long[p] for p in pieces]) for pieces in cut]
 
     def decode(self, ids: bytes) -> bytes:
         """Token strings joined by a space, special tokens included: what a file without a decoder gives."""

@@ -264,13 +264,33 @@ def test_bpe_frames(docs, empty):
     assert bpe.encode(empty, PATH, keep=("source",)).count() == 0
 
 
-def test_segment_tree_merges_leftmost_lowest():
+@pytest.mark.parametrize("together", [1, 24, 1000])
+def test_segment_tree_merges_leftmost_lowest(monkeypatch, together):
+    monkeypatch.setattr(bpe.Bpe, "TOGETHER", together)
     tool = bpe.tokenizer(PATH)
     rnd = random.Random(4)
     pieces = ["".join(rnd.choice("thesanio") for _ in range(rnd.choice([1, 2, 3, 9, 200, 1000]))) for _ in range(60)]
     assert [np.frombuffer(x, "<u4").tolist() for x in tool.merge(pieces)] == [LIBRARY.encode(p, add_special_tokens=False).ids for p in pieces]
 
 
+def test_bpe_of_every_code_point():
+    """Each by itself after a mark, after a letter, before a letter and after a digit, many to a text."""
+    tool = bpe.tokenizer(PATH)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 4000):
+        text = " ".join(x for c in points[i : i + 4000] for x in (f":{c}", f"a{c}", f"{c}a", f"1{c}"))
+        assert np.frombuffer(tool.encode([text])[0], "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, hex(ord(points[i]))
+
+
+def test_bpe_of_long_pieces_and_a_full_cache():
+    rnd = random.Random(6)
+    tool = bpe.Bpe(PATH, most_cached=2000)
+    texts = ["".join(rnd.choice("etaoinsé") for _ in range(30_000)), *(" ".join(f"{rnd.getrandbits(50):x}" for _ in range(50)) for _ in range(5))]
+    for t in [*texts, texts[1]]:
+        assert np.frombuffer(tool.encode([t])[0], "<u4").tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
+        assert tool.cached < 60_000 and max(map(len, tool.cache)) <= tool.LONG
+
+
 def plain_fingerprint(t):
     w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     k = min(4, len(w))
