@@ -349,9 +349,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     bits = (wanted - 1).bit_length()
     first = min(bits, LEVEL_RANGES.bit_length() - 1)
     group_bytes = min(GROUP_BYTES, max(BATCH_BYTES, 6 * ROW_HASHES << first))
-    # tasks read a bucket batch by batch
-    buckets = min(total // GROUP_BYTES, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
-    batches = packed(docs, text_col, group_bytes, max(1, buckets))
+    # with fewer buckets than shuffle partitions Spark would shuffle the batches for the joins; tasks read a bucket batch by batch
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // GROUP_BYTES)
+    batches = packed(docs, text_col, group_bytes, min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))))
     none = np.zeros(0, "<u4")
 
     def windows(words: Batch, batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
