@@ -1,16 +1,18 @@
 """SimHash near-duplicates: exact comparison of fingerprints in tiles.
 
 Only distinct fingerprints are compared. Two of them that differ in at most r
-bits agree in one of r + 1 bands of bits, so all links are found inside the
-groups of equal bands. A group is cut into tiles of bounded size by population
-count, every pair of tiles whose counts come within the radius is compared by
-exclusive-or and bit counts, and a comparison returns no more than the edges
-of a spanning forest. Min-label rounds over those edges give the components.
+bits agree in some of b > r bands of bits, b - r of them at least, so all links
+are found inside the groups of equal bands. A group is cut into tiles of
+bounded size by population count, every pair of tiles whose counts come within
+the radius is compared by exclusive-or and bit counts, and a comparison returns
+no more than the edges of a spanning forest, none of whose nodes has many.
+Min-label rounds over those edges give the components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from postlode.llm.common import arrow_schema, checkpointed, slices, stored
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Edges of a node of a spanning tree, besides that to the node above.
+FANOUT = 4
 
 
 def fingerprint(text: str, shingle: int = 4) -> int:
@@ -44,8 +48,8 @@ def fingerprint(text: str, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, row: Column | None = None) -> DataFrame:
     """(id, fp): the fingerprint's 64 bits as a signed long, for each row; null texts count as empty. With `row`, that binary too."""
     more = [] if row is None else [row.alias("row")]
-    named = docs.select(F.col(id_col).cast("long").alias("id"), *more, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = "id long, row binary, fp long" if more else "id long, fp long"
+    named = docs.select(F.col(id_col).alias("id"), *more, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = f"id {named.schema['id'].dataType.simpleString()}, {'row binary, ' if more else ''}fp long"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,32 +90,47 @@ def link(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
             labels[:] = up
 
 
-def _cells(distinct: DataFrame, radius: int, tile: int) -> DataFrame:
-    """(cell, part, fp): part 0 is compared within itself and with part 1; both are at most some tiles large."""
-    width, bands, start = 64 // (radius + 1), [], 0
-    for i in range(radius + 1):
-        n = width + (i < 64 % (radius + 1))
-        bands.append(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << n) - 1)).alias("value")))
-        start += n
-    rows = distinct.select("fp", F.explode(F.array(*bands)).alias("b")).select("fp", "b.*")
-    large = rows.groupBy("band", "value").agg(F.count("*").alias("n")).where(F.col("n") > tile)
-    # tiles of a large group: by population count, and by a hash within one count
-    tiles = F.ceil(F.col("n") / tile).cast("int")
-    rows = rows.join(large, ["band", "value"], "left").withColumn("pop", F.bit_count("fp"))
-    rows = rows.withColumn("t", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("fp"), tiles).cast("int")).otherwise(0))
-    group = F.concat_ws(",", "band", "value")
-    small = rows.where("n is null").select(group.alias("cell"), F.lit(0).alias("part"), "fp")
+def band_masks(radius: int, n: int, tile: int) -> list[int]:
+    """Masks of which fingerprints within the radius share one at least: of radius + 1 bands, one each, or of three bands more, three each, if else n fingerprints would make groups over a tile."""
+    equal = 1 if n >> 64 // (radius + 1) <= tile else 3
+    count = radius + equal
+    edges = [64 * i // count for i in range(count + 1)]
+    bands = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [sum(x) for x in combinations(bands, equal)]
+
+
+def _cells(distinct: DataFrame, radius: int, tile: int, masks: list[int]) -> DataFrame:
+    """(cell, part, fp): part 0 is compared within itself and with part 1; both hold a tile."""
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    bands = [F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("value")) for i, m in enumerate(signed)]
+    rows = distinct.select("fp", F.explode(F.array(*bands)).alias("b")).select("fp", "b.*", F.bit_count("fp").alias("pop"))
+    pops = rows.groupBy("band", "value", "pop").agg(F.count("*").alias("n"))
+    # of a large group, how many tiles each population count has
+    tiles = F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") / tile).cast("int").alias("k"))))
+    large = pops.groupBy("band", "value").agg(F.sum("n").alias("n"), tiles.alias("tiles")).where(F.col("n") > tile).drop("n")
+    rows = rows.join(large, ["band", "value"], "left").withColumn("t", F.expr("pmod(xxhash64(fp), tiles[pop])::int"))
+    small = rows.where("tiles is null").select(F.concat_ws(",", "band", "value").alias("cell"), F.lit(0).alias("part"), "fp")
     place = lambda p, t: F.concat_ws(",", "band", "value", p, t)
     # tile (p, t) meets each tile (q, u) with p <= q <= p + radius; of equal counts, those with t <= u
-    first = F.expr(f"flatten(transform(sequence(pop, pop + {radius}), q -> transform(sequence(if(q = pop, t, 0), ceil(n / {tile})::int - 1), u -> struct(pop AS p, t AS t, q AS q, u AS u))))")
-    second = F.expr(f"flatten(transform(sequence(pop - {radius}, pop), p -> transform(filter(sequence(0, ceil(n / {tile})::int - 1), v -> p < pop OR v < t), v -> struct(p AS p, v AS t, pop AS q, t AS u))))")
-    hot = rows.where("n is not null").select("band", "value", "fp", F.explode(F.concat(F.transform(first, lambda c: F.struct(F.lit(0).alias("part"), c.alias("c"))), F.transform(second, lambda c: F.struct(F.lit(1).alias("part"), c.alias("c"))))).alias("x"))
+    first = F.expr(f"flatten(transform(filter(sequence(pop, pop + {radius}), q -> tiles[q] IS NOT NULL), q -> transform(sequence(if(q = pop, t, 0), tiles[q] - 1), u -> struct(pop AS p, t AS t, q AS q, u AS u))))")
+    second = F.expr(f"flatten(transform(filter(sequence(pop - {radius}, pop), p -> tiles[p] IS NOT NULL), p -> transform(filter(sequence(0, tiles[p] - 1), v -> p < pop OR v < t), v -> struct(p AS p, v AS t, pop AS q, t AS u))))")
+    hot = rows.where("tiles is not null").select("band", "value", "fp", F.explode(F.concat(F.transform(first, lambda c: F.struct(F.lit(0).alias("part"), c.alias("c"))), F.transform(second, lambda c: F.struct(F.lit(1).alias("part"), c.alias("c"))))).alias("x"))
     return small.unionByName(hot.select(F.concat_ws(",", place("x.c.p", "x.c.t"), "x.c.q", "x.c.u").alias("cell"), "x.part", "fp"))
 
 
+def tree_edges(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places to join so that those of equal labels hang together: each to one of FANOUT times fewer, no place many times."""
+    order = np.argsort(labels, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(labels[order]) != 0]))
+    sizes = np.diff(np.concatenate([starts, [len(order)]]))
+    rank = np.arange(len(order)) - np.repeat(starts, sizes)
+    lower = np.flatnonzero(rank > 0)
+    return order[lower], order[lower - rank[lower] + (rank[lower] - 1) // FANOUT]
+
+
 def links(distinct: DataFrame, radius: int = 4, tile: int = 4096) -> DataFrame:
     """(a, b): edges between distinct fingerprints that connect just those the links connect."""
-    cells = _cells(distinct, radius, tile)
+    cells = _cells(distinct, radius, tile, band_masks(radius, distinct.count(), tile))
     schema = "a long, b long"
     out = arrow_schema(schema)
 
@@ -123,8 +142,8 @@ def links(distinct: DataFrame, radius: int = 4, tile: int = 4096) -> DataFrame:
         forest(a, a, radius, labels)
         if len(b):
             forest(a, b, radius, labels)
-        joined = np.flatnonzero(labels != np.arange(len(labels)))
-        return np.stack([everything[joined], everything[labels[joined]]]).view(np.int64)
+        x, y = tree_edges(labels)
+        return np.stack([everything[x], everything[y]]).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by cell; a cell that a batch cuts is carried on."""
