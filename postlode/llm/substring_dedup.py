@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import arrow_schema, shared_folder, slices
+from postlode.llm.common import WRITTEN, arrow_schema, shared_folder, slices
 
 U = np.uint64
 #: Bytes of text in a batch, in a group of batches at most, and in a range of hashes.
@@ -142,7 +142,8 @@ def packed(docs: DataFrame, text_col: str, group_bytes: int, buckets: int) -> Da
             n += 1
 
     name = f"postlode_batches_{uuid.uuid4().hex}"
-    written = named.mapInArrow(run, schema).write.option("path", f"{shared_folder(spark)}/{name}")
+    WRITTEN.append(path := f"{shared_folder(spark)}/{name}")
+    written = named.mapInArrow(run, schema).write.option("path", path)
     written.bucketBy(buckets, "group_id").saveAsTable(name)
     batches = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
@@ -313,16 +314,17 @@ def _answers(column: pa.ChunkedArray | pa.Array, i: int, kind: str) -> np.ndarra
 
 
 def _among(h: np.ndarray, other: np.ndarray, wanted: np.ndarray, wanted_other: np.ndarray) -> np.ndarray:
-    """Which (h, other) are among the wanted; h that are not wanted at all are seen at once."""
-    maybe = np.flatnonzero(np.isin(h, wanted))
-    kind = np.dtype([("h", "<u8"), ("other", "<u4")])
-    pair = lambda a, b: np.rec.fromarrays([a, b], dtype=kind)
-    out = np.zeros(len(h), bool)
-    if len(maybe):
-        one, back = np.unique(np.concatenate([pair(wanted, wanted_other), pair(h[maybe], other[maybe])]), return_inverse=True)
-        known = np.zeros(len(one), bool)
-        known[back[: len(wanted)]] = True
-        out[maybe] = known[back[len(wanted) :]]
+    """Which (h, other) are among the wanted."""
+    order = np.argsort(wanted)
+    wanted, wanted_other = np.append(wanted[order], U(0)), np.append(wanted_other[order], np.uint32(0))
+    out, at = np.zeros(len(h), bool), np.searchsorted(wanted[:-1], h)
+    left = np.flatnonzero((at < len(order)) & (wanted[at] == h))
+    at = at[left]
+    while len(left):  # once, unless wanted ones differ in the further bits alone
+        out[left] |= wanted_other[at] == other[left]
+        at += 1
+        on = (at < len(order)) & (wanted[at] == h[left]) & ~out[left]
+        left, at = left[on], at[on]
     return out
 
 
