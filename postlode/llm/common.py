@@ -3,6 +3,7 @@ all executors share, and batch helpers for Arrow functions."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,12 +33,15 @@ def training_row(doc_id: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local one only where none is set (tests)."""
+    """The folder named in spark.checkpoint.dir. Where none is set, one of this machine, if all of Spark runs on it; else an error."""
     if not (folder := spark.conf.get("spark.checkpoint.dir", None)):
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="postlode-")
         if not current.isDefined():
-            spark.sparkContext.setCheckpointDir(folder)
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postlode-"))
+            current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = current.get()
     return folder.rstrip("/")
 
 
@@ -47,14 +51,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Folders that stored() has written, in order, for drop_stored().
+WRITTEN: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet to the shared folder, and read from there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/postlode-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    WRITTEN.append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Deletes what stored() has written, or those of it alone that are in `paths`; results that still read it are lost."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in [p for p in WRITTEN if paths is None or p in paths]:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        WRITTEN.remove(path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose `column` holds about most_bytes at most (one row at least)."""
     for batch in batches:

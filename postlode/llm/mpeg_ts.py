@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import arrow_schema, slices
+from postlode.llm.common import arrow_schema, slices, stored
 
 #: Fixed values of the format.
 PACKET, SYNC, PAT_PID, PMT_PID, ES_PID, PRIVATE_STREAM = 188, 0x47, 0x0000, 0x1000, 0x0100, 0xBD
@@ -110,6 +110,9 @@ def demux(stream: bytes) -> tuple[bytes, list[tuple[int, int, bool]], int]:
     packets = packets[pid == es]
     adapted = (packets[:, 3] & 0x20) > 0
     packets, adapted = packets[(packets[:, 3] & 0x10) > 0], adapted[(packets[:, 3] & 0x10) > 0]
+    # a packet may be sent twice; the second has the same counter and bytes
+    again = np.concatenate([[False], (packets[1:] == packets[:-1]).all(1)])
+    packets, adapted = packets[~again], adapted[~again]
     counters = packets[:, 3] & 0x0F
     errors = int(((np.diff(counters.astype(np.int64)) & 0x0F) != 1).sum())
     at = np.where(adapted, 5 + packets[:, 4].astype(np.int64), 4)
@@ -132,34 +135,34 @@ def demux(stream: bytes) -> tuple[bytes, list[tuple[int, int, bool]], int]:
 
 
 def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 64) -> DataFrame:
-    """(id, n_bytes, media): the text's UTF-8 bytes, with bytes 0 up to a positive multiple of block, as a transport stream.
+    """(id, n_bytes, media): the text's UTF-8 bytes, with bytes 0 up to a positive multiple of block, as a transport stream, written to the shared folder.
 
-    Null texts count as empty; each row of docs gives one.
+    Null texts count as empty; each row of docs gives one, whatever its id.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.select(F.col(id_col).cast("long").alias("id"), text.cast("binary").alias("text"))
-    schema = "id long, n_bytes long, media binary"
+    named = docs.select(F.col(id_col).alias("id"), text.cast("binary").alias("text"))
+    schema = f"id {named.schema['id'].dataType.simpleString()}, n_bytes long, media binary"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             raw = batch.column("text").to_pylist()
             media = [mux(x.ljust(max(1, -(-len(x) // block)) * block, b"\0")) for x in raw]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column("id").cast(out.field("id").type), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], schema=out)
 
-    return named.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return stored(named.mapInArrow(run, schema), "media").withColumnRenamed("id", id_col)
 
 
 def read_media(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_bytes, media, payload, pts_index, continuity_errors); a damaged stream fails the job."""
+    """(id, n_bytes, media, payload, pts_index, continuity_errors) of stored streams; a damaged stream fails the job."""
     named = media.select(F.col(id_col).alias("id"), "n_bytes", "media")
-    schema = f"id long, n_bytes long, media binary, payload binary, pts_index {INDEX}, continuity_errors int"
+    schema = f"id {named.schema['id'].dataType.simpleString()}, n_bytes long, media binary, payload binary, pts_index {INDEX}, continuity_errors int"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "media", 2 << 20):
             read = [demux(x) for x in batch.column("media").to_pylist()]
             index = [[{"pts": p, "at": a, "random_access": r} for p, a, r in x[1]] for x in read]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([x[0] for x in read], pa.binary()), pa.array(index, out.field("pts_index").type), pa.array([x[2] for x in read], pa.int32())], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field("id").type), batch.column(1), batch.column(2), pa.array([x[0] for x in read], pa.binary()), pa.array(index, out.field("pts_index").type), pa.array([x[2] for x in read], pa.int32())], schema=out)
 
     return named.mapInArrow(run, schema).withColumnRenamed("id", id_col)
