@@ -4,7 +4,8 @@ A record's bytes (header, HTTP header, payload, end) are rows of (record_id,
 chunk_no, last, data), so a payload of any size passes through tasks a chunk at
 a time: the reader carries an incremental digest from chunk to chunk. Records
 of one chunk are read where they lie; longer ones are brought together by
-record and in order of chunk.
+record and in order of chunk. Which record others revisit is found from digests
+and ids alone; only digests that repeat are joined to the payloads.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,36 +34,51 @@ def base32(sha1: bytes) -> str:
     return base64.b32encode(sha1).decode()
 
 
-def header(page: str, url: str | None, record_id: str, digest: str, payload_bytes: int, refers_to: str | None) -> bytes:
-    """The lines before a record's block. Urls are quoted."""
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{record_id}>", f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%~')}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-Id: {page}", f"X-Payload-Bytes: {payload_bytes}", "Content-Type: application/http; msgtype=response"]
+def _quoted(url: str | None) -> str:
+    return quote(url or "", safe=":/?#[]@!$&()*+,;=%~")
+
+
+def record_uuid(page: str, digest: str) -> str:
+    """The id of the record of a page and payload; rows that repeat both are one record, captured again."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{digest}/{page}')}>"
+
+
+def header(page: str, url: str | None, digest: str, payload_bytes: int, refers_to: str | None, refers_url: str | None = None, date: str = "1970-01-01T00:00:00Z") -> bytes:
+    """The lines before a record's block. Urls and page ids are quoted."""
+    kind = "response" if refers_to is None else "revisit"
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Date: {date}", f"WARC-Record-ID: {record_uuid(page, digest)}", f"WARC-Target-URI: {_quoted(url)}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-Id: {quote(page, safe='')}", f"X-Payload-Bytes: {payload_bytes}", "Content-Type: application/http; msgtype=response"]
     if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {refers_to}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_uuid(refers_to, digest)}", f"WARC-Refers-To-Target-URI: {_quoted(refers_url)}", f"X-Refers-To-Page-Id: {quote(refers_to, safe='')}"]
     lines.append(f"Content-Length: {len(HTTP) + (payload_bytes if refers_to is None else 0)}")
     return "\r\n".join([*lines, "", ""]).encode()
 
 
-def record_verdicts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(id, digest, first): for each id and payload the smallest id with that payload; null for payloads under min_bytes."""
+def repeated_payloads(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
+    """(digest, first, first_url): of payloads of min_bytes at least that several rows hold, the smallest id, and the smallest url of that."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    small = pages.select(F.col(id_col).alias("id"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("n")).distinct()
-    first = small.where(F.col("n") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"))
-    return small.join(first, "digest", "left").select("id", "digest", "first")
+    rows = pages.select(F.unhex(F.sha1(payload)).alias("digest"), F.octet_length(payload).alias("n"), F.col(id_col).alias("id"), F.col(url_col).alias("url"))
+    # null ids come first in a least struct, so they are told apart
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "url"))
+    found = rows.where(F.col("n") >= min_bytes).groupBy("digest").agg(F.count("*").alias("times"), least.alias("least"))
+    return found.where("times > 1 and least.id is not null").select("digest", F.col("least.id").alias("first"), F.col("least.url").alias("first_url"))
 
 
-def write_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, chunk_bytes: int = 1 << 20) -> DataFrame:
+def write_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, chunk_bytes: int = 1 << 20, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """The chunk table of one record for each row of pages, written to the shared folder.
 
     Of records with equal payloads of at least min_bytes, that with the
     smallest id is a response and the others revisit it; rows that repeat an id
-    and its payload are alike. A null id never is a response to others.
+    and its payload are alike. A null id never is a response to others; null
+    payloads are empty ones. date is that of the capture. The table of repeated
+    digests is written first: Spark knows its size, broadcasts it if it is
+    small, and else splits the rows of a hot digest.
     """
-    verdicts = record_verdicts(pages, id_col, html_col, min_bytes).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "first")
+    repeated = stored(repeated_payloads(pages, id_col, url_col, html_col, min_bytes), "repeated").withColumnRenamed("digest", "_digest")
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
-    joined = rows.join(verdicts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.unhex(F.sha1(payload)).alias("digest"))
+    joined = rows.join(repeated, F.col("digest") == F.col("_digest"), "left")
     refers = F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id")), F.col("first"))
-    rows = joined.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "url", "payload", "digest", refers.cast("string").alias("refers_to"))
+    rows = joined.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "url", "payload", "digest", refers.cast("string").alias("refers_to"), "first_url")
     out = arrow_schema(CHUNKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,12 +86,12 @@ def write_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         ready: list[tuple] = []
         held = 0
         for batch in batches:
-            ids, urls, digests, refers = (batch.column(c).to_pylist() for c in ("id", "url", "digest", "refers_to"))
+            ids, urls, digests, refers, first_urls = (batch.column(c).to_pylist() for c in ("id", "url", "digest", "refers_to", "first_url"))
             payloads = batch.column("payload")
             for i, page in enumerate(ids):
                 body = memoryview(payloads[i].as_buffer())
                 record, at = str(uuid.uuid5(uuid.NAMESPACE_OID, f"{part}/{at}/{page}")), at + 1
-                head = header(page, urls[i], record, base32(bytes.fromhex(digests[i])), len(body), refers[i]) + HTTP
+                head = header(page, urls[i], base32(digests[i]), len(body), refers[i], first_urls[i], date) + HTTP
                 body = body if refers[i] is None else body[:0]
                 places = range(0, max(1, len(body)), chunk_bytes)
                 # of a long header all but the last piece are chunks without payload
@@ -128,7 +144,8 @@ class Reader:
         digest, stated = base32(self.digest.digest()), f["WARC-Payload-Digest"].removeprefix("sha1:")
         if self.left or not revisit and digest != stated:
             raise ValueError(f"damaged record {f['WARC-Record-ID']}")
-        return f["X-Page-Id"], int(f["X-Payload-Bytes"]) if revisit else self.payload_bytes, stated if revisit else digest, f["WARC-Type"], f.get("X-Refers-To-Page-Id")
+        refers = f.get("X-Refers-To-Page-Id")
+        return unquote(f["X-Page-Id"]), int(f["X-Payload-Bytes"]) if revisit else self.payload_bytes, stated if revisit else digest, f["WARC-Type"], refers and unquote(refers)
 
 
 def read_records(chunks: DataFrame) -> DataFrame:
