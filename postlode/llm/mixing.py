@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 from postlode.llm.common import checkpointed, stored, word_count
 
 
-def numbered_sources(sources: DataFrame) -> DataFrame:
-    """sources with `rank` from 0, by code point and null last, without bringing all of them to one task.
+def running_sums(df: DataFrame, order: Column, sums: dict[str, Column]) -> DataFrame:
+    """df with, for each of `sums`, its total over the rows before a row in `order`, without bringing all rows to one task.
 
-    Ranges of sources are numbered within, and get the number of sources in
-    the ranges before them; only one row a range meets in one task.
+    Rows are dealt out in ranges of `order` and added up within; only one row
+    a range, with the totals of the ranges before it, meets in one task.
     """
-    order = F.col("source").asc_nulls_last()
-    ranged = checkpointed(sources.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    ranged = checkpointed(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return ranged.withColumn("_within", within).join(ranges, "_range").withColumn("rank", F.col("_before") + F.col("_within")).drop("_range", "_within", "_before")
+    totals = ranged.groupBy("_range").agg(*[F.sum(x).alias(name) for name, x in sums.items()])
+    ranges = totals.select("_range", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_{name}") for name in sums])
+    within = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    own = {name: F.coalesce(F.sum(x).over(within), F.lit(0)) for name, x in sums.items()}
+    joined = ranged.withColumns(own).join(ranges, "_range")
+    return joined.withColumns({name: F.col(f"_{name}") + F.col(name) for name in sums}).drop("_range", *[f"_{name}" for name in sums])
+
+
+def numbered_sources(sources: DataFrame) -> DataFrame:
+    """sources with `rank` from 0, by code point and null last."""
+    return running_sums(sources, F.col("source").asc_nulls_last(), {"rank": F.lit(1)})
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3) -> DataFrame:
@@ -27,21 +34,20 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
 
     Sources take the weights in turn and share the sum of all sizes in their
     proportion. A target stops at `most` times its source's size; what it
-    leaves is shared again by weight. Each round needs two sums over the
-    sources, and at least one more source stops in each but the last.
+    leaves is shared again by weight. Those that stop are the first in order of
+    size / weight, so sums over the sources before each one tell where they
+    end, whatever the number of sources. Sources of size 0 have target 0.
     """
     sources = numbered_sources(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     weight = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    sources = checkpointed(sources.withColumn("_weight", weight).withColumn("_most", F.col("source_size") * F.lit(float(most))))
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    share, stopped = 0.0, None
-    while True:
-        full = F.col("_most") <= F.lit(share) * F.col("_weight")
-        at_most, free, n = sources.agg(F.sum(F.when(full, F.col("_most")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("_weight"))), F.sum(full.cast("long"))).first()
-        if not free or n == stopped:
-            break
-        share, stopped = (total - at_most) / free, n
-    return sources.select("source", "source_size", F.least(F.lit(share) * F.col("_weight"), F.col("_most")).alias("target"))
+    sources = sources.withColumn("_weight", weight).withColumn("_most", F.col("source_size") * F.lit(float(most)))
+    sources = running_sums(sources.withColumn("_ratio", F.col("_most") / F.col("_weight")), F.col("_ratio"), {"stopped": F.col("_most"), "used": F.col("_weight")})
+    sources = checkpointed(sources)
+    total, free = sources.agg(F.sum("source_size"), F.sum("_weight")).first()
+    share = (F.lit(float(total or 0)) - F.col("stopped")) / (F.lit(float(free or 0)) - F.col("used"))
+    first = sources.where(share < F.col("_ratio")).agg(F.min_by(share, "_ratio")).first()[0]
+    target = F.col("_most") if first is None else F.least(F.lit(first) * F.col("_weight"), F.col("_most"))
+    return sources.select("source", "source_size", target.alias("target"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1) -> DataFrame:
