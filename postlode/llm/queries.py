@@ -20,13 +20,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def _classified(scores: DataFrame, threshold: float) -> DataFrame:
-    return scores.select("doc_id", (~common.training_row(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def _classified(scores: DataFrame, threshold: float, *more: str) -> DataFrame:
+    return scores.select("doc_id", (~common.training_row(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *more)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _classified(toxicity.score(docs, toxicity.train(docs, labels)), 0.5)
+    return _classified(toxicity.score(docs, toxicity.train(docs, labels)), 0.5, "offending")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

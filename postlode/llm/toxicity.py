@@ -74,24 +74,40 @@ def _softplus(z: float) -> float:
     return max(z, 0.0) + math.log1p(math.exp(-abs(z)))
 
 
+class Bags:
+    """Documents as bags of (words of a sentence, how many such sentences), in flat arrays."""
+
+    def __init__(self, bags: list[list[tuple[tuple[int, ...], int]]], n_words: int):
+        self.n, self.n_words = len(bags), n_words
+        self.bag = np.array([i for i, b in enumerate(bags) for _ in b], np.int64)
+        self.times = np.array([n for b in bags for _, n in b], float)
+        flat = [words for b in bags for words, _ in b]
+        self.kinds = len(flat)
+        self.row = np.repeat(np.arange(len(flat)), list(map(len, flat)))
+        self.word = np.array([w for words in flat for w in words], np.int64)
+
+    def loss(self, theta: np.ndarray, labels: np.ndarray, weight: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
+        """The negative log-likelihood of the labels and its gradient; theta: weights, bias, leak."""
+        z = theta[-2] + np.bincount(self.row, theta[self.word], self.kinds)
+        p, leak = 1 / (1 + np.exp(-np.clip(z, -40, 40))), 1 / (1 + np.exp(-theta[-1]))
+        none = np.bincount(self.bag, self.times * np.logaddexp(0, z), self.n) + np.logaddexp(0, theta[-1])
+        some = np.maximum(-np.expm1(-none), 1e-12)
+        pull = np.where(labels == 1, -np.exp(-none) / some, 1.0) * weight
+        g = self.times * p * pull[self.bag]
+        grad = np.concatenate([np.bincount(self.word, g[self.row], self.n_words), [g.sum(), leak * pull.sum()]]) / weight.sum()
+        grad[:-2] += ridge * theta[:-2]
+        value = (weight * np.where(labels == 1, -np.log(some), none)).sum() / weight.sum() + ridge * (theta[:-2] ** 2).sum() / 2
+        return float(value), grad
+
+
 def fit_noisy_or(bags: list[list[tuple[tuple[int, ...], int]]], labels: np.ndarray, weight: np.ndarray, n_words: int, rounds: int = 400, rate: float = 0.1, ridge: float = 2e-4) -> tuple[np.ndarray, float, float]:
     """Weights, bias and leak for bags of (words of a sentence, how many such sentences), by Adam on the documents' likelihood."""
-    bag = np.array([i for i, b in enumerate(bags) for _ in b], np.int64)
-    times = np.array([n for b in bags for _, n in b], float)
-    flat = [words for b in bags for words, _ in b]
-    row = np.repeat(np.arange(len(flat)), list(map(len, flat)))
-    word = np.array([w for words in flat for w in words], np.int64)
+    data = Bags(bags, n_words)
     theta = np.zeros(n_words + 2)
     theta[-2:] = -2.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
-        z = theta[-2] + np.bincount(row, theta[word], len(flat))
-        p, leak = 1 / (1 + np.exp(-np.clip(z, -40, 40))), 1 / (1 + np.exp(-theta[-1]))
-        none = np.bincount(bag, times * np.logaddexp(0, z), len(bags)) + np.logaddexp(0, theta[-1])
-        pull = np.where(labels == 1, -np.exp(-none) / np.maximum(-np.expm1(-none), 1e-12), 1.0) * weight
-        g = times * p * pull[bag]
-        grad = np.concatenate([np.bincount(word, g[row], n_words), [g.sum(), leak * pull.sum()]]) / weight.sum()
-        grad[:-2] += ridge * theta[:-2]
+        _, grad = data.loss(theta, labels, weight, ridge)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return theta[:-2], float(theta[-2]), float(theta[-1])
@@ -112,6 +128,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     if len(counts) < 2:
         return Model({}, 0.0, math.log(1e3 if counts.get(1) else 1e-3))
     sample = sample.groupBy("text").agg(F.min_by("label", "id").alias("label"), F.min("id").alias("id")).persist()
+    try:
+        return _trained(sample, counts, most_words, least_gain, least_share)
+    finally:
+        sample.unpersist()
+
+
+def _trained(sample: DataFrame, counts: dict[int, int], most_words: int, least_gain: float, least_share: float) -> Model:
+    """train() over the different texts (text, label, id) of its sample."""
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -120,7 +144,6 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
     classes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
-        sample.unpersist()
         return Model({}, 0.0, math.log(1e-3))
     words = sample.mapInArrow(words_of, "label int, word string").groupBy("word").agg(F.sum("label").cast("double").alias("p"), F.sum(1 - F.col("label")).cast("double").alias("n"))
     total = classes[0] + classes[1]
@@ -142,7 +165,6 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
             yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("label"), pa.array(packed)], schema=out)
 
     rows = sorted(sample.mapInArrow(bags_of, schema).collect(), key=lambda r: (len(r["id"]), r["id"]))
-    sample.unpersist()
     bags = []
     for r in rows:
         numbers, bag, i = np.frombuffer(r["sentences"], "<i4").tolist(), [], 0

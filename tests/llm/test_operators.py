@@ -19,7 +19,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postlode.llm import bpe, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
+from postlode.llm import bpe, common, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -154,6 +154,34 @@ def test_toxicity(spark, docs, empty):
     assert model.score("the house. " * 5000, {})[0] < 0.5  # length alone is no evidence
 
 
+def test_noisy_or_is_fitted_by_its_gradient():
+    """The gradient against differences of the likelihood, and the fit against a search without gradients."""
+    rnd = random.Random(17)
+    bags = [[(tuple(sorted(rnd.sample(range(5), rnd.randint(1, 3)))), rnd.randint(1, 3)) for _ in range(rnd.randint(0, 4))] for _ in range(60)]
+    y = np.array([int(any(0 in words for words, _ in b) or rnd.random() < 0.1) for b in bags])
+    weight = np.array([rnd.choice([0.5, 1.0, 2.0]) for _ in bags])
+
+    def plain_loss(theta):
+        total = 0.0
+        for b, label, w in zip(bags, y, weight, strict=True):
+            none = 1 - 1 / (1 + math.exp(-theta[-1]))
+            for words, k in b:
+                none *= (1 - 1 / (1 + math.exp(-theta[-2] - sum(theta[i] for i in words)))) ** k
+            total -= w * math.log(1 - none if label else none)
+        return total / weight.sum() + 0.05 * sum(v * v for v in theta[:-2]) / 2
+
+    data, rng = toxicity.Bags(bags, 5), np.random.default_rng(3)
+    for _ in range(5):
+        theta = rng.normal(size=7)
+        value, grad = data.loss(theta, y, weight, 0.05)
+        assert math.isclose(value, plain_loss(theta), rel_tol=1e-9)
+        for i, step in enumerate(np.eye(7) * 1e-6):
+            assert math.isclose(grad[i], (plain_loss(theta + step) - plain_loss(theta - step)) / 2e-6, rel_tol=1e-4, abs_tol=1e-7)
+    weights, bias, leak = toxicity.fit_noisy_or(bags, y, weight, 5, ridge=0.05)
+    best = plain_loss(np.array([*weights, bias, leak]))
+    assert all(plain_loss(np.array([*weights, bias, leak]) + rng.normal(size=7) * scale) > best - 1e-5 for scale in (0.01, 0.1, 1.0) for _ in range(100))
+
+
 def test_noisy_or():
     model = toxicity.Model({"bad$": 2.0}, -1.0, -3.0)
     p, leak = 1 / (1 + math.exp(-1)), 1 / (1 + math.exp(3))
@@ -240,6 +268,17 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.apply_rules(pages, [], default="block").collect()} == {"block"}
 
 
+def test_url_rules_that_are_equal(spark):
+    """Equal rules: the first of a sequence, the verdict first by code point of a table; hosts in capitals are the same host."""
+    pages = spark.createDataFrame([(1, "http://x.org/a/b"), (2, "http://x.org/a"), (3, "http://x.org/c")], "page_id long, url string").withColumns({"key": F.lit("k"), "salt": F.lit(1), "part": F.lit(2), "kind": F.lit(3), "verdict": F.lit("v")})
+    rules = [("block", "x.org/a"), ("allow", "X.ORG/a"), ("allow", "org/c"), ("block", "x.org/a/b")]
+    read = lambda found: {r.page_id: (r.rule, r.verdict) for r in found.collect()}
+    expected = {1: ("x.org/a/b", "block"), 2: ("x.org/a", "block"), 3: ("org/c", "allow")}
+    assert read(url_filter.apply_rules(pages, rules)) == expected
+    table = spark.createDataFrame(rules, "verdict string, rule string")
+    assert read(url_filter.apply_rules(pages, table)) == expected | {2: ("x.org/a", "allow")}
+
+
 LIBRARY = Tokenizer.from_file(PATH)
 
 
@@ -419,10 +458,24 @@ def test_warc_keeps_long_urls_whole(spark):
     assert {r.fields["X-Page-Id"]: r.fields["WARC-Target-URI"] for r in readers.values()} == {str(i): u for i, u, _ in rows}
 
 
+def test_warc_records_have_what_the_format_asks_for(spark):
+    rows = [("a b\r\nX: y", "http://a/1", "same"), ("b", "http://a/2", "same"), ("c%20", None, "other")]
+    table = warc.write_records(spark.createDataFrame(rows, "page_id string, url string, html string"), date="2024-05-06T07:08:09Z")
+    fields = {}
+    for c in table.collect():
+        reader = warc.Reader()
+        reader.feed(bytes(c.data))
+        fields[reader.result()[0]] = reader.fields
+    assert set(fields) == {"a b\r\nX: y", "b", "c%20"} and {f["WARC-Date"] for f in fields.values()} == {"2024-05-06T07:08:09Z"}
+    first, second = fields["a b\r\nX: y"], fields["b"]
+    assert second["WARC-Refers-To"] == first["WARC-Record-ID"] and second["WARC-Refers-To-Target-URI"] == "http://a/1"
+    assert [r.refers_to for r in warc.read_records(table).orderBy("id").collect()] == [None, "a b\r\nX: y", None]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 7])
 def test_warc_header_over_pieces_of_any_size(size):
     digest = warc.base32(hashlib.sha1(b"a\r\n\r\nb").digest())
-    data = warc.header("1", "http://a", "r", digest, 6, None) + warc.HTTP + b"a\r\n\r\nb\r\n\r\n"
+    data = warc.header("1", "http://a", digest, 6, None) + warc.HTTP + b"a\r\n\r\nb\r\n\r\n"
     reader = warc.Reader()
     for i in range(0, len(data), size):
         reader.feed(data[i : i + size])
@@ -454,12 +507,25 @@ def test_transport_stream_counts_lost_packets_and_refuses_damage():
     packets = [media[i : i + 188] for i in range(0, len(media), 188)]
     del packets[2 + 28 : 2 + 56]  # a whole elementary packet of 28
     assert mpeg_ts.demux(b"".join(packets))[2] == 1
+    twice = [packets[0], packets[1], *[p for x in packets[2:] for p in (x, x)]]
+    assert mpeg_ts.demux(b"".join(twice)) == mpeg_ts.demux(b"".join(packets))
     with pytest.raises(ValueError, match="table"):
         mpeg_ts.demux(media[:20] + b"\x07" + media[21:])
     with pytest.raises(ValueError, match="sync"):
         mpeg_ts.demux(b"\0" + media[1:])
 
 
+def test_stored_tables_can_be_dropped(spark):
+    before = list(common.WRITTEN)
+    media = mpeg_ts.store_media(spark.createDataFrame([("x", "text")], "doc_id string, text string"))
+    assert media.first().doc_id == "x"
+    new = [p for p in common.WRITTEN if p not in before]
+    common.drop_stored(spark, new)
+    assert len(new) == 1 and common.WRITTEN == before
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|not found"):
+        spark.read.parquet(new[0])
+
+
 def test_media_columns(docs, empty):
     found = mpeg_ts.read_media(mpeg_ts.store_media(docs)).collect()
     expected = Counter()
@@ -493,6 +559,42 @@ def test_quality_model(spark, docs, empty):
     assert {r.score for r in quality_model.score(frame.limit(5), one_class).collect()}.__len__() == 1
 
 
+def plain_split(x, g, h, least=1.0, ridge=1.0):
+    """(gain, feature, threshold) of the best split over every value of every feature."""
+    best = (0.0, None, None)
+    for k in range(x.shape[1]):
+        for cut in sorted(set(x[:, k]))[:-1]:
+            left = x[:, k] <= cut
+            if h[left].sum() >= least and h[~left].sum() >= least:
+                gain = g[left].sum() ** 2 / (h[left].sum() + ridge) + g[~left].sum() ** 2 / (h[~left].sum() + ridge) - g.sum() ** 2 / (h.sum() + ridge)
+                best = max(best, (gain, k, cut), key=lambda b: b[0])
+    return best
+
+
+def test_trees_split_where_an_exhaustive_search_does():
+    """With a bin for each value: the first tree's nodes against every split, level by level, leaves against Newton steps."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 30, size=(400, 4)).astype(float)
+    y = ((x[:, 2] > 11) & (x[:, 0] < 20) | (rng.random(400) < 0.1)).astype(int)
+    model = quality_model.fit(x, y, trees=1, depth=2, rate=0.15, bins=4000)
+    g, h = 1 / (1 + math.exp(-model.base)) - y, np.full(len(y), (p := 1 / (1 + math.exp(-model.base))) * (1 - p))
+    nodes = [(model.roots[0], np.arange(len(y)), 0)]
+    while nodes:
+        node, rows, level = nodes.pop()
+        gain, k, cut = plain_split(x[rows], g[rows], h[rows])
+        if level == 2 or k is None:
+            assert model.left[node] == node
+            assert math.isclose(model.value[node], -0.15 * g[rows].sum() / (h[rows].sum() + 1))
+            continue
+        goes = x[rows, model.feature[node]] <= model.threshold[node]
+        parts = [plain_gain for plain_gain in (g[rows][goes], g[rows][~goes])]
+        hs = [h[rows][goes], h[rows][~goes]]
+        own = sum(a.sum() ** 2 / (b.sum() + 1) for a, b in zip(parts, hs, strict=True)) - g[rows].sum() ** 2 / (h[rows].sum() + 1)
+        assert math.isclose(own, gain, rel_tol=1e-9)
+        assert model.feature[node] == k and (goes == (x[rows, k] <= cut)).all()
+        nodes += [(model.left[node], rows[goes], level + 1), (model.right[node], rows[~goes], level + 1)]
+
+
 def test_trees_follow_their_arrays():
     rnd = np.random.default_rng(1)
     x = rnd.normal(size=(500, 3))
