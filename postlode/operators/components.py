@@ -1,31 +1,31 @@
-"""Connected components over (a, b) edges, for the groups within which a fold must be replayed."""
+"""Connected components over (a, b) edges."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlode.shared import checkpointed
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder the session names; in tests without one, in a folder of their own."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postlode-"))
-    return df.checkpoint()
 
+def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """(node, component): the smallest node reachable from each node that has an edge.
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(node, component): each node takes the smallest label around it, and that label's own, until none changes."""
-    both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
+    Rounds join each node to the smallest label around it and then let labels
+    follow their own label, so paths halve; the count of changed labels is all
+    that reaches the driver. Every round is checkpointed.
+    """
+    edges = checkpointed(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).where("x <> y").distinct())
+    state = checkpointed(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("root")))
     for _ in range(most_rounds):
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
-        nearer = labels.join(around, labels["node"] == around["a"], "left").select("node", "component", F.least("component", "m").alias("new"))
-        own = nearer.select(F.col("node").alias("up"), F.col("new").alias("top"))
-        moved = checkpointed(nearer.join(own, nearer["new"] == own["up"], "left").select("node", "component", F.least("new", "top").alias("new")))
-        labels = moved.select("node", F.col("new").alias("component"))
-        if moved.where("component <> new").isEmpty():
-            return labels
+        around = edges.join(state, edges["y"] == state["node"]).groupBy("x").agg(F.min("root").alias("m"))
+        # what a node sees is also told to the node that was its root
+        seen = state.join(around, state["node"] == around["x"]).select("node", "root", F.least("root", "m").alias("m"))
+        hooks = seen.select("node", "m").unionByName(seen.select(F.col("root").alias("node"), "m")).groupBy("node").agg(F.min("m").alias("m"))
+        hooked = state.join(hooks, "node", "left").select("node", "root", F.least("root", F.coalesce("m", "root")).alias("new"))
+        above = hooked.select(F.col("node").alias("up"), F.col("new").alias("top"))
+        moved = checkpointed(hooked.join(above, F.col("new") == F.col("up"), "left").select("node", "root", F.least("new", F.coalesce("top", "new")).alias("new")))
+        state = moved.select("node", F.col("new").alias("root"))
+        if not moved.where("root <> new").limit(1).count():
+            return state.withColumnRenamed("root", "component")
     raise RuntimeError("labels still change")

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
-from postlode.llm.common import arrow_schema
 from postlode.operators.components import components
+from postlode.shared import arrow_schema
 
 #: What the fold needs of a row besides its keys.
 FOLD = ("_ord", "source", "has_description", "has_type", "posted_key")
