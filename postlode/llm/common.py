@@ -1,16 +1,8 @@
-"""Shared pieces of the training-data operators: the word rule, the folder that
-all executors share, and batch helpers for Arrow functions."""
+"""Shared pieces of the training-data operators: the word rule, and which rows train."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than space and U+0009 to U+000D.
@@ -30,65 +22,3 @@ def word_count(text: Column) -> Column:
 def training_row(doc_id: Column) -> Column:
     """False for the fifth of all documents that is held out."""
     return F.crc32(doc_id.cast("string")) % 5 != 0
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir. Where none is set, one of this machine, if all of Spark runs on it; else an error."""
-    if not (folder := spark.conf.get("spark.checkpoint.dir", None)):
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if not current.isDefined():
-            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postlode-"))
-            current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = current.get()
-    return folder.rstrip("/")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint: lineage is cut, lost executors lose nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-#: Folders that stored() has written, in order, for drop_stored().
-WRITTEN: list[str] = []
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet to the shared folder, and read from there."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/postlode-{name}-{uuid.uuid4().hex}"
-    WRITTEN.append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(spark: SparkSession, paths: list[str] | None = None) -> None:
-    """Deletes what stored() has written, or those of it alone that are in `paths`; results that still read it are lost."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for path in [p for p in WRITTEN if paths is None or p in paths]:
-        place = hadoop.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        WRITTEN.remove(path)
-
-
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose `column` holds about most_bytes at most (one row at least)."""
-    for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
-        start = held = 0
-        for i, n in enumerate(sizes):
-            if held and held + n > most_bytes:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += n
-        if start < batch.num_rows:
-            yield batch.slice(start)
-
-
-def arrow_schema(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    return to_arrow_schema(_parse_datatype_string(ddl))

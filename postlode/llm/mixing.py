@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlode.llm.common import checkpointed, stored, word_count
+from postlode.llm.common import word_count
+from postlode.shared import checkpointed, stored
 
 
 def running_sums(df: DataFrame, order: Column, sums: dict[str, Column]) -> DataFrame:

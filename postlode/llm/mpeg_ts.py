@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import arrow_schema, slices, stored
+from postlode.shared import arrow_schema, slices, stored
+
 
 #: Fixed values of the format.
 PACKET, SYNC, PAT_PID, PMT_PID, ES_PID, PRIVATE_STREAM = 188, 0x47, 0x0000, 0x1000, 0x0100, 0xBD

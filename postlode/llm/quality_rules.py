@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import WORD, stored, words
+from postlode.llm.common import WORD, words
+from postlode.shared import stored
 
 SYMBOLS = "[#*$%&|<>]"
 

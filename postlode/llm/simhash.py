@@ -20,7 +20,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import arrow_schema, checkpointed, slices, stored
+from postlode.operators.components import components
+from postlode.shared import arrow_schema, checkpointed, slices, stored
+
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Edges of a node of a spanning tree, besides that to the node above.
@@ -180,34 +182,11 @@ def links(distinct: DataFrame, radius: int = 4, tile: int = 4096) -> DataFrame:
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root): the smallest node reachable from each node that has an edge.
-
-    Rounds join each node to the smallest label around it and then let labels
-    follow their own label, so paths halve; the count of changed labels is all
-    that reaches the driver. Every round is checkpointed.
-    """
-    edges = checkpointed(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).where("x <> y").distinct())
-    state = checkpointed(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("root")))
-    for _ in range(most_rounds):
-        around = edges.join(state, edges["y"] == state["node"]).groupBy("x").agg(F.min("root").alias("m"))
-        # what a node sees is also told to the node that was its root
-        seen = state.join(around, state["node"] == around["x"]).select("node", "root", F.least("root", "m").alias("m"))
-        hooks = seen.select("node", "m").unionByName(seen.select(F.col("root").alias("node"), "m")).groupBy("node").agg(F.min("m").alias("m"))
-        hooked = state.join(hooks, "node", "left").select("node", "root", F.least("root", F.coalesce("m", "root")).alias("new"))
-        above = hooked.select(F.col("node").alias("up"), F.col("new").alias("top"))
-        moved = checkpointed(hooked.join(above, F.col("new") == F.col("up"), "left").select("node", "root", F.least("new", F.coalesce("top", "new")).alias("new")))
-        state = moved.select("node", F.col("new").alias("root"))
-        if not moved.where("root <> new").limit(1).count():
-            return state
-    raise RuntimeError("labels still change")
-
-
 def _rooted(classes: DataFrame, radius: int, tile: int) -> DataFrame:
     """(fp, least, root) of distinct fingerprints (fp, least): those of one component have one root."""
     classes = stored(classes, "classes")
     roots = components(links(classes.select("fp"), radius, tile))
-    return checkpointed(classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    return checkpointed(classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")))
 
 
 def representatives(docs: DataFrame, row: Column, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, tile: int = 4096) -> DataFrame:

@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import WRITTEN, arrow_schema, shared_folder, slices
+from postlode.shared import WRITTEN, arrow_schema, shared_folder, slices
+
 
 U = np.uint64
 #: Bytes of text in a batch, in a group of batches at most, and in a range of hashes.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import checkpointed, training_row
+from postlode.llm.common import training_row
+from postlode.shared import checkpointed
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:

@@ -21,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.common import arrow_schema, stored
+from postlode.shared import arrow_schema, stored
+
 
 CHUNKS = "record_id string, chunk_no int, last boolean, data binary"
 RECORDS = "id string, payload_bytes long, payload_digest string, record_type string, refers_to string"

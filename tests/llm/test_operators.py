@@ -19,7 +19,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postlode.llm import bpe, common, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
+from postlode import shared
+from postlode.llm import bpe, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -516,12 +517,12 @@ def test_transport_stream_counts_lost_packets_and_refuses_damage():
 
 
 def test_stored_tables_can_be_dropped(spark):
-    before = list(common.WRITTEN)
+    before = list(shared.WRITTEN)
     media = mpeg_ts.store_media(spark.createDataFrame([("x", "text")], "doc_id string, text string"))
     assert media.first().doc_id == "x"
-    new = [p for p in common.WRITTEN if p not in before]
-    common.drop_stored(spark, new)
-    assert len(new) == 1 and common.WRITTEN == before
+    new = [p for p in shared.WRITTEN if p not in before]
+    shared.drop_stored(spark, new)
+    assert len(new) == 1 and shared.WRITTEN == before
     with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|not found"):
         spark.read.parquet(new[0])
 
