@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from postlode import ship
 from postlode.llm import bpe, mixing, simhash, substring_dedup, toxicity
-from postlode.llm.common import stored
+from postlode.shared import WRITTEN, drop_stored, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below 0.5; the model learns from the labels of the documents given."""
+    """Documents whose toxicity is below 0.5; the model learns from the labels of the documents given.
+
+    Null and empty texts have the leak's score alone; labels of other documents
+    do not count; repeated rows are scored alike; an empty table stays empty.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs, model, keep=COLUMNS[2:])
     return scored.where("score < 0.5").select(*COLUMNS)
@@ -44,12 +48,20 @@ def remove_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it: not at all, or up to three times."""
+    """Each document as often as the mix of sources takes it: not at all, or up to three times.
+
+    Texts without words are taken at their source's rate too; a null source is
+    a source of its own; rows that repeat an id are drawn alike; a source
+    without words, or an empty table, gives no rows.
+    """
     return mixing.mixed_documents(docs).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's tokens: (doc_id, source, n_tokens, ids), ids packed as little-endian unsigned 32-bit numbers."""
+    """Each document's tokens: (doc_id, source, n_tokens, ids), ids packed as little-endian unsigned 32-bit numbers.
+
+    Null and empty texts have no tokens; repeated rows stay repeated.
+    """
     ids = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=("source",))
     return ids.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
@@ -61,14 +73,19 @@ STAGES = [
     ("mixing", mix_sources),
     ("bpe", encode),
 ]
-#: Training, fingerprints and merges are beyond SQL; tests hold every stage against a plain version.
+#: Training, fingerprints and merges are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over sf_dir's documents, each written to the shared folder as Parquet and read again."""
+    """All stages over sf_dir's documents, each written to the shared folder as Parquet and read again.
+
+    What a stage wrote on its way is deleted when its result is written.
+    """
     ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
+        known = set(WRITTEN)
         docs = stored(stage(spark, docs, sf_dir), name)
+        drop_stored(spark, [p for p in WRITTEN if p not in known][:-1])
     return STAGES[-1][1](spark, docs, sf_dir)
