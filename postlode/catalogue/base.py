@@ -81,7 +81,12 @@ def reasons() -> list[Reason]:
 
 
 REASON_SQL = f"CASE WHEN {mentions_sql('title', SENIOR)} THEN 'senior' WHEN employment_type = 'FULL_TIME' THEN 'full_time' WHEN regexp_matches(description, '\\b[0-9]+ (?:years|ans|Jahre)') THEN 'experience' WHEN regexp_matches(description, '[#$%]{{3}}') THEN 'symbols' WHEN (DATE '2024-01-01' - posted_at) / 30.44 > 12 THEN 'stale' END"
-SCORE_PARTS_SQL = f"{AREA_SQL} + CASE WHEN {mentions_sql('description', ['ering'])} THEN 1.0 ELSE 0 END + CASE WHEN {mentions_sql('description', ['hend'])} THEN 1.0 ELSE 0 END + CASE WHEN country_iso = 'en' THEN 1.5 WHEN country_iso = 'fr' THEN -0.5 ELSE 0 END - CASE WHEN {mentions_sql('title', SENIOR)} THEN 3.0 ELSE 0 END"
+SCORE_PARTS = {
+    "skills": f"CASE WHEN {mentions_sql('description', ['ering'])} THEN 1.0 ELSE 0 END + CASE WHEN {mentions_sql('description', ['hend'])} THEN 1.0 ELSE 0 END",
+    "language": "CASE WHEN country_iso = 'en' THEN 1.5 WHEN country_iso = 'fr' THEN -0.5 ELSE 0 END",
+    "penalty": f"CASE WHEN {mentions_sql('title', SENIOR)} THEN -3.0 ELSE 0 END",
+}
+SCORE_PARTS_SQL = " + ".join([AREA_SQL, *SCORE_PARTS.values()])
 DECAY_SQL = "pow(0.5, least(greatest(DATE '2024-01-01' - posted_at, 0), 3650) / 365.0)"
 
 

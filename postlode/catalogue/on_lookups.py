@@ -107,7 +107,10 @@ def requirement_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+TOKENS_SQL = f"regexp_extract_all({fold_sql('text')}, '[a-z0-9]+')"
+
+
+@query(f"WITH i AS (SELECT item_id AS id, w, \"at\" FROM (SELECT item_id, unnest(t) AS w, unnest(range(len(t))) AS \"at\" FROM (SELECT item_id, {TOKENS_SQL} AS t FROM benchmark))), k AS (SELECT DISTINCT unnest({TOKENS_SQL}) AS w FROM documents), c AS (SELECT id, w, count(*) AS n, min(\"at\") AS \"at\" FROM i WHERE w NOT IN (SELECT w FROM k) GROUP BY id, w) SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, \"at\") AS place FROM c QUALIFY place <= 8")
 def distinctive_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), similarity.words(F.col("text")).alias("words"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), similarity.words(F.col("text")).alias("words"))

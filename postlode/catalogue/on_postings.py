@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.catalogue.base import AREA_SQL, DECAY_SQL, REASON_SQL, SCORE_PARTS_SQL, SKILLS, STAGES_SQL, P, area, components, fold_sql, mentions_sql, now, postings, query, reasons, stages, table
-from postlode.functions import extract
+from postlode.catalogue.base import AREA_SQL, DECAY_SQL, REASON_SQL, SCORE_PARTS, SCORE_PARTS_SQL, SKILLS, STAGES_SQL, P, area, components, fold_sql, mentions_sql, now, postings, query, reasons, stages, table
+from postlode.functions import extract, money
 from postlode.functions.text import FUNCTION_WORDS, canonical_url, title_bag
 from postlode.operators import benchmarks, dedup, filters, scoring, similarity, snapshots
 from postlode.plans.refresh import Plan
@@ -41,7 +41,12 @@ def score_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).select("id", "score")
 
 
-@query()
+#: The parts of a score as rows; what decay takes is a part too.
+PARTS_SQL = [("area", AREA_SQL), *[(n, SCORE_PARTS[n]) for n in ("skills", "language", "penalty")]]
+BREAKDOWN = f"{P}, q AS (SELECT *, {', '.join(f'round({c}, 2) AS {n}' for n, c in PARTS_SQL)} FROM p), d AS (SELECT *, round(round((area + skills + language + penalty) * {DECAY_SQL}, 2) - (area + skills + language + penalty), 2) AS decay FROM q), b AS (UNPIVOT (SELECT id, area, skills, language, penalty, decay FROM d) ON area, skills, language, penalty, decay INTO NAME component VALUE value)"
+
+
+@query(f"{BREAKDOWN} SELECT id, component, value, row_number() OVER (PARTITION BY id ORDER BY abs(value) DESC, component) AS place FROM b WHERE value <> 0")
 def score_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.signals(scored(spark, sf_dir))
 
@@ -128,7 +133,7 @@ def mean_score_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmarks.by_label(labelled(spark, sf_dir))
 
 
-@query()
+@query(f"{BREAKDOWN} SELECT component, quality AS label, round(avg(value), 4) AS mean_value FROM b JOIN labels ON labels.doc_id = b.id GROUP BY component, quality")
 def component_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmarks.component_profile(labelled(spark, sf_dir))
 
@@ -167,7 +172,14 @@ def dedup_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.cascade(postings(spark, sf_dir))
 
 
-@query()
+WORD_OF = "regexp_matches(title, '(?i)(?:^|[^\\pL\\pM\\pN_])(?:{})(?:$|[^\\pL\\pM\\pN_])')"
+GERMAN_SQL, ENGLISH_SQL = WORD_OF.format("der|die|das|und|praktik[\\pL\\pM\\pN_]+|werkstudent[\\pL\\pM\\pN_]*"), WORD_OF.format("the|and|intern[\\pL\\pM\\pN_]*|working student")
+MIRROR_SQL = f"""{P}, m AS (SELECT *, {BAG_SQL} AS bag, CASE WHEN {GERMAN_SQL} AND NOT {ENGLISH_SQL} THEN 'de' WHEN {ENGLISH_SQL} AND NOT {GERMAN_SQL} THEN 'en' END AS language, id // 2 AS requisition FROM p),
+w AS (SELECT *, first_value(id) OVER o AS winner, first_value(bag) OVER o AS wbag, first_value(language) OVER o AS wlanguage, first_value(country_iso) OVER o AS wcountry, first_value(employment_type) OVER o AS wtype FROM m WINDOW o AS (PARTITION BY requisition ORDER BY coalesce(description, '') <> '' DESC, coalesce(employment_type, '') <> '' DESC, posted_at NULLS LAST, id))
+SELECT id AS loser, winner FROM w WHERE id <> winner AND coalesce(country_iso = wcountry, TRUE) AND coalesce(employment_type = wtype, TRUE) AND (bag = wbag OR coalesce(language <> wlanguage, FALSE))"""
+
+
+@query(MIRROR_SQL)
 def dedup_mirrors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.mirrors(postings(spark, sf_dir).withColumn("source", F.lit("board")).withColumn("company", F.lit("co")))
 
@@ -177,7 +189,7 @@ def dedup_cross_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.cross_source(postings(spark, sf_dir).withColumns({"location": F.lit("Berlin"), "company": F.lit("Acme GmbH")}))
 
 
-@query()
+@query(f"{P}, n AS (SELECT id, bag, anywhere, row_number() OVER (PARTITION BY bag, anywhere ORDER BY id) AS n FROM (SELECT id, {BAG_SQL} AS bag, location = 'city0' AS anywhere FROM p)) SELECT a.id AS loser, b.id AS winner FROM n a JOIN n b ON a.bag = b.bag AND a.n = b.n WHERE a.anywhere AND NOT b.anywhere")
 def dedup_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.wildcard_pairs(postings(spark, sf_dir).withColumn("company", F.lit("co")), F.col("location") == "city0")
 
@@ -199,7 +211,9 @@ def jd_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), extract.salary(F.col("text")).alias("s")).where("s IS NOT NULL").select("id", "s.*")
+    """Pay that documents state; only texts with a currency are searched."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(rf"(?i){money.CURRENCY}"))
+    return docs.select(F.col("doc_id").alias("id"), money.salary(F.col("text")).alias("s")).where("s IS NOT NULL").select("id", "s.*")
 
 
 @query()

@@ -174,7 +174,12 @@ def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.inline(readers.links(F.col("html"))))
 
 
-@query()
+ENTITY_SQL = "regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<head\\b.*?</head\\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+for _entity, _sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    ENTITY_SQL = f"replace({ENTITY_SQL}, '{_entity}', '{_sign}')"
+
+
+@query(f"SELECT page_id, trim(regexp_replace({ENTITY_SQL}, '[\\s\\x0B]+', ' ', 'g')) AS text FROM pages")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", readers.html_text(F.col("html")).alias("text"))
 

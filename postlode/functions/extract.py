@@ -1,17 +1,13 @@
-"""Facts in free text: levels of a language, salaries, deadlines, durations, starts."""
+"""Facts in free text: levels of a language, deadlines, durations, work modes."""
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MONEY = r"(?i)(?:€|eur|usd|\$)\s*\d[\d.,]*(?:\s*(?:-|–|to|bis)\s*(?:€|eur|usd|\$)?\s*\d[\d.,]*)?|\d[\d.,]*\s*(?:€|eur|usd|\$)"
+from postlode.functions.spans import after, around, let, spans
+
 DATE = r"(\d{1,2}\.\d{1,2}\.\d{4}|\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4})"
-LEVEL = T.StructType([T.StructField("level", T.StringType()), T.StructField("reason", T.StringType())])
 #: The stronger demand first.
 QUALIFIERS = {
     "fluent": r"\b(?:native|mother tongue|fluent|fließend|verhandlungssicher|c1|c2)\b",
@@ -21,50 +17,23 @@ QUALIFIERS = {
 SOFT = r"\b(?:plus|advantage|nice to have|von vorteil|wünschenswert)\b"
 
 
-def language_level(text: Column, language: str = r"\b(?:german|deutsch)\w*", before: int = 45, after: int = 25, qualifiers: dict[str, str] | None = None, soft: str = SOFT) -> Column:
+def language_level(text: Column, language: str = r"\b(?:german|deutsch)\w*", ahead: int = 45, behind: int = 25, qualifiers: dict[str, str] | None = None, soft: str = SOFT) -> Column:
     """struct(level, reason): the strongest demand in a window around any mention of a language, null without a mention.
 
-    A qualifier counts within `before` characters ahead of a mention and
-    `after` behind it; a demand that the text right after calls welcome is
-    `optional`. Only texts with a mention reach Python.
+    A qualifier counts within `ahead` characters before a mention and `behind`
+    after it; a demand that the text right behind calls welcome is `optional`.
     """
-    strong = [(n, re.compile(p, re.I)) for n, p in (qualifiers or QUALIFIERS).items()]
-    word, gentle = re.compile(language, re.I), re.compile(soft, re.I)
-    order = [n for n, _ in strong] + ["mentioned", "optional"]
-
-    @F.pandas_udf(LEVEL)
-    def level(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            found = []
-            for m in word.finditer(t or ""):
-                window = t[max(0, m.start() - before) : m.end() + after]
-                if gentle.search(t, m.end(), m.end() + 2 * after):
-                    found.append(("optional", window))
-                else:
-                    found.append((next((n for n, p in strong if p.search(window)), "mentioned"), window))
-            rows.append(min(found, key=lambda x: order.index(x[0]), default=(None, None)))
-        return pd.DataFrame(rows, columns=["level", "reason"])
-
-    mention = F.when(text.rlike(f"(?iU){language}"), text)
-    return F.when(mention.isNotNull(), level(mention))
-
-
-def money_clauses(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(MONEY), F.lit(0))
-
-
-def salary(text: Column, most_monthly: float = 6000.0) -> Column:
-    """struct(amount, currency, period) of the first money clause, null without one; too much for a month is a year's."""
-    clause = F.get(money_clauses(text), F.lit(0))
-    number = F.regexp_extract(clause, r"\d[\d.,]*\d|\d", 0)
-    cents = number.rlike(r"[.,]\d{1,2}$")
-    whole = F.regexp_replace(F.regexp_replace(number, r"[.,]\d{1,2}$", ""), "[.,]", "")
-    amount = F.when(cents, whole).otherwise(F.regexp_replace(number, "[.,]", "")).try_cast("double")
-    currency = F.when(clause.rlike(r"(?i)\$|usd"), "USD").otherwise("EUR")
-    hourly = text.rlike(r"(?i)(?:per hour|pro stunde|/\s*h\b|hourly)")
-    period = F.when(hourly, "hour").when(amount > most_monthly, "year").otherwise("month")
-    return F.when(clause.isNotNull(), F.struct(amount.alias("amount"), currency.alias("currency"), period.alias("period")))
+    strong = list((qualifiers or QUALIFIERS).items())
+    names = [n for n, _ in strong] + ["mentioned", "optional"]
+
+    def ranked(s: Column) -> Column:
+        window = around(text, s, ahead, behind)
+        found = F.coalesce(*[F.when(window.rlike(f"(?i){p}"), F.lit(i)) for i, (_, p) in enumerate(strong)], F.lit(len(strong)))
+        rank = F.when(after(text, s, 2 * behind).rlike(f"(?i){soft}"), len(strong) + 1).otherwise(found)
+        return F.struct(rank.alias("rank"), s["at"].alias("at"), window.alias("reason"))
+
+    best = let(F.array_min(F.transform(spans(text, f"(?iU){language}"), ranked)), lambda b: F.when(b.isNotNull(), F.struct(F.get(F.array(*map(F.lit, names)), b["rank"]).alias("level"), b["reason"].alias("reason"))))
+    return F.when(text.isNotNull(), best)
 
 
 def deadline(text: Column, marker: str = r"(?i)(?:deadline|apply by|bewerbungsfrist|bis zum)[^\d]{0,40}") -> Column:
@@ -82,17 +51,23 @@ def deadline_kind(employer: Column, text: Column, platform: Column) -> Column:
     return F.when(employer.isNotNull(), "employer").when(deadline(text).isNotNull(), "textual").when(platform.isNotNull(), "platform").otherwise("none")
 
 
+def deadline_date(employer: Column, text: Column, platform: Column) -> Column:
+    """The date of the deadline that deadline_kind names."""
+    return F.coalesce(employer, deadline(text), platform)
+
+
+def days_until(due: Column, today: Column) -> Column:
+    return F.datediff(due, today)
+
+
+def reference_day(collected_at: Column) -> Column:
+    """The day of a run, as an aggregate: that of its newest row."""
+    return F.to_date(F.max(collected_at))
+
+
 def urgency(days_left: Column) -> Column:
     return F.when(days_left < 0, "past").when(days_left <= 7, "red").when(days_left <= 21, "yellow").when(days_left.isNotNull(), "green")
 
 
 def work_mode(remote: Column, text: Column) -> Column:
     return F.when(text.rlike(r"(?i)\bhybrid\b"), "hybrid").when(F.coalesce(remote, F.lit(False)) | text.rlike(r"(?i)\b(?:remote|home ?office)\b"), "remote").otherwise("on_site")
-
-
-def start_windows(text: Column) -> Column:
-    """Months with a year, as yyyy-MM, in the order of the text."""
-    names = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-    hits = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"\b(?:" + "|".join(names) + r")[a-z]*\.?\s+20\d\d\b"), F.lit(0))
-    number = F.create_map(*[x for i, n in enumerate(names, 1) for x in (F.lit(n), F.lit(f"{i:02d}"))])
-    return F.transform(hits, lambda h: F.concat(F.right(h, F.lit(4)), F.lit("-"), F.element_at(number, F.left(h, F.lit(3)))))

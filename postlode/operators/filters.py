@@ -35,6 +35,12 @@ def hard_removals(rows: DataFrame, reasons: Sequence[Reason], column: str = "rea
     return rows.where(F.col(column).isNull() | ~F.col(column).isin([r.name for r in reasons if r.hard]))
 
 
+def reason_matrix(rows: DataFrame, by: str, names: Sequence[str], column: str = "reason") -> DataFrame:
+    """The reasons as columns: rows, rows of each reason, and those that no reason names, by group."""
+    named = [F.count_if(F.col(column) == n).alias(n) for n in names]
+    return rows.groupBy(by).agg(F.count("*").alias("total"), *named, F.count_if(F.col(column).isNull()).alias("applicable"))
+
+
 def assessability(description: Column, short: int = 600, wall: str = r"(?i)\b(?:sign in|log in) to (?:view|continue)\b") -> Column:
     """Why a description cannot be judged: empty, login_wall, short, or null."""
     text = F.trim(F.coalesce(description, F.lit("")))

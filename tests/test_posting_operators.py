@@ -10,7 +10,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postlode.functions import extract, text
+from postlode.functions import extract, money, seasons, text
 from postlode.operators import dedup, filters, health, scoring, similarity, snapshots
 from postlode.operators.components import components
 from postlode.rules import Area, Reason, first_reason
@@ -239,8 +239,8 @@ def test_language_level(spark):
 def test_extractors(spark):
     rows = spark.createDataFrame([("Salary: 60.000 EUR, apply by 31.12.2024, for 3-6 months from March 2025",), ("nothing",), (None,)], "t string")
     t = F.col("t")
-    found = rows.select(extract.salary(t).alias("s"), extract.deadline(t).alias("d"), extract.duration_months(t).alias("m"), extract.start_windows(t).alias("w")).collect()
-    assert found[0].s.asDict() == {"amount": 60000.0, "currency": "EUR", "period": "year"}
+    found = rows.select(money.salary(t).alias("s"), extract.deadline(t).alias("d"), extract.duration_months(t).alias("m"), seasons.season_hits(t)["start"].alias("w")).collect()
+    assert (found[0].s.min, found[0].s.currency, found[0].s.period, found[0].s.provenance) == (60000.0, "EUR", None, "unit_unconfirmed")
     assert (found[0].d, found[0].m, found[0].w) == (dt.date(2024, 12, 31), 3, ["2025-03"])
     assert [(r.s, r.d, r.m, r.w) for r in found[1:]] == [(None, None, None, []), (None, None, None, [])]
 
