@@ -22,7 +22,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # what a node sees is also told to the node that was its root
         seen = state.join(around, state["node"] == around["x"]).select("node", "root", F.least("root", "m").alias("m"))
         hooks = seen.select("node", "m").unionByName(seen.select(F.col("root").alias("node"), "m")).groupBy("node").agg(F.min("m").alias("m"))
-        hooked = state.join(hooks, "node", "left").select("node", "root", F.least("root", F.coalesce("m", "root")).alias("new"))
+        # written first, so that both sides of the next join are shuffled and Spark can split the rows of a label that many have
+        hooked = checkpointed(state.join(hooks, "node", "left").select("node", "root", F.least("root", F.coalesce("m", "root")).alias("new")))
         above = hooked.select(F.col("node").alias("up"), F.col("new").alias("top"))
         moved = checkpointed(hooked.join(above, F.col("new") == F.col("up"), "left").select("node", "root", F.least("new", F.coalesce("top", "new")).alias("new")))
         state = moved.select("node", F.col("new").alias("root"))
