@@ -3,15 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.functions.text import fold
+from postlode.functions.text import ACCENTED, PLAIN, fold
 
 #: A starting dimension; callers pass their own.
 COUNTRIES = {"germany": "de", "deutschland": "de", "france": "fr", "spain": "es", "netherlands": "nl", "austria": "at", "switzerland": "ch", "united kingdom": "gb", "united states": "us", "usa": "us", "poland": "pl", "italy": "it"}
-EUROPE = ("at", "be", "ch", "de", "dk", "es", "fr", "gb", "ie", "it", "nl", "no", "pl", "pt", "se")
+#: Codes that the word `europe` stands for.
+EUROPE = tuple("ad al at ba be bg ch cy cz de dk ee es fi fr gb gr hr hu ie is it li lt lu lv mc md me mk mt nl no pl pt ro rs se si sk sm ua uk va".split())
+
+
+@lru_cache(4)
+def iso_countries(spark: SparkSession, languages: tuple[str, ...] = ("en", "de")) -> dict[str, str]:
+    """Folded names of all countries of ISO 3166 in some languages -> code, from the tables of the Java runtime."""
+    locale = spark._jvm.java.util.Locale
+    shown = [locale.forLanguageTag(x) for x in languages]
+    return {plain(locale("", code).getDisplayCountry(x)): code.lower() for code in locale.getISOCountries() for x in shown} | COUNTRIES
+
+
+def plain(name: str) -> str:
+    """A name as `fold` folds columns."""
+    return name.lower().replace("ß", "ss").translate(str.maketrans(ACCENTED, PLAIN))
 
 
 def _literal(names: Mapping[str, str]) -> Column:
@@ -28,7 +43,8 @@ def infer_country(location: Column, country: Column, iso: Column, names: Mapping
     """The ISO code: a country's name as a whole part of the place beats the given codes, which beat a code at its end.
 
     Names are sought as the last part, the first, in brackets at a part's end,
-    and before ` - `; a name inside a longer word never counts.
+    and before ` - `; a name inside a longer word never counts. A code as the
+    first of several parts counts as a name; one in the middle never does.
     """
     known, parts = _literal(names), segments(location)
     codes = F.array(*[F.lit(c) for c in sorted(set(names.values()))])
@@ -41,7 +57,9 @@ def infer_country(location: Column, country: Column, iso: Column, names: Mapping
     given = lambda c: F.when(F.array_contains(codes, F.lower(F.trim(c))), F.lower(F.trim(c)))
     tail = F.regexp_extract(F.array_join(parts, ","), r"(?:^|,)([a-z]{2})(?:,\d{4,6})?$", 1)
     token = F.when(F.array_contains(codes, tail), tail)
-    return F.coalesce(of(F.get(backwards, F.lit(0))), of(F.get(parts, F.lit(0))), bracket, dashed, anywhere, given(iso), given(country), token)
+    leading = F.get(parts, F.lit(0))
+    lead = F.when((F.size(parts) > 1) & F.array_contains(codes, leading), leading)
+    return F.coalesce(of(F.get(backwards, F.lit(0))), of(leading), lead, bracket, dashed, anywhere, given(iso), given(country), token)
 
 
 def parse_country_spec(spec: str, known: Mapping[str, str] = COUNTRIES) -> frozenset[str] | str:

@@ -2,9 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlode.operators.running import running_sums
+
+
+def _below(rows: DataFrame, by: str | None) -> tuple[DataFrame, list]:
+    """Counts of each label at each score, with those at lower scores (below_<label>), and the labels in order.
+
+    Labels are a short scale. Without groups, scores are dealt out in ranges.
+    """
+    group = [by] if by else []
+    counts = rows.groupBy(*group, "score", "label").agg(F.count("*").alias("n"))
+    labels = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
+    wide = counts.groupBy(*group, "score").pivot("label", labels).agg(F.sum("n")).na.fill(0)
+    if not by:
+        return running_sums(wide, F.col("score"), {f"below_{x}": F.col(f"`{x}`") for x in labels}), labels
+    below = Window.partitionBy(by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    return wide.withColumns({f"below_{x}": F.coalesce(F.sum(f"`{x}`").over(below), F.lit(0)) for x in labels}), labels
+
 
 def concordance(rows: DataFrame, by: str | None = None) -> DataFrame:
     """(pairs, concordant, discordant, tied, concordance, tau) of rows with label and score, by group.
@@ -13,19 +32,43 @@ def concordance(rows: DataFrame, by: str | None = None) -> DataFrame:
     label); running sums over scores then give the pairs, in n log n.
     """
     group = [by] if by else []
-    counts = rows.groupBy(*group, "score", "label").agg(F.count("*").alias("n"))
-    # labels are a short scale
-    labels = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
-    below = (Window.partitionBy(by) if by else Window.partitionBy()).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    wide = counts.groupBy(*group, "score").pivot("label", labels).agg(F.sum("n")).na.fill(0)
-    for x in labels:
-        wide = wide.withColumn(f"below_{x}", F.coalesce(F.sum(f"`{x}`").over(below), F.lit(0)))
-    good = sum((F.col(f"`{hi}`") * F.col(f"below_{lo}") for i, hi in enumerate(labels) for lo in labels[:i]), F.lit(0))
-    bad = sum((F.col(f"`{lo}`") * F.col(f"below_{hi}") for i, hi in enumerate(labels) for lo in labels[:i]), F.lit(0))
-    tied = sum((F.col(f"`{hi}`") * F.col(f"`{lo}`") for i, hi in enumerate(labels) for lo in labels[:i]), F.lit(0))
+    wide, labels = _below(rows, by)
+    over = lambda f: sum((f(hi, lo) for i, hi in enumerate(labels) for lo in labels[:i]), F.lit(0))
+    good = over(lambda hi, lo: F.col(f"`{hi}`") * F.col(f"below_{lo}"))
+    bad = over(lambda hi, lo: F.col(f"`{lo}`") * F.col(f"below_{hi}"))
+    tied = over(lambda hi, lo: F.col(f"`{hi}`") * F.col(f"`{lo}`"))
     sums = wide.groupBy(*group).agg(F.sum(good).alias("concordant"), F.sum(bad).alias("discordant"), F.sum(tied).alias("tied"))
     pairs = F.col("concordant") + F.col("discordant") + F.col("tied")
-    return sums.select(*group, pairs.alias("pairs"), "concordant", "discordant", "tied", F.round(F.when(pairs > 0, F.col("concordant") / pairs), 6).alias("concordance"), F.round(F.when(pairs > 0, (F.col("concordant") - F.col("discordant")) / pairs), 6).alias("tau"))
+    share = lambda x: F.round(F.when(pairs > 0, x / pairs), 6)
+    return sums.select(*group, pairs.alias("pairs"), "concordant", "discordant", "tied", share(F.col("concordant")).alias("concordance"), share(F.col("concordant") - F.col("discordant")).alias("tau"))
+
+
+def inversions(rows: DataFrame) -> DataFrame:
+    """rows with `outranked`: how many rows of a lower label have a higher score. No pairs are made."""
+    wide, labels = _below(rows, None)
+    totals = rows.groupBy().agg(*[F.count_if(F.col("label") == x).alias(f"all_{x}") for x in labels])
+    above = {x: F.col(f"all_{x}") - F.col(f"below_{x}") - F.col(f"`{x}`") for x in labels}
+    by_label = F.array(*[F.struct(F.lit(x).alias("_label"), sum((above[lo] for lo in labels[:i]), F.lit(0)).cast("long").alias("outranked")) for i, x in enumerate(labels)])
+    # totals is one row
+    table = wide.join(F.broadcast(totals)).select(F.col("score").alias("_score"), F.inline(by_label))
+    return rows.join(table, (F.col("score") == F.col("_score")) & (F.col("label") == F.col("_label"))).drop("_score", "_label")
+
+
+def extremes(rows: DataFrame, labels: Sequence, limit: int = 6, best: bool = True) -> DataFrame:
+    """Of some labels the rows with the highest scores (good scores of bad labels), or the lowest."""
+    order = F.desc("score") if best else F.asc("score")
+    return rows.where(F.col("label").isin(*labels)).orderBy(order, "id").limit(limit)
+
+
+def ranks_within(rows: DataFrame, by: str, order: Sequence[Column]) -> DataFrame:
+    """rows with their rank among the rows of one stratum."""
+    return rows.withColumn("rank_within", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+
+
+def rescored_outcomes(outcomes: DataFrame, scores: DataFrame) -> DataFrame:
+    """(day, n, mean_score, answered_mean) of outcomes (id, day, answered) under the scores (id, score) of today."""
+    joined = outcomes.join(scores, "id")
+    return joined.groupBy("day").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("mean_score"), F.round(F.avg(F.when(F.col("answered"), F.col("score"))), 4).alias("answered_mean"))
 
 
 def tie_groups(rows: DataFrame) -> DataFrame:

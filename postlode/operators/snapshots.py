@@ -53,3 +53,22 @@ def asof_latest(left: DataFrame, right: DataFrame, by: str, left_time: str, righ
     found = rows.withColumn("latest", F.last("_r", ignorenulls=True).over(before)).where("_left = 1")
     fresh = F.datediff(F.col("_t"), F.col("latest")) <= within_days
     return found.withColumn("latest", F.when(fresh, F.col("latest"))).drop("_t", "_left", "_r")
+
+
+def new_among_top(current: DataFrame, previous: DataFrame, id_col: str, order: list[Column], top: int) -> DataFrame:
+    """(n, new): of the first `top` rows, how many there are and how many the previous snapshot did not have."""
+    first = current.orderBy(*order).limit(top).select(id_col)
+    known = previous.select(F.col(id_col).alias("_known")).distinct()
+    return first.join(known, F.col(id_col) == F.col("_known"), "left").agg(F.count("*").alias("n"), F.count_if(F.col("_known").isNull()).alias("new"))
+
+
+def only_in(rows: DataFrame, source: str, key: str) -> DataFrame:
+    """(n, alone): keys of one source, and those of them that no other source has."""
+    keys = rows.groupBy(key).agg(F.max((F.col("source") == source).cast("int")).alias("_own"), F.count_distinct("source").alias("_sources")).where("_own = 1")
+    return keys.agg(F.count("*").alias("n"), F.count_if(F.col("_sources") == 1).alias("alone"))
+
+
+def provenance(removed: DataFrame, rows: DataFrame) -> DataFrame:
+    """What each merge of removed (loser, winner) joined: ids, companies, titles, sources and addresses of both sides; rows have `_ord`."""
+    side = lambda name: rows.select(F.col("_ord").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("id", "company", "title", "source", "url")])
+    return removed.join(side("loser"), "loser").join(side("winner"), "winner")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +60,39 @@ def guards(rejections: DataFrame, today: Column, days: int = GUARD_DAYS) -> Data
     return rejections.groupBy("company").agg(F.max("rejected").alias("rejected")).select("company", "rejected", until.alias("until"), (until >= today).alias("active"))
 
 
+def response_status(events: DataFrame, today: Column, days: int = FOLLOWUP_DAYS) -> DataFrame:
+    """(job_id, state, waiting): answered, waiting or overdue of each job applied for, and the days since."""
+    heard = F.col("event_type").isin("interview", "offer", "rejected")
+    folded = events.groupBy("job_id").agg(F.max(F.when(F.col("event_type") == "applied", F.col("ts"))).alias("applied"), F.max(F.when(heard, F.col("ts"))).alias("heard"))
+    since = F.datediff(today, F.to_date("applied"))
+    state = F.when(F.col("heard") >= F.col("applied"), "answered").when(since >= days, "overdue").otherwise("waiting")
+    return folded.where("applied IS NOT NULL").select("job_id", state.alias("state"), since.alias("waiting"))
+
+
+def feedback(ranking: DataFrame, statuses: DataFrame, bands: Sequence[int] = (10, 30, 100)) -> DataFrame:
+    """(band, n, applied, answered) of a ranking (job_id, rank): how far down applications and answers come from."""
+    band = F.coalesce(*[F.when(F.col("rank") <= b, F.lit(b)) for b in bands], F.lit(None).cast("int"))
+    told = statuses.select("job_id", "status")
+    joined = ranking.join(told, "job_id", "left").withColumn("band", band)
+    applied, answered = F.col("status").isin("applied", "interview", "offer", "rejected"), F.col("status").isin("interview", "offer", "rejected")
+    return joined.groupBy("band").agg(F.count("*").alias("n"), F.count_if(applied).alias("applied"), F.count_if(answered).alias("answered"))
+
+
+def freshness_bands(days: Column, edges: Sequence[int] = (7, 30, 90, 365)) -> Column:
+    """The first of the edges that an age does not pass, null beyond the last or without a date."""
+    return F.coalesce(*[F.when(days <= e, F.lit(e)) for e in edges], F.lit(None).cast("int"))
+
+
+def stated_score(raw: Column) -> Column:
+    """A score from 1 to 5 as a reader writes it, with a decimal comma; null for anything else."""
+    value = F.replace(F.trim(raw), F.lit(","), F.lit(".")).try_cast("double")
+    return F.when(value.between(1, 5), value)
+
+
+def score_verdict(score: Column) -> Column:
+    return F.when(score >= 4, "good").when(score >= 3, "fair").when(score.isNotNull(), "poor")
+
+
 def markdown_tables(lines: DataFrame, header: str) -> DataFrame:
     """(file, line, cells) of the rows of pipe tables that follow a header line; lines: (file, line, text)."""
     piped = F.trim("text").startswith("|")
