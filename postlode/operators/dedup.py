@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
 from postlode.operators.components import components
-from postlode.shared import arrow_schema
+from postlode.shared import arrow_schema, stored
 
 #: What the fold needs of a row besides its keys.
 FOLD = ("_ord", "source", "has_description", "has_type", "posted_key")
@@ -80,6 +80,19 @@ def fold(rows: list[dict], mirrored: frozenset[frozenset[str]] = frozenset()) ->
     return removed
 
 
+def key_edges(keyed: DataFrame) -> DataFrame:
+    """(a, b): each row beside the first row of each key that it shares; keyed: (_ord, keys)."""
+    flat = keyed.select("_ord", F.explode("keys").alias("k")).select("_ord", "k.key")
+    shared = flat.groupBy("key").agg(F.min("_ord").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return flat.join(shared, "key").where("_ord <> first").select(F.col("first").alias("a"), F.col("_ord").alias("b"))
+
+
+def component_sizes(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """(size, components): how many rows one task has to replay, and how often; look at it before a cascade over new sources."""
+    found = components(key_edges(rows.select("_ord", candidate_keys(mirrored).alias("keys"))))
+    return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("components"))
+
+
 def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """(loser, winner, tier) by `_ord`: what the fold over all rows removes.
 
@@ -89,11 +102,9 @@ def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFr
     """
     known = {"has_description": F.coalesce(F.col("description"), F.lit("")) != "", "has_type": F.coalesce(F.col("employment_type"), F.lit("")) != ""}
     posted = F.coalesce(F.concat(F.lit("0"), F.col("posted_at").cast("string")), F.lit("1"))
-    keyed = rows.select("_ord", "source", *[c.alias(n) for n, c in known.items()], posted.alias("posted_key"), candidate_keys(mirrored).alias("keys"))
-    flat = keyed.select("_ord", F.explode("keys").alias("k")).select("_ord", "k.key")
-    shared = flat.groupBy("key").agg(F.min("_ord").alias("first"), F.count("*").alias("n")).where("n > 1")
-    edges = flat.join(shared, "key").where("_ord <> first").select(F.col("first").alias("a"), F.col("_ord").alias("b"))
-    grouped = keyed.join(components(edges), F.col("_ord") == F.col("node")).drop("node")
+    # the keys take many regular expressions, so rows with them are written once
+    keyed = stored(rows.select("_ord", "source", *[c.alias(n) for n, c in known.items()], posted.alias("posted_key"), candidate_keys(mirrored).alias("keys")), "keyed")
+    grouped = keyed.join(components(key_edges(keyed)), F.col("_ord") == F.col("node")).drop("node")
     pairs = frozenset(frozenset(p) for p in mirrored)
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -114,19 +125,23 @@ def mirrors(rows: DataFrame, german: str = r"(?iU)\b(?:der|die|das|und|praktik\w
     """(loser, winner): of postings with one company, source and requisition in two languages, the best stays.
 
     The order is total (described, then typed, then earliest, then first
-    arrival), so a window finds the winner; rows whose country or type
-    contradicts the winner's are no mirrors of it.
+    arrival), so an aggregate finds the winner; rows whose country or type
+    contradicts the winner's are no mirrors of it, and rows without a company,
+    source or requisition have none.
     """
     language = F.when(F.col("title").rlike(german) & ~F.col("title").rlike(english), "de").when(F.col("title").rlike(english) & ~F.col("title").rlike(german), "en")
     described, typed = F.coalesce("description", F.lit("")) != "", F.coalesce("employment_type", F.lit("")) != ""
-    w = Window.partitionBy("company", "source", "requisition").orderBy(F.desc(described), F.desc(typed), F.asc_nulls_last("posted_at"), "_ord")
-    best = lambda c: F.first(c).over(w)
-    ranked = rows.where(F.col("requisition").isNotNull()).select("_ord", best(F.col("_ord")).alias("winner"), language.alias("l"), best(language).alias("wl"), title_bag(F.col("title")).alias("t"), best(title_bag(F.col("title"))).alias("wt"), *[x for c in ("country_iso", "employment_type") for x in (F.col(c), best(F.col(c)).alias(f"w_{c}"))])
+    key = ["company", "source", "requisition"]
+    order = F.struct(~described, ~typed, F.col("posted_at").isNull(), "posted_at", "_ord")
+    # a hot requisition is reduced before it is shuffled, and its rows are joined to one winner
+    found = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in key)).select(*key, order.alias("_order"), "_ord", language.alias("l"), title_bag(F.col("title")).alias("t"), "country_iso", "employment_type")
+    best = found.groupBy(*key).agg(F.min_by(F.struct("_ord", "l", "t", "country_iso", "employment_type"), "_order").alias("w"))
+    ranked = found.join(best, key)
     agree = F.lit(True)
     for c in ("country_iso", "employment_type"):
-        agree = agree & F.coalesce(F.col(c) == F.col(f"w_{c}"), F.lit(True))
-    alike = (F.col("t") == F.col("wt")) | F.coalesce(F.col("l") != F.col("wl"), F.lit(False))
-    return ranked.where((F.col("_ord") != F.col("winner")) & agree & alike).select(F.col("_ord").alias("loser"), "winner")
+        agree = agree & F.coalesce(F.col(c) == F.col(f"w.{c}"), F.lit(True))
+    alike = (F.col("t") == F.col("w.t")) | F.coalesce(F.col("l") != F.col("w.l"), F.lit(False))
+    return ranked.where((F.col("_ord") != F.col("w._ord")) & agree & alike).select(F.col("_ord").alias("loser"), F.col("w._ord").alias("winner"))
 
 
 class Residents:

@@ -12,25 +12,27 @@ FAILED = ("error", "timeout")
 
 
 def last_runs(runs: DataFrame, series: str, order: list[str]) -> DataFrame:
-    """One row for each series: its last run beside figures of the runs before it, from one shuffle."""
-    back = Window.partitionBy(series).orderBy(*[F.desc(c) for c in order])
-    ok = F.col("status") == "ok"
-    rows = runs.withColumns({
-        "_back": F.row_number().over(back),
-        "_fine_after": F.sum(F.when(F.col("status").isin(*FAILED), 0).otherwise(1)).over(back),
-        "_ok_back": F.when(ok, F.sum(ok.cast("int")).over(back)),
-    })
-    prior = (F.col("_back") > 1) & ok
-    history = F.array_sort(F.collect_list(F.when(ok & (F.col("_ok_back") > 1), F.col("collected"))))
-    return rows.groupBy(series).agg(
+    """One row for each series: its last run beside figures of the runs before it.
+
+    Aggregates alone: the last runs first, then counts of the runs before them,
+    and a median from counts of equal values. No series' history meets in one
+    row or one sort, so a hot series costs no more than its share.
+    """
+    at, ok, failed = F.struct(*order), F.col("status") == "ok", F.col("status").isin(*FAILED)
+    ends = runs.groupBy(series).agg(
         F.count("*").alias("runs"), F.count_if(ok).alias("ok_runs"), F.max("at").alias("last_at"),
-        F.max(F.when(F.col("_back") == 1, F.col("status"))).alias("last_status"),
-        F.max(F.when(F.col("_back") == 1, F.col("collected"))).alias("last_collected"),
-        F.max(F.when(F.col("_ok_back") == 1, F.col("collected"))).alias("last_ok_collected"),
-        F.get(history, F.floor(F.size(history) / 2).cast("int")).alias("prior_median"),
-        F.count_if(prior).alias("prior_ok"), F.count_if(prior & (F.col("collected") > 0)).alias("prior_filled"),
-        F.count_if(F.col("_fine_after") == 0).alias("failures"),
+        F.max_by("status", at).alias("last_status"), F.max_by("collected", at).alias("last_collected"), F.max_by("collected", F.when(ok, at)).alias("last_ok_collected"),
+        F.max(at).alias("_last"), F.max(F.when(ok, at)).alias("_last_ok"), F.max(F.when(~failed, at)).alias("_last_fine"),
     )
+    placed = runs.join(ends.select(series, "_last", "_last_ok", "_last_fine"), series).withColumn("_at", at)
+    prior = ok & (F.col("_at") < F.col("_last"))
+    counts = placed.groupBy(series).agg(F.count_if(prior).alias("prior_ok"), F.count_if(prior & (F.col("collected") > 0)).alias("prior_filled"), F.count_if(F.col("_last_fine").isNull() | (F.col("_at") > F.col("_last_fine"))).alias("failures"))
+    # the upper middle of the values before the last good run: the first one that over half of them do not pass
+    values = placed.where(ok & (F.col("_at") < F.col("_last_ok"))).groupBy(series, "collected").agg(F.count("*").alias("_n"))
+    upto, whole = Window.partitionBy(series).orderBy("collected"), Window.partitionBy(series)
+    ranked = values.select(series, "collected", F.sum("_n").over(upto).alias("_upto"), F.floor(F.sum("_n").over(whole) / 2).alias("_half"))
+    median = ranked.where("_upto > _half").groupBy(series).agg(F.min("collected").alias("prior_median"))
+    return ends.drop("_last", "_last_ok", "_last_fine").join(counts, series, "left").join(median, series, "left")
 
 
 def alerts(last: DataFrame) -> DataFrame:
@@ -52,8 +54,9 @@ def alerts(last: DataFrame) -> DataFrame:
 
 def drift(runs: DataFrame, order: str, values: list[str], offset: int = 6) -> DataFrame:
     """The last run's values and their change against the run `offset` before it; one row for each day is expected."""
+    recent = runs.orderBy(F.desc(order)).limit(offset + 1)
     w = Window.orderBy(order)
-    rows = runs.select(order, *[c for v in values for c in (F.col(v), F.lag(v, offset).over(w).alias(f"{v}_before"))])
+    rows = recent.select(order, *[c for v in values for c in (F.col(v), F.lag(v, offset).over(w).alias(f"{v}_before"))])
     last = rows.orderBy(F.desc(order)).limit(1)
     return last.select(order, *[c for v in values for c in (F.col(v), F.col(f"{v}_before"), (F.col(v) - F.col(f"{v}_before")).alias(f"{v}_change"))])
 

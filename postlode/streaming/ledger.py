@@ -20,19 +20,25 @@ def first_seen(rows: DataFrame, key: str, at: str, horizon: str = "90 days") ->
     return rows.withWatermark(at, horizon).dropDuplicatesWithinWatermark([key])
 
 
-def append_new(path: str, key: list[str]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: appends rows whose key the ledger at path does not have, so a batch can run twice."""
+def append_new(path: str, key: list[str], order: list[str] | None = None, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: appends rows whose key the ledger at path does not have, so a batch can run twice.
+
+    Of rows of one key the first by `order` (all columns, if none is given)
+    counts. The ledger lies in buckets of keys, and a batch reads those alone
+    that its own keys are in.
+    """
 
     def run(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(key)
-        try:
-            known = spark.read.schema(batch.schema).parquet(path).select(*key)
+        spark, others = batch.sparkSession, [c for c in batch.columns if c not in key]
+        first = F.min_by(F.struct(*others), F.struct(*(order or others))) if others else F.lit(None)
+        fresh = batch.groupBy(*key).agg(first.alias("_first")).select(*key, *(["_first.*"] if others else []))
+        fresh = fresh.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            met = [r["_bucket"] for r in fresh.select("_bucket").distinct().collect()]
+            known = spark.read.schema(fresh.schema).parquet(path).where(F.col("_bucket").isin(met)).select(*key)
             fresh = fresh.join(known, key, "left_anti")
-        except Exception as e:  # the first batch finds no ledger
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        fresh.write.mode("append").parquet(path)
+        fresh.write.mode("append").partitionBy("_bucket").parquet(path)
 
     return run
 
