@@ -10,6 +10,8 @@ from postlode.catalogue.on_lookups import log
 from postlode.catalogue.on_postings import SCORED, scored
 from postlode.functions import keys, places
 from postlode.operators import enrichment, registry, scoring, snapshots, stores, tracker
+from postlode.sources import boards as boards_of
+from postlode.sources import readers
 
 STATUS_SQL = "CASE event_type WHEN 'view' THEN 'saved' WHEN 'purchase' THEN 'applied' WHEN 'error' THEN 'rejected' ELSE 'note' END"
 
@@ -154,3 +156,28 @@ def benchmark_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.create_map(F.lit("a"), F.lit(1.0), F.lit("b"), F.when(k % 11 == 0, 3.0).otherwise(2.0))
     rows = table(spark, sf_dir, "documents").select(k.alias("id"), (k % 50).alias("rank"), F.when(k % 7 == 0, "odd").otherwise("good").alias("label"), F.when(k % 5 == 0, " ").otherwise("why").alias("justification"), F.lit(3.0).alias("score"), parts.alias("score_breakdown"))
     return enrichment.violations(rows, ["good", "bad"])
+
+
+#: An item of each board by the order's number: the fields differ, the posting is the same.
+ITEMS = [
+    '{"referenznummer":"R%1$d","stellenangebotsTitel":" Praktikum %1$d ","firma":"Co%2$d","arbeitszeitVollzeit":true,"datumErsteVeroeffentlichung":"%3$s","stellenlokationen":[{"adresse":{"plz":"10115","ort":"Berlin","land":"DEUTSCHLAND"}}]}',
+    '{"id":"R%1$d","title":"Praktikum %1$d","employer":{"name":"Co%2$d"},"creationDate":%4$d,"locationMap":{"FR":["Lyon","Paris"]},"translations":{"en":{"description":"<b>Text</b>"}}}',
+    '{"slug":"R%1$d","title":"Praktikum %1$d","company_name":"Co%2$d","remote":true,"created_at":%5$d,"job_types":["INTERN"],"location":"Bonn"}',
+    '{"slug":"R%1$d","position":"Praktikum %1$d","company":"Co%2$d","date":"%3$sT00:00:00Z","location":"Madrid, Spain"}',
+    '{"public_slug":"R%1$d","title":"Praktikum %1$d","company":"Co%2$d","countries":["AT"],"posted_at":"%3$s","location":"Wien"}',
+    '{"id_icims":"R%1$d","title":"Praktikum %1$d","company_name":"Co%2$d","job_path":"/en/jobs/%1$d","country_code":"DEU","posted_date":"%6$s"}',
+    '{"legal":"no position %1$d"}',
+]
+
+
+@query("SELECT o_orderkey AS k, (['direct:bundesagentur','direct:eures','arbeitnow','remoteok','freehire','amazon_jobs'])[(o_orderkey % 7)::INT + 1] AS source, 'Co' || o_custkey AS company, 'R' || o_orderkey AS external_id, (['10115 Berlin, Deutschland','FR (Lyon, Paris)','Bonn','Madrid, Spain','Wien',NULL])[(o_orderkey % 7)::INT + 1] AS location, (['de','fr','de','es','at','de'])[(o_orderkey % 7)::INT + 1] AS country_iso, (['FULL_TIME',NULL,'INTERN',NULL,NULL,NULL])[(o_orderkey % 7)::INT + 1] AS employment_type, CAST(o_orderdate AS DATE) AS posted FROM orders WHERE o_orderkey % 7 < 6")
+def board_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items in the shapes of six boards, read by each board's map; the seventh is a note that is no posting."""
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    seconds = F.unix_date(day) * F.lit(86_400).cast("long")
+    filled = F.array(*[F.format_string(t, k, "o_custkey", F.date_format(day, "yyyy-MM-dd"), seconds * 1000, seconds, F.date_format(day, "MMMM d, yyyy")) for t in ITEMS])
+    rows = table(spark, sf_dir, "orders").select((k % 7).alias("kind"), F.get(filled, (k % 7).cast("int")).alias("item"))
+    parts = [readers.posting(rows.where(F.col("kind") == i), fields(F.col("item")), F.lit(source)) for i, (source, (fields, _)) in enumerate(boards_of.JSON_BOARDS.items())]
+    notes = readers.posting(rows.where("kind = 6"), boards_of.remoteok(F.col("item")), F.lit("remoteok"))
+    whole = readers.union(*parts, notes)
+    return whole.select(F.regexp_extract("title", r"(\d+)$", 1).cast("long").alias("k"), "source", "company", "external_id", "location", "country_iso", "employment_type", F.to_date("posted_at").alias("posted"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postlode.catalogue import cases
 from postlode.functions import applicability, keys, places, seasons, spans
 from postlode.operators import benchmarks, evidence, filters, health, registry, running, stores, tracker
-from postlode.sources import readers
+from postlode.sources import boards, readers
 from postlode.streaming import ledger
 
 
@@ -173,3 +173,45 @@ def test_slices_by_lines(spark, tmp_path):
     assert (plain, whole) == (paths[:1], paths[1:])
     assert readers.bulk(spark, plain, lines=True).unionByName(readers.bulk(spark, whole)).count() == 2
     assert readers.slice_errors(spark, paths, expected, most_bytes=10).count() == 0
+
+
+def test_boards_read_landed_pages(spark, tmp_path):
+    pages = {
+        "arbeitnow": {"data": [{"slug": "s1", "title": "Praktikum A", "company_name": "Co"}, {"slug": None, "title": "Praktikum B", "company_name": "Co"}, {"slug": "s3", "title": "Senior C", "company_name": "Co"}]},
+        "remoteok": [{"legal": "note"}, {"slug": "x", "position": "Intern D", "company": "Co", "location": "Berlin, Germany"}],
+    }
+    for source, page in pages.items():
+        (tmp_path / f"{source}.json").write_text(json.dumps(page))
+    found = boards.read_board(spark, str(tmp_path / "arbeitnow.json"), "arbeitnow").collect()
+    assert sorted((r.title, r.url, r.country_iso) for r in found) == [("Praktikum A", "https://www.arbeitnow.com/jobs/s1", "de"), ("Senior C", "https://www.arbeitnow.com/jobs/s3", "de")]
+    assert tuple(boards.counted(spark, str(tmp_path / "arbeitnow.json"), "arbeitnow").first()) == (3, 2, 1)
+    assert [(r.title, r.remote, r.country_iso) for r in boards.read_board(spark, str(tmp_path / "remoteok.json"), "remoteok").collect()] == [("Intern D", True, "de")]
+
+
+def test_feeds_by_flavour(spark, tmp_path):
+    item = "<item><title>Praktikum X (Aachen, DE, 52074)</title><link>https://a/1</link><description>Germany</description><pubDate>Fri, 01 Mar 2024 10:00:00 +0000</pubDate></item>"
+    (tmp_path / "f.xml").write_text(f"<rss><channel>{item}<item><title>No link</title></item></channel></rss>")
+    read = lambda flavour: [(r.title, r.location, r.description, r.external_id) for r in boards.read_feed(spark, str(tmp_path / "f.xml"), "feed", "Acme", flavour).collect()]
+    assert read("plain") == [("Praktikum X (Aachen, DE, 52074)", None, "Germany", "https://a/1")]
+    assert read("titled") == [("Praktikum X", "Aachen, DE, 52074", "Germany", "https://a/1")]
+    assert read("country") == [("Praktikum X (Aachen, DE, 52074)", "Germany", None, "https://a/1")]
+
+
+def test_listings_of_cards(spark):
+    card = '<li><h2><a href="/jobs/7">Intern <b>Data</b></a></h2><p>Institute, for Steel, Bonn</p><time>01.03.2024</time></li>'
+    pages = spark.createDataFrame([(f"<ul>{card}{card}<li>nothing</li></ul><a href='?page=3'>3</a><a href='?page=2'>2</a><a href='?page=3'>n</a>",), (None,)], "html string")
+    fields = {"title": "<h2>(.*?)</h2>", "url": 'href="([^"]+)"', "company": "<p>(.*?)</p>", "posted_at": "<time>(.*?)</time>"}
+    found = boards.listing(pages, "<li>.*?</li>", fields, "board", base="https://b.example", last_comma=True).collect()
+    assert [(r.title, r.url, r.company, r.location, str(r.posted_at.date())) for r in found] == [("Intern Data", "https://b.example/jobs/7", "Institute, for Steel", "Bonn", "2024-03-01")]
+    assert [r.p for r in pages.select(boards.page_numbers(F.col("html")).alias("p")).collect()] == [[2, 3], []]
+
+
+def test_odd_dates_types_and_slugs(spark):
+    today = F.lit("2024-03-05").cast("date")
+    days = spark.createDataFrame([("March 1",), ("October 24",), ("soon",), (None,)], "t string").select(boards.day_without_year(F.col("t"), today).alias("d")).collect()
+    assert [r.d for r in days] == [dt.date(2024, 3, 1), dt.date(2023, 10, 24), None, None]
+    assert one(spark, " DEU ", boards.alpha_2(F.col("t"))) == "de" and one(spark, "xyz", boards.alpha_2(F.col("t"))) is None
+    assert one(spark, "Lever", boards.known_type(F.col("t"), ("lever",))) == "lever" and one(spark, "odd", boards.known_type(F.col("t"), ("lever",))) is None
+    urls = spark.createDataFrame([("https://a/jobs/praktikum-in-bonn/",)], "loc string")
+    assert [(r.title, r.external_id) for r in boards.sitemap_postings(urls, "map", "Board").collect()] == [("praktikum in bonn", "praktikum-in-bonn")]
+    assert [one(spark, t, boards.intern_candidate(F.col("t"))) for t in ("Praktikum IT", "Duales Studium Praktikum", "Buyer", None)] == [True, False, False, False]
