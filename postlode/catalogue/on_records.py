@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from postlode.catalogue.base import query, table
 from postlode.catalogue.on_lookups import log
 from postlode.catalogue.on_postings import SCORED, scored
-from postlode.functions import keys, places
-from postlode.operators import enrichment, registry, scoring, snapshots, stores, tracker
+from postlode.functions import applicability, keys, places
+from postlode.operators import enrichment, filters, lookups, registry, scoring, snapshots, stores, tracker
+from postlode.rules import first_reason
 from postlode.sources import boards as boards_of
 from postlode.sources import readers
 
@@ -158,6 +159,77 @@ def benchmark_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.violations(rows, ["good", "bad"])
 
 
+@query("SELECT o_orderkey AS id, o_totalprice::DOUBLE AS score FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 3 <> 0 ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+def blind_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as postings: every fourth has no description, every third is shown."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("double").alias("score"), F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise("text").alias("description"))
+    return enrichment.blind_candidates(rows, rows.where("id % 3 = 0"), 100).select("id", "score")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'german_required' END ELSE 'old' END AS reason FROM orders")
+def reasons_reassessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second posting has a new description, and its reason is found again."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit("Intern").alias("title"), F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("employment_type"), F.lit(None).cast("date").alias("posted_at"), F.lit("old").alias("reason"))
+    changed = rows.where("id % 2 = 0").select("id", F.when(F.col("id") % 3 == 0, "Fluent German is required.").otherwise("You learn much.").alias("description"))
+    return enrichment.reassessed(rows, changed, first_reason(applicability.ladder(F.lit("2024-01-01").cast("date")))).select("id", "reason")
+
+
+@query("WITH a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS s, o_orderpriority AS p FROM orders WHERE o_orderkey % 5 <> 0), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 > 0 THEN lower(o_orderstatus) END AS s, CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE o_orderpriority END AS p FROM orders WHERE o_orderkey % 5 <> 1), j AS (SELECT a.s AS s1, b.s AS s2, a.p AS p1, b.p AS p2 FROM a FULL JOIN b ON a.k = b.k), f AS (SELECT 'status' AS field, s1 AS x, s2 AS y FROM j UNION ALL SELECT 'priority', p1, p2 FROM j) SELECT field, CASE WHEN x IS NULL AND y IS NULL THEN 'neither' WHEN y IS NULL THEN 'only_first' WHEN x IS NULL THEN 'only_second' WHEN lower(trim(x)) = lower(trim(y)) THEN 'match' ELSE 'conflict' END AS relation, count(*) AS n FROM f GROUP BY 1, 2")
+def readings_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two readings of the same fields, some missing, some different, some of one side alone."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("k"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    first = rows.where("k % 5 <> 0").withColumn("status", F.when(F.col("k") % 3 > 0, F.col("status")))
+    second = rows.where("k % 5 <> 1").withColumns({"status": F.when(F.col("k") % 4 > 0, F.lower("status")), "priority": F.when(F.col("k") % 7 == 0, "x").otherwise(F.col("priority"))})
+    return enrichment.compared(first, second, "k", ["status", "priority"])
+
+
+@query("SELECT n_name AS company, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_nationkey % 3 > 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def missing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as employers: every third has a score, another third one that is none."""
+    nation = table(spark, sf_dir, "nation")
+    rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("company"))
+    raw = F.when(F.col("n_nationkey") % 3 == 0, "4.2").when(F.col("n_nationkey") % 3 == 1, "9")
+    return lookups.missing_quality(rows, nation.select(F.upper("n_name").alias("company"), lookups.quality_score(raw).alias("score")))
+
+
+@query("SELECT o_orderkey AS id, DATE '2001-01-01' - CAST(o_orderdate AS DATE) AS age FROM orders WHERE o_orderkey % 10 > 0 AND DATE '2001-01-01' - CAST(o_orderdate AS DATE) > 700 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 10 = 0")
+def stale_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 10 > 0, F.to_date("o_orderdate")).alias("checked"))
+    return lookups.stale_entries(dim, "checked", F.lit("2001-01-01").cast("date"), 700).select("id", "age")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'New York Steel' WHEN o_orderkey % 3 = 0 THEN 'York' WHEN o_orderkey % 5 = 0 THEN 'Steel' END AS known FROM orders")
+def known_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest known name that is a whole word of a name: two words, one, or none; a part of a word never counts."""
+    k = F.col("o_orderkey")
+    named = F.when(k % 2 == 0, "The New York Steel Ltd").when(k % 3 == 0, "Old York Works").when(k % 5 == 0, "steel").otherwise("Yorkshire Steelworks")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), named.alias("company"))
+    known = spark.createDataFrame([("York",), ("New York Steel",), ("Steel",), ("",)], "name string")
+    return lookups.by_name(rows, "company", known, "name").select("id", "known")
+
+
+@query("SELECT page_id AS id, CASE WHEN page_id % 3 = 0 THEN page_id % 2 = 0 WHEN page_id % 3 = 1 THEN TRUE END AS plausible FROM pages")
+def plausible_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id")
+    provider, value = F.when(k % 3 == 0, "a").when(k % 3 == 1, "b").otherwise("c"), F.when(k % 2 == 0, F.concat(F.lit("R-"), k)).otherwise(F.concat(F.lit("x"), k))
+    return table(spark, sf_dir, "pages").select(k.alias("id"), filters.plausible_id(provider, value, {"a": r"^R-\d+$", "b": r"^\S+$"}).alias("plausible"))
+
+
+@query("WITH c AS (SELECT o_orderkey AS id, o_totalprice AS score, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 5 <> 0) SELECT id, CASE WHEN id % 5 = 1 THEN 'new' WHEN id % 2 = 0 AND score / 2 < 150000 THEN 'risen' ELSE 'deadline' END AS event FROM c WHERE score >= 150000 AND (id % 5 = 1 OR (id % 2 = 0 AND score / 2 < 150000) OR d - DATE '1998-01-01' BETWEEN 0 AND 200)")
+def radar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as postings: new ones, ones whose score doubled, ones whose day is near."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("double").alias("score"), F.to_date("o_orderdate").alias("deadline"))
+    before = rows.where("id % 5 <> 1").withColumn("score", F.when(F.col("id") % 2 == 0, F.col("score") / 2).otherwise(F.col("score")))
+    return snapshots.radar(rows.where("id % 5 <> 0"), before, "id", 150_000, 200, F.lit("1998-01-01").cast("date"))
+
+
+@query("SELECT o_orderkey AS id FROM orders ORDER BY CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END DESC NULLS LAST, CAST(o_orderdate AS DATE) DESC, o_orderkey LIMIT 50")
+def budget_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("score"), F.to_date("o_orderdate").alias("added"))
+    return rows.orderBy(*snapshots.budget_order()).limit(50).select("id")
+
+
 #: An item of each board by the order's number: the fields differ, the posting is the same.
 ITEMS = [
     '{"referenznummer":"R%1$d","stellenangebotsTitel":" Praktikum %1$d ","firma":"Co%2$d","arbeitszeitVollzeit":true,"datumErsteVeroeffentlichung":"%3$s","stellenlokationen":[{"adresse":{"plz":"10115","ort":"Berlin","land":"DEUTSCHLAND"}}]}',

@@ -9,13 +9,14 @@ of shared keys, so each component of the key graph can be folded by itself.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlode.functions.keys import decoded_reference, reference, translated_bag
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
 from postlode.operators.components import components
 from postlode.shared import arrow_schema, stored
@@ -24,16 +25,19 @@ from postlode.shared import arrow_schema, stored
 FOLD = ("_ord", "source", "has_description", "has_type", "posted_key")
 
 
-def candidate_keys(mirrored: Sequence[tuple[str, str]] = ()) -> Column:
+def candidate_keys(mirrored: Sequence[tuple[str, str]] = (), words: Mapping[str, str] | None = None, references: Mapping[str, bool] | None = None) -> Column:
     """array<struct<tier, key>> of a posting, the strongest first.
 
     Keys of title tiers ignore the case of the company, those of ids and urls
-    do not; a key counts whatever the tier that gave it.
+    do not; a key counts whatever the tier that gave it. words: a dictionary
+    under which titles of two languages meet. references: sources whose ids are
+    references that other feeds repeat, and whether theirs are encoded.
     """
     company, source, url = F.trim(F.coalesce("company", F.lit(""))), F.trim(F.coalesce("source", F.lit(""))), canonical_url(F.col("url"))
     bag, place, low = title_bag(F.col("title")), place_key(F.col("location")), F.lower(F.trim(F.coalesce("company", F.lit(""))))
     sep = F.lit("\x1f")
-    of = lambda tier, *parts: F.struct(F.lit(tier).alias("tier"), F.concat(*[x for p in parts for x in (p, sep)]).alias("key"))
+    whole = lambda parts: F.concat(*[x for p in parts for x in (p, sep)])
+    of = lambda tier, *parts: F.when(whole(parts).isNotNull(), F.struct(F.lit(tier).alias("tier"), whole(parts).alias("key")))
     listed = F.lit(False)
     for a, b in mirrored:
         listed = listed | source.isin(a, b)
@@ -42,6 +46,8 @@ def candidate_keys(mirrored: Sequence[tuple[str, str]] = ()) -> Column:
         F.when(url != "", of("url", company, url)),
         F.when((low != "") & (bag != "") & (place != ""), of("company+title+location", low, bag, place)),
         F.when(listed & (low != "") & (bag != ""), of("mirror", low, bag)),
+        *([F.when((low != "") & (place != ""), of("company+title+location+translated", low, F.nullif(translated_bag(F.col("title"), words), F.lit("")), place))] if words else []),
+        *[F.when(source == name, of("reference", (decoded_reference if encoded else reference)(F.col("external_id")))) for name, encoded in (references or {}).items()],
     ))
 
 

@@ -63,3 +63,30 @@ def violations(rows: DataFrame, labels: list[str]) -> DataFrame:
         F.when(F.abs(F.round(total, 2) - F.round("score", 2)) > 1e-9, F.lit("breakdown")),
     ))
     return rows.join(repeated, "rank", "left").select("id", F.explode(errors).alias("error"))
+
+
+def blind_candidates(rows: DataFrame, shown: DataFrame, top: int) -> DataFrame:
+    """The first rows by score, not shown, that have no description at all: nothing could be said about them yet."""
+    blind = rows.where(F.trim(F.coalesce("description", F.lit(""))) == "").join(shown.select("id"), "id", "left_anti")
+    return blind.orderBy(F.desc("score"), "id").limit(top)
+
+
+def reassessed(rows: DataFrame, changed: DataFrame, reason: Column) -> DataFrame:
+    """rows with the reason found again where a new description (id, description) came in; the others keep theirs."""
+    fresh = changed.select("id", F.col("description").alias("_new"))
+    joined = rows.join(fresh, "id", "left").withColumn("description", F.coalesce("_new", "description"))
+    return joined.withColumn("reason", F.when(F.col("_new").isNotNull(), reason).otherwise(F.col("reason"))).drop("_new")
+
+
+def relation(a: Column, b: Column) -> Column:
+    """How two readings of one field stand: match, conflict, only_first, only_second, or neither."""
+    one, two = F.nullif(F.lower(F.trim(a)), F.lit("")), F.nullif(F.lower(F.trim(b)), F.lit(""))
+    return F.when(one.isNull() & two.isNull(), "neither").when(two.isNull(), "only_first").when(one.isNull(), "only_second").when(one == two, "match").otherwise("conflict")
+
+
+def compared(first: DataFrame, second: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(field, relation, n) over two tables of readings, rows of one of them alone included."""
+    named = second.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_{f}") for f in fields])
+    joined = first.join(named, F.col(key) == F.col("_key"), "full_outer")
+    flat = joined.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), relation(F.col(f), F.col(f"_{f}")).alias("relation")) for f in fields])))
+    return flat.groupBy("field", "relation").agg(F.count("*").alias("n"))

@@ -55,3 +55,8 @@ def is_stale(posted: Column, reference: Column, months: float = 12) -> Column:
 def finds(text: Column, patterns: dict[str, str]) -> Column:
     """The names of the patterns that a text matches, in the order given."""
     return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(name)) for name, p in patterns.items()]))
+
+
+def plausible_id(provider: Column, value: Column, patterns: dict[str, str]) -> Column:
+    """Whether an id has the form its provider's ids have; null for providers without a known form."""
+    return F.coalesce(*[F.when(provider == name, F.coalesce(value.rlike(p), F.lit(False))) for name, p in patterns.items()], F.lit(None).cast("boolean"))

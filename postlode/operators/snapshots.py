@@ -72,3 +72,20 @@ def provenance(removed: DataFrame, rows: DataFrame) -> DataFrame:
     """What each merge of removed (loser, winner) joined: ids, companies, titles, sources and addresses of both sides; rows have `_ord`."""
     side = lambda name: rows.select(F.col("_ord").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("id", "company", "title", "source", "url")])
     return removed.join(side("loser"), "loser").join(side("winner"), "winner")
+
+
+def radar(current: DataFrame, previous: DataFrame, id_col: str, least: float, within_days: int, today: Column) -> DataFrame:
+    """(id, event) worth a look: a good posting that is new, one whose score rose to good, one whose deadline is near.
+
+    rows: id, score, deadline. A posting has its first event alone.
+    """
+    before = previous.select(F.col(id_col).alias("_id"), F.col("score").alias("_score"))
+    joined = current.join(before, F.col(id_col) == F.col("_id"), "left")
+    left, good = F.datediff("deadline", today), F.col("score") >= least
+    event = F.when(good & F.col("_id").isNull(), "new").when(good & (F.col("_score") < least), "risen").when(good & left.between(0, within_days), "deadline")
+    return joined.select(id_col, event.alias("event")).where("event IS NOT NULL")
+
+
+def budget_order(score: str = "score", added: str = "added", id_col: str = "id") -> list[Column]:
+    """What a bounded list shows first: rows with a score by it, the newest first among equals, then by id."""
+    return [F.desc_nulls_last(score), F.desc_nulls_last(added), F.asc(id_col)]
