@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,14 +112,28 @@ def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFr
     grouped = keyed.join(components(key_edges(keyed)), F.col("_ord") == F.col("node")).drop("node")
     pairs = frozenset(frozenset(p) for p in mirrored)
 
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("_ord").to_dict("records")
-        for r in rows:
-            r["keys"] = [(k["tier"], k["key"]) for k in r["keys"]]
-        return pd.DataFrame(fold(rows, pairs), columns=["loser", "winner", "tier"])
-
     kind = keyed.schema["_ord"].dataType.simpleString()
-    return grouped.groupBy("component").applyInPandas(replay, f"loser {kind}, winner {kind}, tier string")
+    schema = f"loser {kind}, winner {kind}, tier string"
+    out = arrow_schema(schema)
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by component and order; a component that a batch cuts is carried on."""
+        held: list[dict] = []
+        for batch in batches:
+            removed = []
+            for r in batch.to_pylist():
+                if held and r["component"] != held[0]["component"]:
+                    removed += fold(held, pairs)
+                    held = []
+                held.append(r | {"keys": [(k["tier"], k["key"]) for k in r["keys"]]})
+            yield _removed(removed, out)
+        yield _removed(fold(held, pairs), out)
+
+    return grouped.repartition("component").sortWithinPartitions("component", "_ord").mapInArrow(replay, schema)
+
+
+def _removed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True) if rows else [()] * len(schema), schema, strict=True)], schema=schema)
 
 
 def survivors(rows: DataFrame, removed: DataFrame) -> DataFrame:
@@ -188,7 +201,7 @@ def bucket_fold(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
                     bucket, residents = key, Residents()
                 if (found := residents.meet(source, country, row, (bulk, described))) is not None:
                     removed.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*removed, strict=True) if removed else [()] * 2, out, strict=True)], schema=out)
+            yield _removed(removed, out)
 
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "_ord")
     return dealt.select(*keys, "source", "country", "bulk", "described", "_ord").mapInArrow(run, schema)
