@@ -154,7 +154,7 @@ def trial_slug(slug: Column) -> Column:
 
 
 def board_verdict(status: Column, jobs: Column, error: Column) -> Column:
-    """What an answer of a board means: valid, or why it is not."""
+    """What an answer of a board means: valid, or why it is not. The names are fixed values."""
     failed = F.coalesce(error, F.lit("")) != ""
     gone = status.isin(404, 410)
     return (

@@ -14,7 +14,7 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 TRACKING = ["gclid", "fbclid", "msclkid", "dclid", "twclid", "ttclid", "li_fat_id", "igshid", "mc_cid", "mc_eid", "ref", "referrer", "referer", "source", "spm", "_ga", "_gl", "_hsenc", "_hsmi"]
 #: Words of titles that do not tell postings apart.
 FUNCTION_WORDS = "a an and or of in on at to for from with your you my our the as by be do it der die das den dem des ein eine einen einem einer und oder im fur von mit bei zu als start starte deine bereich unser werden".split()
-#: Gender tags, and markers of student work that count as one.
+#: Rules of our own for gender tags, and for marks of student work that count as one.
 GENDER_TAGS = r"\b(?:[mfwd](?:/[mfwd]){1,2}|mwd|x|[mw]/[mw]/div\.?|all genders?|any gender|alle geschlechter)\b"
 STUDENT_MARKERS = r"\b(?:werkstudent(?:en?|in)?|praktikant(?:en?|in)?|praktikums?|internships?|interns?)\b"
 
