@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postlode.catalogue.base import AREA_SQL, DECAY_SQL, REASON_SQL, SCORE_PARTS, SCORE_PARTS_SQL, SKILLS, STAGES_SQL, P, area, components, fold_sql, mentions_sql, now, postings, query, reasons, stages, table
 from postlode.functions import extract, money
 from postlode.functions.text import FUNCTION_WORDS, canonical_url, title_bag
-from postlode.operators import benchmarks, dedup, filters, scoring, similarity, snapshots
+from postlode.operators import benchmarks, dedup, filters, lookups, scoring, similarity, snapshots
 from postlode.plans.refresh import Plan
 from postlode.rules import mentions
 
@@ -95,11 +95,7 @@ SKILL_SQL = " UNION ALL ".join(f"SELECT '{n}' AS skill, {mentions_sql('title', t
 
 @query(f"{P}, k AS ({SKILL_SQL}) SELECT skill, count(*) FILTER (WHERE in_title) AS by_title, count(*) FILTER (WHERE in_description AND NOT in_title) AS by_description, count(*) FILTER (WHERE in_title OR in_description) AS demand, round(count(*) FILTER (WHERE in_title OR in_description) / count(*), 4) AS share FROM k GROUP BY skill")
 def skill_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = postings(spark, sf_dir)
-    sums = [F.struct(F.lit(n).alias("skill"), F.count_if(mentions(F.col("title"), t)).alias("by_title"), F.count_if(mentions(F.col("description"), t) & ~mentions(F.col("title"), t)).alias("by_description"), F.count("*").alias("n")).alias(n) for n, t in SKILLS.items()]
-    flat = rows.agg(*sums).select(F.inline(F.array(*SKILLS)))
-    demand = F.col("by_title") + F.col("by_description")
-    return flat.select("skill", "by_title", "by_description", demand.alias("demand"), F.round(demand / F.col("n"), 4).alias("share"))
+    return lookups.demand(postings(spark, sf_dir), SKILLS)
 
 
 @query("SELECT source, count(*) AS postings, count(*) FILTER (WHERE length(text) > 0) AS described, CAST(floor(median(length(text))) AS BIGINT) AS median_length, count(*) FILTER (WHERE length(text) < 600) AS short FROM documents GROUP BY source")

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postlode.functions.spans import let
 from postlode.functions.text import fold
 
 
@@ -21,8 +22,17 @@ def any_word(terms: Sequence[str]) -> str:
     return r"\b(?:" + "|".join(map(re.escape, terms)) + r")\b" if terms else r"(?!)"
 
 
+def folded(c: Column) -> Column:
+    return fold(F.coalesce(c, F.lit("")))
+
+
+def names(text: Column, terms: Sequence[str]) -> Column:
+    """Whether a folded text has one of the terms."""
+    return text.rlike(any_word(terms)) if terms else F.lit(False)
+
+
 def mentions(c: Column, terms: Sequence[str]) -> Column:
-    return fold(F.coalesce(c, F.lit(""))).rlike(any_word(terms)) if terms else F.lit(False)
+    return names(folded(c), terms)
 
 
 @dataclass(frozen=True)
@@ -39,14 +49,20 @@ class Area:
         A level's terms that `zeroed` lists for a context do not count in
         titles that speak of that context; the level's other terms still do.
         """
-        total = F.lit(0.0)
-        for terms, in_title, in_description in self.levels.values():
-            free = [t for t in terms if not any(t in z for z in self.zeroed.values())]
-            hit = mentions(title, free)
-            for context, bound in self.zeroed.items():
-                hit = hit | (mentions(title, [t for t in terms if t in bound]) & ~mentions(title, [context]))
-            total = total + F.when(hit, in_title).otherwise(0.0) + F.when(mentions(description, terms), in_description).otherwise(0.0)
-        return total
+        def of_title(text: Column) -> Column:
+            total = F.lit(0.0)
+            for terms, worth, _ in self.levels.values():
+                hit = names(text, [t for t in terms if not any(t in z for z in self.zeroed.values())])
+                for context, bound in self.zeroed.items():
+                    hit = hit | (names(text, [t for t in terms if t in bound]) & ~names(text, [context]))
+                total = total + F.when(hit, worth).otherwise(0.0)
+            return total
+
+        def of_description(text: Column) -> Column:
+            return sum((F.when(names(text, terms), worth).otherwise(0.0) for terms, _, worth in self.levels.values()), F.lit(0.0))
+
+        # a text is folded once for all levels
+        return let(folded(title), of_title) + let(folded(description), of_description)
 
 
 @dataclass(frozen=True)
