@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlode.operators.running import running_sums
+from postlode.shared import checkpointed
 
 
 def _below(rows: DataFrame, by: str | None) -> tuple[DataFrame, list]:
@@ -16,8 +17,9 @@ def _below(rows: DataFrame, by: str | None) -> tuple[DataFrame, list]:
     Labels are a short scale. Without groups, scores are dealt out in ranges.
     """
     group = [by] if by else []
-    counts = rows.groupBy(*group, "score", "label").agg(F.count("*").alias("n"))
-    labels = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
+    # what follows reads the few counts alone, so rows are scored once
+    counts = checkpointed(rows.groupBy(*group, "score", "label").agg(F.count("*").alias("n")))
+    labels = [r["label"] for r in counts.select("label").distinct().orderBy("label").collect()]
     wide = counts.groupBy(*group, "score").pivot("label", labels).agg(F.sum("n")).na.fill(0)
     if not by:
         return running_sums(wide, F.col("score"), {f"below_{x}": F.col(f"`{x}`") for x in labels}), labels
@@ -46,7 +48,7 @@ def concordance(rows: DataFrame, by: str | None = None) -> DataFrame:
 def inversions(rows: DataFrame) -> DataFrame:
     """rows with `outranked`: how many rows of a lower label have a higher score. No pairs are made."""
     wide, labels = _below(rows, None)
-    totals = rows.groupBy().agg(*[F.count_if(F.col("label") == x).alias(f"all_{x}") for x in labels])
+    totals = wide.groupBy().agg(*[F.sum(f"`{x}`").alias(f"all_{x}") for x in labels])
     above = {x: F.col(f"all_{x}") - F.col(f"below_{x}") - F.col(f"`{x}`") for x in labels}
     by_label = F.array(*[F.struct(F.lit(x).alias("_label"), sum((above[lo] for lo in labels[:i]), F.lit(0)).cast("long").alias("outranked")) for i, x in enumerate(labels)])
     # totals is one row

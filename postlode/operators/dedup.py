@@ -219,6 +219,8 @@ def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:") -> DataFrame:
         place_key(F.col("location")).alias("_place"), title_bag(F.col("title")).alias("_title"), F.array_join(identity(F.col("company")), " ").alias("_who"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("country_iso", F.lit("")).alias("country"),
         F.coalesce(F.startswith("source", F.lit(bulk_prefix)), F.lit(False)).alias("bulk"), (F.coalesce("description", F.lit("")) != "").alias("described"), "_ord",
     ).where(" AND ".join(f"{k} <> ''" for k in keys))
+    # keys take many regular expressions, so rows with them are written once
+    made = stored(made, "sources")
     rank = F.struct("bulk", "described")
     kinds = made.groupBy(*keys, *kind).agg(F.min("_ord").alias("_ord"), F.min(rank).alias("least"), F.max(rank).alias("most"))
     mixed = kinds.groupBy(*keys).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b").select(*keys, (F.col("least") != F.col("most")).alias("_mixed"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from postlode.functions import places
 from postlode.functions.money import period_name
+from postlode.functions.spans import let
 from postlode.functions.text import blank_to_null, title_bag
 from postlode.sources.readers import html_text
 
@@ -47,6 +48,10 @@ def salary(post: Column) -> Column:
 def location(post: Column) -> Column:
     """struct(city, region, postal_code, country, street, telecommute) of the first place, null without an address."""
     place = F.when(F.get_json_object(post, "$.jobLocation").startswith("["), F.get_json_object(post, "$.jobLocation[0]")).otherwise(F.get_json_object(post, "$.jobLocation"))
+    return let(place, _place)
+
+
+def _place(place: Column) -> Column:
     part = lambda name: F.coalesce(_text(place, f"$.address.{name}.name"), _text(place, f"$.address.{name}"))
     names = {"addressLocality": "city", "addressRegion": "region", "postalCode": "postal_code", "addressCountry": "country", "streetAddress": "street"}
     tele = F.coalesce(F.lower(F.get_json_object(place, "$['@type']")).contains("telecommute"), F.lit(False))
@@ -56,6 +61,10 @@ def location(post: Column) -> Column:
 
 def fields(post: Column) -> Column:
     """A JobPosting's fields as a struct of evidence."""
+    return let(post, _fields)
+
+
+def _fields(post: Column) -> Column:
     kind = F.when(F.get_json_object(post, "$.employmentType").startswith("["), _text(post, "$.employmentType[0]")).otherwise(_text(post, "$.employmentType"))
     return F.struct(
         _text(post, "$.title").alias("title"), iso_day(_text(post, "$.validThrough")).alias("valid_through"), iso_day(_text(post, "$.datePosted")).alias("date_posted"),
