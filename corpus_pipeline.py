@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postlode import ship
 from postlode.llm import bpe, mixing, simhash, substring_dedup, toxicity
-from postlode.shared import WRITTEN, drop_stored, stored
+from postlode.shared import drop_stored, stored, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -80,12 +80,15 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over sf_dir's documents, each written to the shared folder as Parquet and read again.
 
-    What a stage wrote on its way is deleted when its result is written.
+    What a stage wrote on its way is deleted when its result is written, and so
+    is the result of the stage before. Runs that go on at once do not meet.
     """
     ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        known = set(WRITTEN)
-        docs = stored(stage(spark, docs, sf_dir), name)
-        drop_stored(spark, [p for p in WRITTEN if p not in known][:-1])
+        with written() as paths:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        drop_stored(spark, [*before, *paths[:-1]])
+        before = paths[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,29 +27,51 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint: lineage is cut, lost executors lose nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+#: Folders that stored() and checkpointed() have written, in order, for drop_stored().
+WRITTEN: list[str] = []
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
-#: Folders that stored() has written, in order, for drop_stored().
-WRITTEN: list[str] = []
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The folders that this thread writes inside; those of other threads are not among them."""
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield paths
+    finally:
+        _SCOPES.reset(token)
+
+
+def wrote(path: str) -> None:
+    """Notes a folder that a function has written, for written() and drop_stored()."""
+    WRITTEN.append(path)
+    for paths in _SCOPES.get():
+        paths.append(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df as a reliable checkpoint: lineage is cut, lost executors lose nothing. drop_stored() deletes it."""
+    shared_folder(df.sparkSession)
+    kept = df.checkpoint()
+    if (file := kept._jdf.queryExecution().logical().rdd().getCheckpointFile()).isDefined():
+        wrote(file.get())
+    return kept
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet to the shared folder, and read from there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/postlode-{name}-{uuid.uuid4().hex}"
-    WRITTEN.append(path)
+    wrote(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stored(spark: SparkSession, paths: list[str] | None = None) -> None:
-    """Deletes what stored() has written, or those of it alone that are in `paths`; results that still read it are lost."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for path in [p for p in WRITTEN if paths is None or p in paths]:
+    """Deletes what stored() and checkpointed() have written, or those of it alone that are in `paths`; results that still read it are lost."""
+    hadoop, chosen = spark._jvm.org.apache.hadoop.fs, None if paths is None else set(paths)
+    for path in [p for p in WRITTEN if chosen is None or p in chosen]:
         place = hadoop.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
         WRITTEN.remove(path)
