@@ -36,37 +36,61 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1) -> DataFrame:
-    """One row for each row of docs: (id, source, size, source_size, target, copies).
+#: A draw is a number of 52 bits; each next seed of a source turns all draws on by this share of the circle.
+DRAWS = 1 << 52
+TURN = int((5**0.5 - 1) / 2 * DRAWS)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1, seeds: int = 64) -> DataFrame:
+    """One row for each row of docs: (id, source, size, source_size, target, turn, copies).
 
     A source's rate is target / source_size. A document is taken floor(rate)
-    times, and once more if a number drawn from its id and the seed is below
-    the rate's fraction, so reruns agree. Null and empty texts have size 0 and
-    their copies hold no words; a source without words has rate 0. Rows that
-    repeat an id draw the same number; a null id draws as an empty one.
+    times, and once more if a number drawn from its id and its source's seed is
+    below the rate's fraction, so reruns agree. Of `seeds` seeds each source has
+    the one (`turn`) whose copies come nearest to its target. Null and empty texts have
+    size 0 and their copies hold no words; a source without words has rate 0.
+    Rows that repeat an id draw the same number; a null id draws as an empty one.
     """
-    sizes = stored(docs.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    targets = stored(source_targets(sizes, weights, most), "targets").withColumnRenamed("source", "_source")
-    joined = sizes.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    return joined.withColumn("copies", _copies(F.col(id_col), most, seed))
+    named = docs.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    sizes, plans = _planned(named, F.col(id_col), weights, most, seed, seeds)
+    joined = sizes.join(plans, F.col("source").eqNullSafe(F.col("_source")), "left")
+    return joined.withColumn("copies", _copies(F.col("_draw"), most, F.col("turn"))).drop("_source", "_draw")
+
+
+def _planned(sizes: DataFrame, doc_id: Column, weights: tuple[float, ...], most: float, seed: int, seeds: int) -> tuple[DataFrame, DataFrame]:
+    """Sizes (source, size, ...) with each row's draw, written; and (_source, source_size, target, turn), written."""
+    sizes = stored(sizes.withColumn("_draw", _draw(doc_id, seed)), "sizes")
+    targets = stored(source_targets(sizes, weights, most), "targets")
+    joined = sizes.select(F.col("source").alias("_own"), "size", "_draw").join(targets, F.col("_own").eqNullSafe(F.col("source"))).where("size > 0")
+    tried = joined.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))))
+    # summed up in tasks before rows move: a source has as many rows as there are seeds
+    taken = tried.groupBy("source", "target", "turn").agg(F.sum(_copies(F.col("_draw"), most, F.col("turn")) * F.col("size")).alias("taken"))
+    near = taken.groupBy("source").agg(F.min(F.struct(F.abs(F.col("taken") - F.col("target")).alias("off"), "turn")).alias("best"))
+    turns = near.select(F.col("source").alias("_source"), "best.turn")
+    plans = targets.join(turns, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumnRenamed("source", "_source")
+    return sizes, stored(plans.withColumn("turn", F.coalesce("turn", F.lit(0))), "plans")
+
+
+def _draw(doc_id: Column, seed: int) -> Column:
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
-def _copies(doc_id: Column, most: float, seed: int) -> Column:
+def _copies(draw: Column, most: float, turn: Column) -> Column:
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
-    return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+    turned = F.pmod(draw + turn.cast("long") * F.lit(TURN), F.lit(DRAWS)) / F.lit(float(DRAWS))
+    return (F.floor(rate) + F.when(turned < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3, seed: int = 1, seeds: int = 64) -> DataFrame:
     """The rows of docs with all their columns, each as often as mix() takes it.
 
     Only the targets of the sources are joined. They are a written table, whose
     size Spark knows before it plans the join, so texts move only where the
     sources are too many to be broadcast.
     """
-    sizes = stored(docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    targets = stored(source_targets(sizes, weights, most), "targets").select(F.col("source").alias("_source"), "source_size", "target")
+    sizes = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    _, plans = _planned(sizes, F.col("_id"), weights, most, seed, seeds)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_own"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    joined = rows.join(targets, F.col("_own").eqNullSafe(F.col("_source")), "left").withColumn("_copies", _copies(F.col("_id"), most, seed))
+    joined = rows.join(plans, F.col("_own").eqNullSafe(F.col("_source")), "left").withColumn("_copies", _copies(_draw(F.col("_id"), seed), most, F.col("turn")))
     return joined.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import bpe, common, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
+from postlode.llm import bpe, collocations, common, impact_index, language_id, mixing, mpeg_ts, quality_model, quality_rules, simhash, substring_dedup, toxicity, url_filter, warc
+from postlode.shared import stored
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -59,7 +60,7 @@ def op8_mpeg_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = mpeg_ts.read_media(mpeg_ts.store_media(documents(spark, sf_dir)))
     index = F.col("pts_index")
     feature = F.format_string("packets=%d;random_access=%d;last_pts=%d;continuity_errors=%d", F.size(index), F.size(F.filter(index, lambda x: x["random_access"])), F.array_max(F.transform(index, lambda x: x["pts"])), "continuity_errors")
-    return read.select("doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -64)")).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
+    return read.select("doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -64)")).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"), "pts_index")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +73,24 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(quality_model.score(docs, quality_model.train(docs, labels)), 0.3)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_bpe, op6_simhash, op7_warc, op8_mpeg_ts, op9_mixing, op10_quality_model)}
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, place = documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 4
+    found = language_id.identify(docs, language_id.train(docs, place != 2))
+    return found.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), F.col("lang").alias("lang_pred"), F.col("cosine").alias("score"), "rejected")
+
+
+def op12_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    n, total = impact_index.statistics(docs)
+    index = stored(impact_index.build(docs, n, total), "impact_index")
+    return impact_index.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_substring_dedup, op4_url_filter, op5_bpe, op6_simhash, op7_warc, op8_mpeg_ts, op9_mixing, op10_quality_model, op11_language_id, op12_impact_index, op13_collocations)}
 
 #: Words by place for each row of documents.
 ROWS = r"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents), w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d)"""
@@ -103,7 +121,30 @@ o AS (SELECT *, 3.0::DOUBLE * source_size AS most, sum(source_size) OVER ()::DOU
 c AS (SELECT *, total - coalesce(sum(most) OVER (ORDER BY ratio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(weight) OVER (ORDER BY ratio ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM o),
 l AS (SELECT rest / free AS share FROM c WHERE rest / free < ratio ORDER BY ratio LIMIT 1),
 t AS (SELECT source, source_size, least(coalesce(share, 1e300) * weight, most) AS target FROM o LEFT JOIN l ON TRUE),
-r AS (SELECT d.doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0) ELSE 0 END::DOUBLE AS rate, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
-SELECT doc_id, size, source_size, target, ((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM r"""
+r AS (SELECT row_number() OVER () AS rid, d.doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0) ELSE 0 END::DOUBLE AS rate, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS draw FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+z AS (SELECT *, ((floor(rate) + CASE WHEN ((draw + turn * 2783377641436328) % 4503599627370496) / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM r, (SELECT unnest(range(64)) AS turn)),
+b AS (SELECT source, turn, row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken)::BIGINT - any_value(target)), turn) AS i FROM z WHERE size > 0 GROUP BY source, turn)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN taken ELSE 0 END AS taken FROM z LEFT JOIN b ON b.source IS NOT DISTINCT FROM z.source AND i = 1 WHERE z.turn = coalesce(b.turn, 0)"""
+RANKED_SQL = r"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS big_n, sum(len(w))::BIGINT AS big_l FROM d WHERE len(w) > 0),
+m AS (SELECT rid, 25 + (75 * len(w) * big_n) // big_l AS m FROM d, s WHERE len(w) > 0),
+tf AS (SELECT rid, t, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(w) AS t FROM d) GROUP BY rid, t),
+df AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf, s GROUP BY t, big_n),
+qt AS (SELECT qid, t, count(*)::BIGINT AS times FROM (SELECT qid, unnest(w) AS t FROM q) GROUP BY qid, t),
+c AS (SELECT qid, tf.rid, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM qt JOIN df ON df.t = qt.t JOIN tf ON tf.t = qt.t JOIN m ON m.rid = tf.rid GROUP BY qid, tf.rid),
+r AS (SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c JOIN d ON d.rid = c.rid WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r JOIN q ON q.qid = r.qid WHERE rank <= 10"""
+PHRASES_SQL = r"""WITH p AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS ph FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, ph, string_split(ph, ' ') AS w, count(*)::BIGINT AS a FROM g GROUP BY lang, k, ph HAVING count(*) >= 30),
+part AS (SELECT lang, k, ph, a, j, array_to_string(w[1 : j], ' ') AS x, array_to_string(w[j + 1 : k], ' ') AS y FROM f, (SELECT unnest([1, 2, 3]) AS j) WHERE j < k),
+cut AS (SELECT c.lang, c.k, c.ph, c.a, j, fx.a AS l, fy.a AS r, (2000000::HUGEINT * c.a) // (fx.a + fy.a) AS score FROM part c JOIN f fx ON fx.lang = c.lang AND fx.ph = c.x JOIN f fy ON fy.lang = c.lang AND fy.ph = c.y),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) AS i FROM cut),
+inside AS (SELECT c.lang, array_to_string(c.w[s : s + n - 1], ' ') AS ph, max(c.a) AS a FROM f c, (SELECT unnest([1, 2, 3]) AS s), (SELECT unnest([2, 3]) AS n) WHERE n < c.k AND s + n - 1 <= c.k GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN inside ON inside.lang = low.lang AND inside.ph = low.ph WHERE i = 1 AND (inside.a IS NULL OR 100 * inside.a < 80 * low.a)),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+best AS (SELECT *, ph AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, ph) AS rank FROM kept)
+SELECT best.lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM best JOIN n ON n.lang = best.lang WHERE rank <= 2000"""
 #: The others are beyond SQL: trained models, XXH64 and bit votes, merges of a vocabulary, stored streams. Tests hold them against plain versions.
-ORACLES = {"op1_quality_rules": QUALITY_SQL, "op3_substring_dedup": REPEATS_SQL, "op4_url_filter": URL_SQL, "op7_warc": WARC_SQL, "op9_mixing": MIX_SQL}
+ORACLES = {"op1_quality_rules": QUALITY_SQL, "op3_substring_dedup": REPEATS_SQL, "op4_url_filter": URL_SQL, "op7_warc": WARC_SQL, "op9_mixing": MIX_SQL, "op12_impact_index": RANKED_SQL, "op13_collocations": PHRASES_SQL}

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.shared import WRITTEN, arrow_schema, shared_folder, slices
+from postlode.shared import arrow_schema, shared_folder, slices, wrote
 
 
 U = np.uint64
@@ -143,7 +143,7 @@ def packed(docs: DataFrame, text_col: str, group_bytes: int, buckets: int) -> Da
             n += 1
 
     name = f"postlode_batches_{uuid.uuid4().hex}"
-    WRITTEN.append(path := f"{shared_folder(spark)}/{name}")
+    wrote(path := f"{shared_folder(spark)}/{name}")
     written = named.mapInArrow(run, schema).write.option("path", path)
     written.bucketBy(buckets, "group_id").saveAsTable(name)
     batches = spark.table(name)

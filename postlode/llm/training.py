@@ -15,6 +15,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_clas
     Only rows that training_row() admits count. Ids are taken in order of a
     hash, so the sample is the same at every run; the rows of labels that
     repeat an id count once, with the larger label, and null labels not at all.
+    Of the texts of a repeated id the one with the least hash is taken.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & training_row(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
@@ -25,4 +26,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_clas
     ids = checkpointed(taken[0].unionByName(taken[1]))
     # at most 2 * per_class rows of two numbers: a bound that does not grow with the data
     found = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "id")
-    return found.dropDuplicates(["id"]), counts
+    return found.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label")), counts

@@ -35,12 +35,15 @@ def plain_stage(name, rows, model):
         for r in rows:
             sizes[r.source] += len(words(r.text))
         targets = plain_targets(sizes)
-        out = []
+        rate = {s: min(3.0, targets[s] / n) if n else 0.0 for s, n in sizes.items()}
+        draw = {r.doc_id: int(hashlib.md5(f"1:{r.doc_id}".encode()).hexdigest()[:13], 16) for r in rows}
+        copies = lambda r, turn: math.floor(rate[r.source]) + ((draw[r.doc_id] + turn * 2783377641436328) % (1 << 52) / (1 << 52) < rate[r.source] % 1)
+        taken = {(s, turn): 0 for s in sizes for turn in range(64)}
         for r in rows:
-            rate = min(3.0, targets[r.source] / sizes[r.source]) if sizes[r.source] else 0.0
-            draw = int(hashlib.md5(f"1:{r.doc_id}".encode()).hexdigest()[:13], 16) / (1 << 52)
-            out += [r] * (math.floor(rate) + (draw < rate - math.floor(rate)))
-        return out
+            for turn in range(64):
+                taken[r.source, turn] += copies(r, turn) * len(words(r.text))
+        turns = {s: min(range(64), key=lambda t: (abs(taken[s, t] - targets[s]), t)) for s in sizes}  # noqa: B023
+        return [r for r in rows for _ in range(copies(r, turns[r.source]))]
     ids = {t: LIBRARY.encode(t or "", add_special_tokens=False).ids for t in {r.text for r in rows}}
     return [(r.doc_id, r.source, len(ids[r.text]), tuple(ids[r.text])) for r in rows]
 
@@ -64,10 +67,10 @@ def test_stages_against_plain_versions(spark, tmp_path):
 
 
 def test_run_leaves_the_stages_alone(spark):
-    """Only what stages return stays in the shared folder."""
+    """Only what the last stage reads stays in the shared folder."""
     known = set(WRITTEN)
     assert corpus_pipeline.run(spark, SF).count() > 0
-    assert [p.split("/postlode-")[-1].rsplit("-", 1)[0] for p in WRITTEN if p not in known] == [n for n, _ in corpus_pipeline.STAGES[:-1]]
+    assert [p.split("/postlode-")[-1].rsplit("-", 1)[0] for p in WRITTEN if p not in known] == [corpus_pipeline.STAGES[-2][0]]
 
 
 @pytest.mark.parametrize("index", range(5))
@@ -101,5 +104,8 @@ def test_stage_of_near_copies_keeps_one_row_of_each_text(spark):
 @pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_query_runs(spark, name):
     found = queries.QUERIES[name](spark, SF)
+    if name in ("op12_impact_index", "op13_collocations"):
+        assert found.count() > 0
+        return
     table = "pages" if name in ("op4_url_filter", "op7_warc") else "documents"
     assert found.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
