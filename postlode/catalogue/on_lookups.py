@@ -9,6 +9,7 @@ from postlode.catalogue.base import P, fold_sql, postings, query, table
 from postlode.functions import extract, places
 from postlode.functions import requirements as req
 from postlode.operators import enrichment, lookups, similarity, tracker
+from postlode.shared import stored
 
 NAMES = {"nation_0": "aa", "nation_1": "bb", "nation_2": "cc", "nation_3": "dd"}
 
@@ -115,3 +116,33 @@ def distinctive_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), similarity.words(F.col("text")).alias("words"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), similarity.words(F.col("text")).alias("words"))
     return similarity.distinctive(items, docs)
+
+
+#: Words as operators.similarity.words has them, for the SQL twin.
+TWIN_HOSTS = ("src1", "src2", "src7")
+TWIN_SQL = f"""WITH d AS (SELECT doc_id, source IN {TWIN_HOSTS} AS ours, lang, list_distinct(regexp_extract_all({fold_sql('text')}, '[a-z0-9]+')) AS w FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL),
+p AS (SELECT a.doc_id AS id, b.doc_id AS twin, len(list_intersect(a.w, b.w)) AS shared, len(a.w) + len(b.w) AS words FROM d a JOIN d b ON a.lang = b.lang AND a.ours AND NOT b.ours AND 2 * least(len(a.w), len(b.w)) >= greatest(len(a.w), len(b.w)))
+SELECT id, min(twin) AS twin FROM p WHERE words = 0 OR 2 * shared >= words - shared GROUP BY id"""
+
+
+@query(TWIN_SQL)
+def official_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of three sources with a document of another that has half their words; all of a language have one title."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("host"), F.lit("title").alias("bag"), F.col("lang").alias("country_iso"), similarity.words(F.col("text")).alias("words"))
+    return lookups.official_twins(docs, TWIN_HOSTS)
+
+
+STRATA_SQL = """{first} AS (WITH s AS (SELECT source, count(*) AS size FROM {rows} GROUP BY source), a AS (SELECT *, least({total}, sum(size) OVER ()) AS want, sum(size) OVER () AS everything FROM s),
+q AS (SELECT source, (want * size // everything)::BIGINT AS quota, want * size % everything AS rest, size, want FROM a),
+k AS (SELECT source, quota + CASE WHEN rest > 0 AND row_number() OVER (ORDER BY rest DESC, size DESC, source NULLS LAST) <= want - sum(quota) OVER () THEN 1 ELSE 0 END AS quota FROM q)
+SELECT d.doc_id, d.source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('1:' || doc_id), doc_id) AS n FROM {rows}) d JOIN k ON k.source IS NOT DISTINCT FROM d.source WHERE d.n <= k.quota)"""
+SAMPLE_SQL = f"WITH {STRATA_SQL.format(first='one', rows='documents', total=150)}, rest AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM one)), {STRATA_SQL.format(first='two', rows='rest', total=40)} SELECT doc_id, source, 'first' AS part FROM one UNION ALL SELECT doc_id, source, 'refill' FROM two"
+
+
+@query(SAMPLE_SQL)
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """150 documents in proportion to their sources, and a refill of 40 that shares none with them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    first = stored(enrichment.stratified_sample(docs, "source", 150, "doc_id"), "sample")
+    refill = enrichment.stratified_sample(docs, "source", 40, "doc_id", taken=first)
+    return first.withColumn("part", F.lit("first")).unionByName(refill.withColumn("part", F.lit("refill")))

@@ -207,8 +207,8 @@ def jd_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pay that documents state; only texts with a currency are searched."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(rf"(?i){money.CURRENCY}"))
+    """Pay that documents state."""
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("doc_id").alias("id"), money.salary(F.col("text")).alias("s")).where("s IS NOT NULL").select("id", "s.*")
 
 

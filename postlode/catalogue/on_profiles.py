@@ -233,5 +233,5 @@ def url_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses out of the redirects that carry them, and keys of tenants."""
     wrapped = F.concat(F.lit("https://r.example/out?id=1&url="), F.url_encode("url"))
     slug = F.concat(F.lit("Tenant-"), F.col("page_id") % 9, F.lit("/"))
-    rows = table(spark, sf_dir, "pages").where("url IS NOT NULL")
+    rows = table(spark, sf_dir, "pages")
     return rows.select("page_id", keys.unwrapped(F.when(F.col("url").rlike("^https?://"), wrapped).otherwise(F.col("url"))).alias("url"), keys.tenant_key(F.lit("Board"), slug).alias("tenant"), keys.trial_slug(F.when(F.col("page_id") % 9 == 3, "acme-QA").otherwise("acme-quality")).alias("trial"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlode.operators.running import running_sums
@@ -14,17 +14,14 @@ from postlode.shared import checkpointed
 def _below(rows: DataFrame, by: str | None) -> tuple[DataFrame, list]:
     """Counts of each label at each score, with those at lower scores (below_<label>), and the labels in order.
 
-    Labels are a short scale. Without groups, scores are dealt out in ranges.
+    Labels are a short scale. Scores are dealt out in ranges, within groups too.
     """
     group = [by] if by else []
     # what follows reads the few counts alone, so rows are scored once
     counts = checkpointed(rows.groupBy(*group, "score", "label").agg(F.count("*").alias("n")))
     labels = [r["label"] for r in counts.select("label").distinct().orderBy("label").collect()]
     wide = counts.groupBy(*group, "score").pivot("label", labels).agg(F.sum("n")).na.fill(0)
-    if not by:
-        return running_sums(wide, F.col("score"), {f"below_{x}": F.col(f"`{x}`") for x in labels}), labels
-    below = Window.partitionBy(by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    return wide.withColumns({f"below_{x}": F.coalesce(F.sum(f"`{x}`").over(below), F.lit(0)) for x in labels}), labels
+    return running_sums(wide, F.col("score"), {f"below_{x}": F.col(f"`{x}`") for x in labels}, group), labels
 
 
 def concordance(rows: DataFrame, by: str | None = None) -> DataFrame:
@@ -63,8 +60,9 @@ def extremes(rows: DataFrame, labels: Sequence, limit: int = 6, best: bool = Tru
 
 
 def ranks_within(rows: DataFrame, by: str, order: Sequence[Column]) -> DataFrame:
-    """rows with their rank among the rows of one stratum."""
-    return rows.withColumn("rank_within", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    """rows with their rank among the rows of one stratum, which may be of any size; `order` should leave no ties."""
+    counted = running_sums(rows, order, {"rank_within": F.lit(1)}, [by])
+    return counted.withColumn("rank_within", (F.col("rank_within") + 1).cast("int"))
 
 
 def rescored_outcomes(outcomes: DataFrame, scores: DataFrame) -> DataFrame:

@@ -2,8 +2,7 @@
 
 Rows arrive in the order of `_ord`. The cascade is a fold: a row that shares a
 key with an earlier one merges into it and registers none of its own keys, so
-it is not a matter of connected components. But rows meet only through chains
-of shared keys, so each component of the key graph can be folded by itself.
+it is not a matter of connected components.
 """
 
 from __future__ import annotations
@@ -12,13 +11,15 @@ from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlode.functions.keys import decoded_reference, reference, translated_bag
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
+from postlode.operators.cascade import fold_apart
 from postlode.operators.components import components
-from postlode.shared import arrow_schema, stored
+from postlode.operators.running import running_sums
+from postlode.shared import arrow_schema, checkpointed, stored
 
 #: What the fold needs of a row besides its keys.
 FOLD = ("_ord", "source", "has_description", "has_type", "posted_key")
@@ -93,26 +94,41 @@ def key_edges(keyed: DataFrame) -> DataFrame:
 
 
 def component_sizes(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """(size, components): how many rows one task has to replay, and how often; look at it before a cascade over new sources."""
+    """(size, components): how many rows keys connect, and how often; look at it before a cascade with mirrored sources."""
     found = components(key_edges(rows.select("_ord", candidate_keys(mirrored).alias("keys"))))
     return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("components"))
 
 
-def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFrame:
+def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = (), most_rounds: int = 50) -> DataFrame:
     """(loser, winner, tier) by `_ord`: what the fold over all rows removes.
 
-    rows: _ord, id, external_id, source, company, title, location, url,
-    description, employment_type, posted_at. Only rows that share a key reach
-    the fold, without their texts.
+    rows: _ord (different numbers), id, external_id, source, company, title,
+    location, url, description, employment_type, posted_at. Only rows that
+    share a key reach the fold, without their texts. It is done in rounds and
+    ranges (see cascade.py), so neither a key nor a component meets in one
+    task; only what keys of mirrored sources connect does.
     """
     known = {"has_description": F.coalesce(F.col("description"), F.lit("")) != "", "has_type": F.coalesce(F.col("employment_type"), F.lit("")) != ""}
     posted = F.coalesce(F.concat(F.lit("0"), F.col("posted_at").cast("string")), F.lit("1"))
     # the keys take many regular expressions, so rows with them are written once
     keyed = stored(rows.select("_ord", "source", *[c.alias(n) for n, c in known.items()], posted.alias("posted_key"), candidate_keys(mirrored).alias("keys")), "keyed")
-    grouped = keyed.join(components(key_edges(keyed)), F.col("_ord") == F.col("node")).drop("node")
+    flat = keyed.select("_ord", F.posexplode("keys").alias("i", "k")).select("_ord", "i", "k.*")
+    often = flat.groupBy("key").agg(F.count_distinct("_ord").alias("n")).where("n > 1").select("key")
+    shared = checkpointed(flat.join(often, "key", "left_semi"))
+    if not mirrored:
+        return fold_apart(keyed, shared, most_rounds)
+    # whether a mirror key counts depends on who holds it, so what such keys connect is replayed whole
+    groups = components(key_edges(keyed))
+    bound = shared.where("tier = 'mirror'").join(groups, F.col("_ord") == F.col("node")).select("component").distinct()
+    groups = checkpointed(groups.join(bound, "component", "left_semi"))
+    free = shared.join(groups, F.col("_ord") == F.col("node"), "left_anti")
+    return _replayed(keyed.join(groups, F.col("_ord") == F.col("node")).drop("node"), mirrored).unionByName(fold_apart(keyed, free, most_rounds))
+
+
+def _replayed(grouped: DataFrame, mirrored: Sequence[tuple[str, str]]) -> DataFrame:
+    """(loser, winner, tier): the fold of each component, by one task."""
     pairs = frozenset(frozenset(p) for p in mirrored)
-
-    kind = keyed.schema["_ord"].dataType.simpleString()
+    kind = grouped.schema["_ord"].dataType.simpleString()
     schema = f"loser {kind}, winner {kind}, tier string"
     out = arrow_schema(schema)
 
@@ -235,8 +251,9 @@ def wildcard_pairs(rows: DataFrame, anywhere: Column) -> DataFrame:
     """(loser, winner): the n-th posting of a (company, title) for any place goes with the n-th for a concrete place.
 
     Pairs are first in, first out on both sides, so numbering each side and joining equal numbers is the whole fold.
+    Numbers are running sums, so a title may have any number of postings.
     """
     key = [F.lower("company").alias("_c"), title_bag(F.col("title")).alias("_t")]
-    numbered = rows.select("_ord", *key, anywhere.alias("_any")).withColumn("_n", F.row_number().over(Window.partitionBy("_c", "_t", "_any").orderBy("_ord")))
+    numbered = running_sums(rows.select("_ord", *key, anywhere.alias("_any")), F.col("_ord"), {"_n": F.lit(1)}, ["_c", "_t", "_any"])
     general, concrete = numbered.where("_any"), numbered.where("NOT _any")
     return general.join(concrete.withColumnRenamed("_ord", "winner").drop("_any"), ["_c", "_t", "_n"]).select(F.col("_ord").alias("loser"), "winner")

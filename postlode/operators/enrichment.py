@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlode.operators.running import running_sums
+
 
 def plan(rows: DataFrame, records: DataFrame, top: int) -> DataFrame:
     """The first rows by score, each as new, retry or seen by its stored record (id, ok)."""
@@ -48,7 +50,37 @@ def sample(rows: DataFrame, buckets: list[tuple[str, Column, int]], seed: int =
     quota = F.create_map(*[x for n, _, k in buckets for x in (F.lit(n), F.lit(k))])
     w = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(seed), "id"), "id")
     placed = rows.withColumn("bucket", bucket).where("bucket IS NOT NULL").withColumn("_n", F.row_number().over(w))
-    return placed.where(F.col("_n") <= quota[F.col("bucket")]).drop("_n")
+    # the largest quota is a limit that tasks apply before rows move
+    return placed.where(F.col("_n") <= max([k for _, _, k in buckets], default=0)).where(F.col("_n") <= quota[F.col("bucket")]).drop("_n")
+
+
+def quotas(rows: DataFrame, stratum: str, total: int) -> DataFrame:
+    """(stratum, size, quota): `total` rows shared by size, rounded down; who has the largest remainders gets one of what is left.
+
+    Equal remainders go by size, the larger first, then by name, null last. No
+    quota is above its stratum's size.
+    """
+    sizes = rows.groupBy(stratum).agg(F.count("*").alias("size"))
+    both = sizes.join(F.broadcast(sizes.agg(F.sum("size").alias("_all"))))  # one row
+    exact = F.least(F.lit(total), F.col("_all")) * F.col("size")
+    parts = both.select(stratum, "size", F.least(F.lit(total), F.col("_all")).alias("_want"), F.lit(1).alias("_one"), F.floor(exact / F.col("_all")).cast("long").alias("quota"), F.pmod(exact, F.col("_all")).alias("_rest"))
+    left = parts.agg((F.max("_want") - F.sum("quota")).alias("_left"))
+    order = [F.desc("_rest"), F.desc("size"), F.col(stratum).asc_nulls_last()]
+    placed = running_sums(parts, order, {"_before": F.col("_one")}).join(F.broadcast(left))  # one row
+    return placed.select(stratum, "size", (F.col("quota") + F.when((F.col("_before") < F.col("_left")) & (F.col("_rest") > 0), 1).otherwise(0)).alias("quota"))
+
+
+def stratified_sample(rows: DataFrame, stratum: str, total: int, id_col: str = "id", seed: int = 1, taken: DataFrame | None = None) -> DataFrame:
+    """`total` rows in proportion to their strata, the same at every run; those whose ids are `taken` are left out first, so refills are disjoint.
+
+    Rows are taken by a digest of id and seed. How many rows of a stratum come
+    before a row is a running sum, so a stratum of any size is split.
+    """
+    free = rows if taken is None else rows.join(taken.select(id_col), id_col, "left_anti")
+    share = quotas(free, stratum, total).select(F.col(stratum).alias("_stratum"), "quota")
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    placed = running_sums(free, [digest, F.col(id_col)], {"_n": F.lit(1)}, [stratum])
+    return placed.join(share, F.col(stratum).eqNullSafe(F.col("_stratum"))).where(F.col("_n") < F.col("quota")).drop("_n", "_stratum", "quota")
 
 
 def violations(rows: DataFrame, labels: list[str]) -> DataFrame:

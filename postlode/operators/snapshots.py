@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlode.operators.running import running
+
 
 def new_and_gone(current: DataFrame, previous: DataFrame, key: str) -> DataFrame:
     """(key, change): `new` or `gone`."""
@@ -46,13 +48,14 @@ def merge_lifecycle(known: DataFrame, run: DataFrame, key: str, at: Column, valu
 def asof_latest(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, within_days: int) -> DataFrame:
     """left with `latest`: the latest right_time at or before left_time and at most so many days older, by `by`.
 
-    One sort of the union by key and time; no pairs are made.
+    The union is dealt out in ranges of key and time, and the latest time of the
+    ranges before is carried on, so no pairs are made and no key meets in one task.
+    A null key matches nothing.
     """
     rows = left.withColumns({"_t": F.col(left_time), "_left": F.lit(1)}).unionByName(right.select(by, F.col(right_time).alias("_t"), F.col(right_time).alias("_r"), F.lit(0).alias("_left")), allowMissingColumns=True)
-    before = Window.partitionBy(by).orderBy("_t", "_left").rowsBetween(Window.unboundedPreceding, 0)
-    found = rows.withColumn("latest", F.last("_r", ignorenulls=True).over(before)).where("_left = 1")
+    found = running(rows, [F.col("_t"), F.col("_left")], {"latest": F.col("_r")}, [by], largest=True).where("_left = 1")
     fresh = F.datediff(F.col("_t"), F.col("latest")) <= within_days
-    return found.withColumn("latest", F.when(fresh, F.col("latest"))).drop("_t", "_left", "_r")
+    return found.withColumn("latest", F.when(fresh & F.col(by).isNotNull(), F.col("latest"))).drop("_t", "_left", "_r")
 
 
 def new_among_top(current: DataFrame, previous: DataFrame, id_col: str, order: list[Column], top: int) -> DataFrame:

@@ -20,8 +20,9 @@ def event_type(text: Column, explicit: Column) -> Column:
 
 
 def append_events(log: DataFrame, fresh: DataFrame) -> DataFrame:
-    """log with the events whose message id it does not have yet; a message counts once."""
-    new = fresh.dropDuplicates(["message_id"]).join(log.select("message_id"), "message_id", "left_anti")
+    """log with the events whose message id it does not have yet; of several events of a message the first by time, type and job counts."""
+    first = F.min_by(F.struct(*fresh.columns), F.struct("ts", "event_type", "job_id"))
+    new = fresh.groupBy("message_id").agg(first.alias("_first")).select("_first.*").join(log.select("message_id"), "message_id", "left_anti")
     return log.unionByName(new.select(*log.columns))
 
 

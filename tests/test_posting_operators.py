@@ -223,10 +223,9 @@ def test_text_pairs_equal_brute_force(spark):
         if found[0] or found[1] >= similarity.EDITS:
             expected[i, j] = (len(set(a) & set(b)), *found)
     assert all((14, 150 + i) in expected for i in range(60)) and (13, 211) in expected and (12, 210) in expected
-    for held in (100, 4):
-        rows = similarity.text_pairs(spark.createDataFrame(queries, schema), spark.createDataFrame(texts, schema), most_held=held).collect()
-        assert len(rows) == len(expected)
-        assert {(r.left_id, r.right_id): (r.shared, *r.found) for r in rows} == expected
+    rows = similarity.text_pairs(spark.createDataFrame(queries, schema), spark.createDataFrame(texts, schema)).collect()
+    assert len(rows) == len(expected)
+    assert {(r.left_id, r.right_id): (r.shared, *r.found) for r in rows} == expected
 
 
 def test_language_level(spark):
