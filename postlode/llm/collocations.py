@@ -67,7 +67,7 @@ class _Block:
         return list(self.numbers)[1:], counts[1:], order[counts[0] :]
 
 
-def word_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most_words: int = 1 << 22) -> DataFrame:
+def word_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most_words: int = 1 << 21) -> DataFrame:
     """(block, n, k, places, lang, words): the lists of all words of a block; n: its words, k: the lengths of its lists.
 
     A block holds documents of one language that one task read, about
@@ -157,7 +157,7 @@ def _kept(df: DataFrame, name: str, drop: list[str]) -> tuple[DataFrame, list[st
     return table, paths
 
 
-def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, longest: int = 4, most_words: int = 1 << 22) -> tuple[list[DataFrame], DataFrame]:
+def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, longest: int = 4, most_words: int = 1 << 21) -> tuple[list[DataFrame], DataFrame]:
     """([phrases of one word, of two, ...], (lang, n)): all phrases with `least` occurrences in their language, and words by language.
 
     A table of phrases holds name, lang, f, words, pre and suf (frequencies of
@@ -188,7 +188,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     return found, totals
 
 
-def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, longest: int = 4, share: int = 80, most: int = 2000, most_words: int = 1 << 22) -> DataFrame:
+def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, longest: int = 4, share: int = 80, most: int = 2000, most_words: int = 1 << 21) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's `most` best phrases of two words or more.
 
     a is the phrase's frequency, l and r those of the two parts of its weakest
