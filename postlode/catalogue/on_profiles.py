@@ -138,7 +138,7 @@ def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pay = F.when(k % 5 == 0, F.concat(F.lit('{"currency":"eur","value":{"minValue":'), price, F.lit(',"unitText":"MONTH"}}'))).when(k % 5 == 1, F.lit('{"currency":"EUR","value":0}')).otherwise(F.lit("null"))
     place = F.when(k % 2 == 0, F.concat(F.lit('[{"address":{"addressLocality":"City'), k % 7, F.lit('","addressCountry":{"name":"de"}}}]'))).otherwise(F.lit("null"))
     html = F.format_string(PAGE, k, ident, day, F.when(k % 6 == 0, "soon").otherwise(day), kind, pay, place, F.when(k % 9 == 0, "Elsewhere").otherwise("Acme"))
-    post = F.to_json(F.get(readers.job_ld(html), F.lit(0)))
+    post = F.get(readers.job_ld(html), F.lit(0))
     rows = table(spark, sf_dir, "orders").select(k.alias("id"), evidence.fields(post).alias("found"))
     return rows.withColumns({"title": F.concat(F.lit("Buyer "), "id"), "company": F.lit("Acme GmbH"), "external_id": F.concat(F.lit("R"), "id"), "location": F.concat(F.lit("City"), F.col("id") % 3)})
 
@@ -235,3 +235,14 @@ def url_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     slug = F.concat(F.lit("Tenant-"), F.col("page_id") % 9, F.lit("/"))
     rows = table(spark, sf_dir, "pages")
     return rows.select("page_id", keys.unwrapped(F.when(F.col("url").rlike("^https?://"), wrapped).otherwise(F.col("url"))).alias("url"), keys.tenant_key(F.lit("Board"), slug).alias("tenant"), keys.trial_slug(F.when(F.col("page_id") % 9 == 3, "acme-QA").otherwise("acme-quality")).alias("trial"))
+
+
+DAMAGED = '<script type="application/ld+json">{"@graph":[{"@type":"WebPage"},{"@type":["Thing","JobPosting"],"description":"<p>Page\n\tof %1$s</p> in C:\\dir, %2$s"}]}</script>'
+
+
+@query("SELECT page_id, CASE WHEN length('Page of ' || u || ' in C:dir, ' || w) >= 120 THEN 'Page of ' || u || ' in C:dir, ' || w END AS description FROM (SELECT page_id, coalesce(regexp_extract(url, '^[\\w:/.-]*'), '') AS u, array_to_string(list_transform(range(1 + page_id % 9), lambda i: 'and counts parts ' || i), '; ') AS w FROM pages)")
+def jsonld_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions from structured data with raw line ends and a backslash that escapes nothing, if they are long enough."""
+    words = F.array_join(F.transform(F.sequence(F.lit(0), (F.col("page_id") % 9).cast("int")), lambda i: F.concat(F.lit("and counts parts "), i.cast("string"))), "; ")
+    html = F.format_string(DAMAGED, F.regexp_extract(F.coalesce("url", F.lit("")), r"^[\w:/.-]*", 0), words)
+    return table(spark, sf_dir, "pages").select("page_id", readers.job_description(html).alias("description"))

@@ -24,7 +24,7 @@ REASONS = (
 )
 HARD = ("german_required", "job_type_non_internship", "experience_required", "native_language", "duration_conflict", "recent_graduate")
 #: Titles of programmes and of kinds of work that are no student roles.
-PROGRAMMES = ("graduate trainee", "management trainee", "junior managers program", "duales studium", "ausbildung", "apprenticeship", "schülerpraktikum")
+PROGRAMMES = req.PROGRAMMES
 TYPES = ("freelance", "volunteer", "ehrenamt", "minijob", "aushilfe", "schulpraktikum", "zivildienst", "au pair")
 ERASMUS = r"(?iU)\berasmus\+?"
 POOL = r"(?iU)\b(?:spontaneous|speculative|unsolicited|open|initiative) application\b|\binitiativ(?:e|bewerbung|stelle)?\b|\bspontanbewerbung\b|\btalent (?:pool|community)\b|\bcandidature spontanée\b"

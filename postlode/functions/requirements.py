@@ -10,9 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postlode.functions.text import fold
+from postlode.rules import any_word
 
 STUDENT = r"(?iU)\b(?:praktik(?:um|ant|antin)|werkstudent\w*|working student|intern(?:ship)?s?|stage|stagiaire|trabajo en practicas|tirocinio)\b"
-PROGRAMME = r"(?iU)\b(?:graduate trainee|management trainee|junior managers? program\w*|duales studium|ausbildung|sch(?:u|ü)lerpraktikum)\b"
+#: Titles of programmes that are no student roles, and of school placements; the callers' own lists may take their place.
+PROGRAMMES = ("apprenticeship", "ausbildung", "ausbildungsplatz", "duales studium", "graduate programme", "graduate trainee", "school placement", "schulerpraktikum", "schülerpraktikum", "trainee programme", "traineeprogramm")
+PROGRAMME = "(?iU)" + any_word(PROGRAMMES)
 SENIOR = r"(?iU)\b(?:senior|lead|head of|director|principal|manager)\b"
 STUDENT_TYPES = ("intern", "internship", "working_student")
 SUBTYPES = {"working_student": r"(?iU)\b(?:werkstudent\w*|working student)\b", "mandatory_internship": r"(?iU)\b(?:pflichtpraktikum|mandatory internship)\b", "voluntary_internship": r"(?iU)\b(?:freiwilliges praktikum|voluntary internship)\b", "internship": r"(?iU)\b(?:praktik(?:um|ant|antin)|intern(?:ship)?)\b"}

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postlode.functions.spans import after, around, let, spans
+from postlode.rules import any_word
 
 #: Names of months by their number; longer names come first in patterns.
 MONTHS = {
@@ -21,7 +22,9 @@ OPENING = r"\b(?:ab|from|starting|start(?:ing)?(?: in| date)?|beginn\w*|as of)\s
 START = rf"{OPENING}(?:(?:\d{{1,2}}\.?\s+)?{MONTH}\s+20\d\d|\d{{1,2}}\.\d{{1,2}}\.20\d\d|20\d\d-\d\d)\b"
 AMBIGUOUS = rf"{OPENING}{MONTH}(?![a-z])(?!\s+20\d\d)"
 IMMEDIATE = r"\b(?:ab sofort|sofort|immediately|asap)\b"
-CONTEXT = r"\b(?:beginn\w*|start\w*|einstieg|wann|zeitraum|dauer|duration|besetz\w*|suchen|gesucht|monat\w*|months?)\b"
+#: Words by which a start at once is about a job: what is offered, and when and how long. A brand that "startet sofort durch" is none.
+START_WORDS = ("arbeitsbeginn", "available", "beginn", "eintritt", "eintrittsdatum", "internship", "job", "laufzeit", "monat", "monate", "monaten", "month", "months", "opening", "position", "praktikum", "role", "start", "startdatum", "startet am", "stelle", "vacancy", "verfügbar", "weeks", "werkstudent", "wochen")
+CONTEXT = "(?U)" + any_word(START_WORDS)
 #: Kinds of hits, the one that says most first.
 KINDS = ("semester", "range", "start", "ambiguous_start", "immediate")
 HIT = "array<struct<rank:int,at:int,kind:string,term:string,start:string,end:string,context:boolean>>"

@@ -1,7 +1,7 @@
 """What structured data on an employer's page says about a posting, and whether it speaks of the same one.
 
-Pages give JobPosting objects as JSON text; nothing here changes a posting,
-it only states relations: match, conflict, missing.
+Pages give JobPosting objects as variants, parsed once; nothing here changes a
+posting, it only states relations: match, conflict, missing.
 """
 
 from __future__ import annotations
@@ -21,7 +21,12 @@ HYBRID, REMOTE, ON_SITE = r"(?i)\bhybrid\b", r"(?i)\b(?:remote|home ?office)\b",
 
 
 def _text(post: Column, path: str) -> Column:
-    return blank_to_null(F.get_json_object(post, path))
+    return blank_to_null(F.try_variant_get(post, path, "string"))
+
+
+def _first(post: Column, path: str) -> Column:
+    """The value at a path, or the first of an array that stands there."""
+    return F.coalesce(F.try_variant_get(post, f"{path}[0]", "variant"), F.try_variant_get(post, path, "variant"))
 
 
 def iso_day(c: Column) -> Column:
@@ -31,13 +36,13 @@ def iso_day(c: Column) -> Column:
 
 def identifier(post: Column) -> Column:
     """A posting's own identifier: the value of an object, its name, or the plain text."""
-    plain = F.when(~F.coalesce(F.get_json_object(post, "$.identifier"), F.lit("")).startswith("{"), _text(post, "$.identifier"))
-    return F.coalesce(_text(post, "$.identifier.value"), _text(post, "$.identifier.name"), plain)
+    plain = _text(post, "$.identifier")
+    return F.coalesce(_text(post, "$.identifier.value"), _text(post, "$.identifier.name"), F.when(~plain.startswith("{"), plain))
 
 
 def salary(post: Column) -> Column:
     """struct(min, max, currency, period), null unless both bounds are above 0; one bound stands for both."""
-    number = lambda path: F.get_json_object(post, path).try_cast("double")
+    number = lambda path: F.try_variant_get(post, path, "string").try_cast("double")
     one = number("$.baseSalary.value")
     low, high = F.coalesce(number("$.baseSalary.value.minValue"), one), F.coalesce(number("$.baseSalary.value.maxValue"), one)
     low, high = F.coalesce(low, high), F.coalesce(high, low)
@@ -47,29 +52,25 @@ def salary(post: Column) -> Column:
 
 def location(post: Column) -> Column:
     """struct(city, region, postal_code, country, street, telecommute) of the first place, null without an address."""
-    place = F.when(F.get_json_object(post, "$.jobLocation").startswith("["), F.get_json_object(post, "$.jobLocation[0]")).otherwise(F.get_json_object(post, "$.jobLocation"))
-    return let(place, _place)
+    return let(_first(post, "$.jobLocation"), _place)
 
 
 def _place(place: Column) -> Column:
-    part = lambda name: F.coalesce(_text(place, f"$.address.{name}.name"), _text(place, f"$.address.{name}"))
     names = {"addressLocality": "city", "addressRegion": "region", "postalCode": "postal_code", "addressCountry": "country", "streetAddress": "street"}
-    tele = F.coalesce(F.lower(F.get_json_object(place, "$['@type']")).contains("telecommute"), F.lit(False))
-    made = F.struct(*[part(k).alias(v) for k, v in names.items()], tele.alias("telecommute"))
-    return F.when(F.coalesce(*[part(k) for k in names]).isNotNull(), made)
+    parts = F.struct(*[F.coalesce(_text(place, f"$.address.{k}.name"), _text(place, f"$.address.{k}")).alias(v) for k, v in names.items()], F.coalesce(F.lower(F.try_variant_get(place, "$['@type']", "string")).contains("telecommute"), F.lit(False)).alias("telecommute"))
+    return let(parts, lambda p: F.when(F.coalesce(*[p[v] for v in names.values()]).isNotNull(), p))
 
 
 def fields(post: Column) -> Column:
-    """A JobPosting's fields as a struct of evidence."""
+    """A JobPosting's fields, from a variant (see readers.job_ld), as a struct of evidence."""
     return let(post, _fields)
 
 
 def _fields(post: Column) -> Column:
-    kind = F.when(F.get_json_object(post, "$.employmentType").startswith("["), _text(post, "$.employmentType[0]")).otherwise(_text(post, "$.employmentType"))
     return F.struct(
         _text(post, "$.title").alias("title"), iso_day(_text(post, "$.validThrough")).alias("valid_through"), iso_day(_text(post, "$.datePosted")).alias("date_posted"),
-        salary(post).alias("salary"), kind.alias("employment_type"), location(post).alias("location"), blank_to_null(html_text(_text(post, "$.description"))).alias("description"),
-        identifier(post).alias("identifier"), _text(post, "$.hiringOrganization.name").alias("organization"),
+        salary(post).alias("salary"), blank_to_null(F.try_variant_get(_first(post, "$.employmentType"), "$", "string")).alias("employment_type"), location(post).alias("location"),
+        blank_to_null(html_text(_text(post, "$.description"))).alias("description"), identifier(post).alias("identifier"), _text(post, "$.hiringOrganization.name").alias("organization"),
     )
 
 
@@ -105,8 +106,12 @@ def location_relation(found: Column, place: Column, aliases: dict[str, str] | No
 
 def raw_fields(raw: Column) -> Column:
     """Fields that boards keep beside a posting, from JSON text; blanks are null, and an address to apply at must be http."""
+    return let(F.try_parse_json(raw), _raw_fields)
+
+
+def _raw_fields(raw: Column) -> Column:
     apply = _text(raw, "$.apply_url")
-    flag = F.get_json_object(raw, "$.is_remote")
+    flag = F.try_variant_get(raw, "$.is_remote", "string")
     return F.struct(
         *[_text(raw, f"$.{n}").alias(n) for n in ("department", "employment_type", "commitment", "requisition_id", "global_id")],
         F.when(apply.rlike("(?i)^https?:"), apply).alias("apply_url"), F.when(flag.isin("true", "false"), flag == "true").alias("is_remote"),

@@ -121,12 +121,41 @@ def html_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
+def lenient_json(text: Column) -> Column:
+    """A variant of JSON text that may hold raw control characters or backslashes that escape nothing; null if it is still none.
+
+    Sound text is parsed as it is. In the rest, control characters become
+    spaces, and a backslash before anything that cannot be escaped goes.
+    """
+    plain = F.regexp_replace(text, r"[\x00-\x1F]+", " ")
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_replace(plain, r"(\\[\"\\/bfnrt]|\\u[0-9a-fA-F]{4})|\\", "$1")))
+
+
+def _members(v: Column) -> Column:
+    """The objects of a graph or of an array, or the object itself."""
+    return F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+
+
 def job_ld(html: Column) -> Column:
-    """The JobPosting objects among a page's ld+json scripts, as an array of variants."""
+    """The JobPosting objects among a page's ld+json scripts, in graphs and arrays too, as an array of variants.
+
+    Each script is parsed once; a damaged one is repaired first (see
+    lenient_json), and one beyond repair says nothing.
+    """
     blocks = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), F.lit(1))
-    lists = F.transform(blocks, lambda b: F.coalesce(F.from_json(F.get_json_object(b, "$['@graph']"), "array<string>"), F.when(F.trim(b).startswith("["), F.from_json(b, "array<string>")), F.array(b)))
-    posts = F.filter(F.flatten(lists), lambda b: F.get_json_object(b, "$['@type']") == "JobPosting")
-    return F.transform(posts, lambda b: F.try_parse_json(b))
+    found = F.flatten(F.transform(F.flatten(F.transform(F.transform(blocks, lenient_json), _members)), _members))
+    kind = lambda v: F.coalesce(F.try_variant_get(v, "$['@type']", "array<string>"), F.array(F.try_variant_get(v, "$['@type']", "string")))
+    return F.filter(found, lambda v: F.coalesce(F.array_contains(kind(v), "JobPosting"), F.lit(False)))
+
+
+def job_description(html: Column, least: int = 120) -> Column:
+    """The text of the first posting of a page whose description has `least` characters at least, null without one.
+
+    Shorter ones are what boards repeat on every page.
+    """
+    texts = F.transform(job_ld(html), lambda v: html_text(F.try_variant_get(v, "$.description", "string")))
+    return F.get(F.filter(texts, lambda t: F.length(t) >= least), F.lit(0))
+
 
 
 def markdown_listing(spark: SparkSession, path: str, source: str, company: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlode.catalogue import cases
-from postlode.functions import applicability, keys, places, seasons, spans
+from postlode.functions import applicability, keys, money, places, seasons, spans
 from postlode.operators import benchmarks, evidence, filters, health, registry, running, stores, tracker
 from postlode.sources import boards, readers
 from postlode.streaming import ledger
@@ -153,9 +153,31 @@ def test_pages_and_titles(spark):
 def test_evidence_of_odd_pages(spark):
     post = {"@type": "JobPosting", "title": " ", "identifier": "7", "baseSalary": {"value": 3000, "currency": " eur "}, "jobLocation": {"@type": "TELECOMMUTE", "address": {"addressLocality": "Bonn"}}, "validThrough": "2024-02-30"}
     html = f'<script type="application/ld+json">{json.dumps([post])}</script><script type="application/ld+json">broken</script>'
-    found = one(spark, html, evidence.fields(F.to_json(F.get(readers.job_ld(F.col("t")), F.lit(0)))))
+    found = one(spark, html, evidence.fields(F.get(readers.job_ld(F.col("t")), F.lit(0))))
     assert (found.title, found.identifier, found.valid_through, found.salary.min, found.salary.currency, found.location.city, found.location.telecommute) == (None, "7", None, 3000.0, "EUR", "Bonn", True)
-    assert one(spark, "no script", evidence.fields(F.to_json(F.get(readers.job_ld(F.col("t")), F.lit(0))))).title is None
+    assert one(spark, "no script", evidence.fields(F.get(readers.job_ld(F.col("t")), F.lit(0)))).title is None
+
+
+def test_damaged_structured_data(spark):
+    page = lambda text: f'<script type="application/ld+json">{text}</script>'
+    long = "We look for somebody who counts parts. " * 4
+    said = lambda text, least=20: one(spark, page(text), readers.job_description(F.col("t"), least))
+    assert said('{"@type": "JobPosting", "description": "first line\nand\ta second one"}') == "first line and a second one"
+    assert said('{"@type": "JobPosting", "description": "a path C:\\dir and \\u0041 quote \\"x\\""}') == 'a path C:dir and A quote "x"'
+    assert said('{"@graph": [[{"@type": "Thing"}], {"@type": ["Thing", "JobPosting"], "description": "in a graph of things"}]}') == "in a graph of things"
+    assert said('[{"@graph": [{"@type": "JobPosting", "description": "in a graph of an array"}]}]') == "in a graph of an array"
+    assert said('{"@type": "JobPosting", "description": 5}') is None and said('{"@type": "JobPosting", "description": ') is None and said('{"@type": "Organization", "description": "some text about a firm"}') is None
+    two = page('{"@type": "JobPosting", "description": "short"}') + page(json.dumps({"@type": "JobPosting", "description": f"<p>{long}</p>"}))
+    assert one(spark, two, readers.job_description(F.col("t"))) == long.strip() and one(spark, None, readers.job_description(F.col("t"))) is None
+
+
+def test_words_for_pay_and_starts(spark):
+    pay = lambda t: one(spark, t, money.salary(F.col("t")))
+    assert pay("Your salary is 2000 per month").min == 2000.0 and pay("Bruttojahresgehalt: 42.000,50 €").declared == "year"
+    assert pay("Stundenlohn von 14,50 €").declared == "hour" and pay("An hourly rate of 15 €").min == 15.0
+    assert pay("Bewerbung bis 31.12.2024, Gehalt nach Tarif") is None and pay("Vergütung 1.2345 €") is None and pay("Haltung 12 €") is None
+    context = lambda t: one(spark, t, seasons.season(seasons.season_hits(F.col("t"))))["context"]
+    assert not context("Unsere Marke startet sofort durch") and context("Die Stelle ist ab sofort frei") and context("sofort, für sechs Monate")
 
 
 def test_reader_scores(spark):
