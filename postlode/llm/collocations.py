@@ -30,6 +30,8 @@ END = 0xFF
 SIGNS = bytes(END if i in b".,;:!?\n\x0b\x0c\r" else i + 32 if 65 <= i <= 90 else i for i in range(256))
 #: Bits of a name that hold the place within its block.
 PLACE = 28
+#: Lists of a row of a block, at most.
+PART = 1 << 14
 LISTS = "block long, n long, firsts array<int>, k array<int>, places binary"
 
 
@@ -67,8 +69,19 @@ class _Block:
         return list(self.numbers)[1:], counts[1:], order[counts[0] :]
 
 
+def _parts(schema: pa.Schema, block: int, n: int, k: np.ndarray, places: np.ndarray, *more: np.ndarray | list) -> pa.RecordBatch:
+    """A block's lists as rows of PART lists at most, so that no row is large; its words are counted in the first."""
+    ends = np.cumsum(k)
+    begins, rows = ends - k, []
+    for i in range(0, len(k), PART):
+        j = min(i + PART, len(k))
+        rows.append((block, 0 if i else n, places[begins[i:j]], k[i:j], places[begins[i] : ends[j - 1]].tobytes(), *(m if isinstance(m, str) else m[i:j] for m in more)))
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 def word_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most_words: int = 1 << 21) -> DataFrame:
-    """(block, n, k, places, lang, words): the lists of all words of a block; n: its words, k: the lengths of its lists.
+    """(block, n, firsts, k, places, lang, words): the lists of all words of a block, PART of them a row; n: its words, k: the lengths of its lists.
 
     A block holds documents of one language that one task read, about
     most_words words; a document's pieces stay in one block.
@@ -84,8 +97,7 @@ def word_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
             nonlocal made
             words, k, places = blocks.pop(lang).lists()
             made += 1
-            values = [[(task << 13) + made], [len(places)], [places[np.cumsum(k) - k]], [k], [places.tobytes()], [lang], [words]]
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, out, strict=True)], schema=out)
+            return _parts(out, (task << 13) + made, len(places), k, places, lang, words)
 
         for batch in slices(batches, "text"):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -131,10 +143,9 @@ def _longer(lists: DataFrame, frequent: DataFrame) -> DataFrame:
     def run(own: pa.Table, names: pa.Table) -> pa.Table:
         if not own.num_rows or not names.num_rows:
             return out.empty_table()
-        firsts, k = (own.column(c)[0].values.to_numpy() for c in ("firsts", "k"))
-        a, b, k, places = extend(firsts, k, np.frombuffer(own.column("places")[0].as_py(), np.int32), names.column("at").to_numpy() & ((1 << PLACE) - 1), names.column("name").to_numpy())
-        values = [own.column("block")[0].as_py(), own.column("n")[0].as_py(), places[np.cumsum(k) - k], k, places.tobytes(), a, b]
-        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(values, out, strict=True)], schema=out)
+        firsts, k = (own.column(c).combine_chunks().flatten().to_numpy() for c in ("firsts", "k"))
+        a, b, k, places = extend(firsts, k, np.frombuffer(b"".join(own.column("places").to_pylist()), np.int32), names.column("at").to_numpy() & ((1 << PLACE) - 1), names.column("name").to_numpy())
+        return pa.Table.from_batches([_parts(out, own.column("block")[0].as_py(), 0, k, places, a, b)], out)
 
     names = frequent.select(F.expr(f"shiftright(at, {PLACE})").alias("block"), "at", "name")
     return lists.select("block", "n", "firsts", "k", "places").groupBy("block").cogroup(names.groupBy("block")).applyInArrow(run, schema)
