@@ -7,7 +7,6 @@ it is not a matter of connected components.
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -18,6 +17,7 @@ from postlode.functions.keys import decoded_reference, reference, translated_bag
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
 from postlode.operators.cascade import fold_apart
 from postlode.operators.components import components
+from postlode.operators.residents import RANK, bucket_fold
 from postlode.operators.running import running_sums
 from postlode.shared import arrow_schema, checkpointed, stored
 
@@ -51,6 +51,11 @@ def candidate_keys(mirrored: Sequence[tuple[str, str]] = (), words: Mapping[str,
     ))
 
 
+def posted_key(at: Column) -> Column:
+    """Text that sorts as dates do, those without one last."""
+    return F.coalesce(F.concat(F.lit("0"), at.cast("string")), F.lit("1"))
+
+
 def prefers(candidate: dict, current: dict) -> bool:
     """Whether a row takes the place of the one it meets. Not an order: two rows can each beat the other."""
     for trait in ("has_description", "has_type"):
@@ -109,7 +114,7 @@ def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = (), most_roun
     task; only what keys of mirrored sources connect does.
     """
     known = {"has_description": F.coalesce(F.col("description"), F.lit("")) != "", "has_type": F.coalesce(F.col("employment_type"), F.lit("")) != ""}
-    posted = F.coalesce(F.concat(F.lit("0"), F.col("posted_at").cast("string")), F.lit("1"))
+    posted = posted_key(F.col("posted_at"))
     # the keys take many regular expressions, so rows with them are written once
     keyed = stored(rows.select("_ord", "source", *[c.alias(n) for n, c in known.items()], posted.alias("posted_key"), candidate_keys(mirrored).alias("keys")), "keyed")
     flat = keyed.select("_ord", F.posexplode("keys").alias("i", "k")).select("_ord", "i", "k.*")
@@ -179,72 +184,33 @@ def mirrors(rows: DataFrame, german: str = r"(?iU)\b(?:der|die|das|und|praktik\w
     return ranked.where((F.col("_ord") != F.col("w._ord")) & agree & alike).select(F.col("_ord").alias("loser"), F.col("w._ord").alias("winner"))
 
 
-class Residents:
-    """Of one bucket, the rows that stay so far, in order. Rows of one kind (source, country) wait in one queue, so only heads are looked at."""
-
-    def __init__(self) -> None:
-        self.queues: dict[tuple[str, str], deque[tuple[int, int, tuple]]] = {}
-        self.placed = 0
-
-    def meet(self, source: str, country: str, row: int, rank: tuple) -> tuple[int, int] | None:
-        """(loser, winner) of the row and the first resident of another source whose country does not contradict; without one it stays."""
-        heads = (q for (s, c), q in self.queues.items() if s != source and (not country or not c or c == country))
-        first = min(heads, key=lambda q: q[0][0], default=None)
-        if first is None or rank > first[0][2]:
-            lost = first.popleft() if first else None
-            self.queues = {k: q for k, q in self.queues.items() if q} if first is not None and not first else self.queues
-            self.queues.setdefault((source, country), deque()).append((self.placed, row, rank))
-            self.placed += 1
-            return lost and (lost[1], row)
-        return row, first[0][1]
-
-
-def bucket_fold(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(loser, winner) of rows (keys..., source, country, rank, _ord): within equal keys each meets, in order, the residents before it.
-
-    Tasks take rows sorted by key and order, and hold one bucket's residents.
-    """
-    kind = rows.schema["_ord"].dataType.simpleString()
-    schema = f"loser {kind}, winner {kind}"
-    out = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, residents = None, Residents()
-        for batch in batches:
-            removed = []
-            for *key, source, country, bulk, described, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != bucket:
-                    bucket, residents = key, Residents()
-                if (found := residents.meet(source, country, row, (bulk, described))) is not None:
-                    removed.append(found)
-            yield _removed(removed, out)
-
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "_ord")
-    return dealt.select(*keys, "source", "country", "bulk", "described", "_ord").mapInArrow(run, schema)
-
-
-def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:") -> DataFrame:
+def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:", most_rows: int = 50_000) -> DataFrame:
     """(loser, winner) among postings of different sources with one title and city, by the same employer.
 
-    Where all rows of a bucket rank alike, none takes another's place, so the
-    first row of each source and country decides for all of its kind. Only
-    buckets whose rows differ in rank are replayed row by row.
+    A bulk source beats others; then a description, a type, the earlier date
+    and the earlier arrival decide. Where all rows of a bucket rank alike, none
+    takes another's place, so the first row of each source and country decides
+    for all of its kind. Buckets whose rows differ in rank are replayed row by
+    row, those of more than most_rows in ranges (see residents.py). Rows
+    without a place, title or company are left alone; rows without a source go
+    with others, but none goes with them.
     """
     keys, kind = ["_place", "_title", "_who"], ["source", "country"]
+    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     made = rows.select(
-        place_key(F.col("location")).alias("_place"), title_bag(F.col("title")).alias("_title"), F.array_join(identity(F.col("company")), " ").alias("_who"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("country_iso", F.lit("")).alias("country"),
-        F.coalesce(F.startswith("source", F.lit(bulk_prefix)), F.lit(False)).alias("bulk"), (F.coalesce("description", F.lit("")) != "").alias("described"), "_ord",
+        place_key(F.col("location")).alias("_place"), title_bag(F.col("title")).alias("_title"), F.array_join(identity(F.col("company")), " ").alias("_who"), F.trim(F.coalesce("source", F.lit(""))).alias("source"), F.lower(F.coalesce("country_iso", F.lit(""))).alias("country"),
+        F.coalesce(F.startswith("source", F.lit(bulk_prefix)), F.lit(False)).alias("bulk"), filled("description").alias("described"), filled("employment_type").alias("typed"), posted_key(F.col("posted_at")).alias("posted"), "_ord",
     ).where(" AND ".join(f"{k} <> ''" for k in keys))
     # keys take many regular expressions, so rows with them are written once
     made = stored(made, "sources")
-    rank = F.struct("bulk", "described")
+    rank = F.struct(*RANK)
     kinds = made.groupBy(*keys, *kind).agg(F.min("_ord").alias("_ord"), F.min(rank).alias("least"), F.max(rank).alias("most"))
-    mixed = kinds.groupBy(*keys).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b").select(*keys, (F.col("least") != F.col("most")).alias("_mixed"))
+    mixed = kinds.groupBy(*keys).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b").select(*keys, ((F.col("least") != F.col("most")) | (F.col("a") == "")).alias("_mixed"))
     alike = kinds.join(mixed.where("NOT _mixed"), keys, "left_semi").select(*keys, *kind, "least.*", "_ord")
     # a kind whose first row goes has each of its rows go with the same winner
-    lost = kinds.join(bucket_fold(alike, keys).withColumnRenamed("loser", "_ord"), "_ord").select(*keys, *kind, "winner")
+    lost = kinds.join(bucket_fold(alike, keys, most_rows).withColumnRenamed("loser", "_ord"), "_ord").select(*keys, *kind, "winner")
     plain = made.join(lost, [*keys, *kind]).select(F.col("_ord").alias("loser"), "winner")
-    return plain.unionByName(bucket_fold(made.join(mixed.where("_mixed"), keys, "left_semi"), keys))
+    return plain.unionByName(bucket_fold(made.join(mixed.where("_mixed"), keys, "left_semi"), keys, most_rows))
 
 
 def wildcard_pairs(rows: DataFrame, anywhere: Column) -> DataFrame:

@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postlode.operators import benchmarks, cascade, dedup, enrichment, lookups, setjoin, snapshots, tracker
+from postlode.operators import benchmarks, cascade, dedup, enrichment, lookups, residents, setjoin, snapshots, tracker
 from postlode.operators.running import running
 from postlode.shared import checkpointed
 
@@ -176,3 +176,19 @@ def test_events_of_a_repeated_message_do_not_depend_on_order(spark):
         random.Random(seed).shuffle(rows)
         found.append(sorted(map(tuple, tracker.append_events(spark.createDataFrame([], schema), spark.createDataFrame(rows, schema).repartition(seed)).collect())))
     assert found[0] == found[1] and all(r[2] == "applied" for r in found[0]) and len(found[0]) == 30
+
+
+@pytest.mark.parametrize(("seed", "most_rows"), [(1, 1), (2, 40)])
+def test_ranges_of_a_bucket_equal_one_replay(spark, seed, most_rows):
+    """Piles of one source that another then takes over row by row, in ranges of one row and of many."""
+    rnd = random.Random(seed)
+    n = 24 if most_rows == 1 else 600
+    rank = lambda i, s: residents.Rank(s == "bulk", i > n // 3 and rnd.random() < 0.7, rnd.random() < 0.5, rnd.choice("0123"))
+    rows = [(("hot", "x", "y")[min(rnd.randrange(6), 2)], s, rnd.choice(["", "de", "fr"]), *rank(i, s), i) for i in range(n) for s in [rnd.choice("aaab") if i < n // 3 else rnd.choice(["a", "b", "bulk", ""])]]
+    df = checkpointed(spark.createDataFrame(rows, "k string, source string, country string, bulk boolean, described boolean, typed boolean, posted string, _ord long").repartition(5))
+    expected = []
+    for key in {r[0] for r in rows}:
+        held = residents.Residents()
+        expected += [found for _, s, c, *r, i in sorted((r for r in rows if r[0] == key), key=lambda r: r[-1]) if (found := held.meet(s, c, i, residents.Rank(*r))) is not None]
+    assert len(expected) > n // 4
+    assert sorted(map(tuple, residents.bucket_fold(df, ["k"], most_rows).collect())) == sorted(expected)

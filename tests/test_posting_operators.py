@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlode.functions import extract, money, seasons, text
-from postlode.operators import dedup, filters, health, scoring, similarity, snapshots
+from postlode.operators import dedup, filters, health, residents, scoring, similarity, snapshots
 from postlode.operators.components import components
 from postlode.rules import Area, Reason, first_reason
 from postlode.sources import readers
@@ -124,14 +124,22 @@ def test_cross_source_and_wildcard(spark):
     assert sorted(map(tuple, dedup.wildcard_pairs(four, F.col("location") == "any").collect())) == [(0, 2), (1, 3)]
 
 
+def outranks(new, old):
+    if new[0] != old[0]:
+        return new[0]
+    if (new[1] and not old[1]) or (new[2] and not old[2]):
+        return True
+    return new[1:3] == old[1:3] and (new[3] or 99) < (old[3] or 99)
+
+
 def plain_cross_source(rows):
-    """(loser, winner) by scanning all residents for each (_ord, bucket, source, country, bulk, described)."""
+    """(loser, winner) by scanning all residents for each (_ord, bucket, source, country, bulk, described, typed, posted)."""
     removed, residents = [], []
     for row in sorted(rows):
-        i = next((i for i, r in enumerate(residents) if r[1] == row[1] and r[2] != row[2] and (not r[3] or not row[3] or r[3] == row[3])), None)
+        i = next((i for i, r in enumerate(residents) if r[1] == row[1] and r[2] and r[2] != row[2] and (not r[3] or not row[3] or r[3] == row[3])), None)
         if i is None:
             residents.append(row)
-        elif row[4:] > residents[i][4:]:
+        elif outranks(row[4:], residents[i][4:]):
             removed.append((residents[i][0], row[0]))
             residents.append(row)
             del residents[i]
@@ -142,20 +150,23 @@ def plain_cross_source(rows):
 
 @pytest.mark.parametrize("alike", [True, False])
 def test_cross_source_equals_plain_fold(spark, alike):
+    """Buckets below and above the bound, so that some are replayed whole and others in ranges; x has half of the rows."""
     rnd = random.Random(9)
-    made = [(i, rnd.choice("xxxyz"), rnd.choice(["a", "b", "bulk:c"] if not alike else "abc"), rnd.choice(["", "de", "fr", "de"]), alike or rnd.random() < 0.6) for i in range(600)]
-    rows = spark.createDataFrame([posting(i, title="Data", company=who, source=s, country_iso=c, description="d" if d else None) for i, who, s, c, d in made], POSTING)
-    expected = plain_cross_source([(i, who, s, c, s.startswith("bulk:"), d) for i, who, s, c, d in made])
-    assert sorted(map(tuple, dedup.cross_source(rows.repartition(3)).collect())) == expected
+    sources = ["a", "b", "bulk:c", ""] if not alike else ["a", "b", "c"]
+    made = [(i, rnd.choice("xxxyz"), rnd.choice(sources), rnd.choice(["", "de", "fr", "DE"]), alike or rnd.random() < 0.6, alike or rnd.random() < 0.7, None if alike else rnd.choice([None, 1, 2, 3])) for i in range(600)]
+    rows = spark.createDataFrame([posting(i, title="Data", company=who, source=s, country_iso=c, description="d" if d else None, employment_type="t" if t else None, posted_at=p and dt.date(2024, 1, p)) for i, who, s, c, d, t, p in made], POSTING)
+    expected = plain_cross_source([(i, who, s, c.lower(), s.startswith("bulk:"), d, t, p) for i, who, s, c, d, t, p in made])
+    for most_rows in (1000, 90):
+        assert sorted(map(tuple, dedup.cross_source(rows.repartition(3), most_rows=most_rows).collect())) == expected
 
 
 def test_cross_source_of_a_hot_bucket_meets_kinds_not_rows():
     """A source whose rows never meet makes one queue of any length: twice the rows, twice the work."""
-    residents = dedup.Residents()
+    held, rank = residents.Residents(), residents.Rank(False, True, False, "1")
     for i in range(200_000):
-        assert residents.meet("a", "de", i, (False, True)) is None
-    assert list(map(len, residents.queues.values())) == [200_000]
-    assert residents.meet("b", "", 200_000, (False, True)) == (200_000, 0)
+        assert held.meet("a", "de", i, rank) is None
+    assert list(map(len, held.queues.values())) == [200_000]
+    assert held.meet("b", "", 200_000, rank) == (200_000, 0)
 
 
 def test_components(spark):
