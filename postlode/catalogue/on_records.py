@@ -9,8 +9,9 @@ from postlode.catalogue.base import query, table
 from postlode.catalogue.on_lookups import log
 from postlode.catalogue.on_postings import SCORED, scored
 from postlode.functions import applicability, keys, places
-from postlode.operators import enrichment, filters, lookups, registry, scoring, snapshots, stores, tracker
+from postlode.operators import enrichment, filters, keyed, lookups, registry, scoring, snapshots, stores, tracker
 from postlode.rules import first_reason
+from postlode.shared import folder
 from postlode.sources import boards as boards_of
 from postlode.sources import readers
 
@@ -37,6 +38,18 @@ def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stores.upserted(stores.upserted(known, fresh, "id"), fresh, "id")
 
 
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY 1")
+def store_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed store after all events came in as three batches out of order of time, one of them twice."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
+    kinds = F.coalesce("event_type", F.lit(""))
+    batches = [events.where(kinds == "view"), events.where(kinds == "purchase"), events.where(~kinds.isin("view", "purchase"))]
+    store = keyed.KeyedStore(folder(spark, "events"), ", ".join(f"{name} {kind}" for name, kind in events.dtypes), ("user_id",), ("ts", "event_id"))
+    for batch in [*batches, batches[1]]:
+        store.upsert(batch)
+    return store.read(spark)
+
+
 @query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 5 = 0")
 def archived_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))

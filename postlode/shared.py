@@ -59,11 +59,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return kept
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet to the shared folder, and read from there."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, noted as one that drop_stored() deletes."""
     path = f"{shared_folder(spark)}/postlode-{name}-{uuid.uuid4().hex}"
     wrote(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet to the shared folder, and read from there."""
+    spark, path = df.sparkSession, folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from postlode.catalogue import cases
 from postlode.functions import applicability, keys, money, places, seasons, spans
-from postlode.operators import benchmarks, evidence, filters, health, registry, running, stores, tracker
+from postlode.operators import benchmarks, evidence, filters, health, keyed, registry, running, stores, tracker
 from postlode.sources import boards, readers
 from postlode.streaming import ledger
 
@@ -237,3 +238,32 @@ def test_odd_dates_types_and_slugs(spark):
     urls = spark.createDataFrame([("https://a/jobs/praktikum-in-bonn/",)], "loc string")
     assert [(r.title, r.external_id) for r in boards.sitemap_postings(urls, "map", "Board").collect()] == [("praktikum in bonn", "praktikum-in-bonn")]
     assert [one(spark, t, boards.intern_candidate(F.col("t"))) for t in ("Praktikum IT", "Duales Studium Praktikum", "Buyer", None)] == [True, False, False, False]
+
+
+def test_keyed_store_takes_batches_in_any_order(spark, tmp_path):
+    """Buckets split, batches come twice, a generation that is not whole does not count; a key with a third of the rows."""
+    rnd = random.Random(4)
+    schema = "k string, ok boolean, at int, v string"
+    rows = [(rnd.choice([None, *map(str, range(90)), *["hot"] * 45]), rnd.random() < 0.5, rnd.randrange(50), rnd.choice(["x", "y", None])) for _ in range(900)]
+    store = keyed.KeyedStore(str(tmp_path / "store"), schema, ("k",), ("ok", "at"), rows_a_bucket=20, files_a_bucket=6)
+    assert store.read(spark).count() == 0
+    for i in (0, 1, 1, 2, 0):
+        store.upsert(spark.createDataFrame([(*r, 1) for r in rows[i * 300 : (i + 1) * 300]], schema + ", more int").repartition(3))
+    (tmp_path / "store" / "generation-9-9" / "_bucket=0").mkdir(parents=True)
+    best = {}
+    for k, ok, at, v in rows:
+        best[k] = max(best.get(k, ()), (ok, at, v or ""))
+    assert {r.k: (r.ok, r.at, r.v or "") for r in store.read(spark).collect()} == best
+    assert store.buckets(spark) > 1
+
+
+def test_keyed_store_writes_met_buckets_alone(spark, tmp_path):
+    store = keyed.KeyedStore(str(tmp_path / "store"), "k long, at long", ("k",), ("at",), rows_a_bucket=10)
+    store.upsert(spark.range(200).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("at")))
+    files = lambda: {p for p in (tmp_path / "store").rglob("*.parquet")}
+    before, one = files(), spark.createDataFrame([(7, 2)], "k long, at long")
+    store.upsert(one)
+    added = files() - before
+    assert len(added) == 1 and before <= files()
+    store.upsert(one)
+    assert not files() - before - added and sorted(map(tuple, store.read(spark).where("k IN (7, 8)").collect())) == [(7, 2), (8, 1)]
