@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlode.catalogue.base import AREA_SQL, DECAY_SQL, REASON_SQL, SCORE_PARTS, SCORE_PARTS_SQL, SKILLS, STAGES_SQL, P, area, components, fold_sql, mentions_sql, now, postings, query, reasons, stages, table
-from postlode.functions import extract, money
+from postlode.functions import extract, money, sentences
 from postlode.functions.text import FUNCTION_WORDS, canonical_url, title_bag
 from postlode.operators import benchmarks, dedup, filters, lookups, scoring, similarity, snapshots
 from postlode.plans.refresh import Plan
@@ -234,3 +234,18 @@ def url_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = table(spark, sf_dir, "pages").select(canonical_url(F.col("url")).alias("canonical"))
     site = F.regexp_replace(F.regexp_replace("canonical", r"^https?://(?:www\.|m\.|blog\.)?", ""), "/.*$", "")
     return made.groupBy(site.alias("site")).agg(F.count("*").alias("pages"), F.count_distinct("canonical").alias("canonical_urls"))
+
+
+CLAIM, CONDITION = " (?:the|die|une|los|der|le) [a-z]+", " (?:and|und|et|y|de) "
+PIECES_SQL = r"string_split(regexp_replace(text, '([.!?;])(\s)', '\1' || chr(1) || '\2', 'g'), chr(1))"
+EVIDENCE_SQL = f"""WITH s AS (SELECT doc_id, unnest({PIECES_SQL}) AS x, generate_subscripts({PIECES_SQL}, 1) AS i FROM documents WHERE text <> ''),
+l AS (SELECT *, coalesce(sum(length(x)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead, regexp_extract(x, '(?s)^(.*?){CLAIM}', 1) AS lead FROM s),
+f AS (SELECT doc_id, min(i) AS i FROM l WHERE regexp_matches(x, '{CLAIM}') AND NOT regexp_matches(lead, '{CONDITION}') GROUP BY 1)
+SELECT d.doc_id, CAST(l.ahead + length(l.lead) AS INTEGER) AS at, regexp_extract(l.x, '{CLAIM}') AS term FROM documents d LEFT JOIN f USING (doc_id) LEFT JOIN l ON l.doc_id = f.doc_id AND l.i = f.i"""
+
+
+@query(EVIDENCE_SQL)
+def sentence_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document the first claim that no condition stands ahead of in its sentence, with its place."""
+    found = sentences.evidence(sentences.sentences(F.col("text")), CLAIM, CONDITION)
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("e")).select("doc_id", "e.at", "e.term")

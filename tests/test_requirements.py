@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from postlode.functions import places
+from postlode.functions import places, sentences
 from postlode.functions import requirements as req
 from postlode.operators import enrichment, lookups, tracker
 
@@ -142,3 +143,50 @@ def test_enrichment(spark):
     assert sorted(r.bucket for r in picked) == ["any"] * 4 + ["even"] * 3 and all(r.id % 2 for r in picked if r.bucket == "any")
     ranked = spark.createDataFrame([(1, 1, "good", "why", 2.0, {"a": 2.0}), (2, 1, "odd", " ", 2.0, {"a": 1.0})], "id long, rank int, label string, justification string, score double, score_breakdown map<string,double>")
     assert sorted(map(tuple, enrichment.violations(ranked, ["good"]).collect())) == [(1, "rank_repeats"), (2, "breakdown"), (2, "justification"), (2, "label"), (2, "rank_repeats")]
+
+
+def plain_evidence(text, pattern, unless):
+    """By Python's own expressions: the sentence around each match, and what stands ahead of it."""
+    import re
+
+    ends = [m.end() for m in re.finditer(r"[.!?;](?=\s)", text or "") if not re.search(r"(?:^|[\s(])(?:ggf|e\.g)\.$", text[: m.end()])]
+    for a, b in zip([0, *ends], [*ends, len(text or "")], strict=True):
+        for m in re.finditer(pattern, (text or "")[a:b]):
+            if not re.search(unless, text[a : a + m.start()]):
+                return a + m.start(), m[0]
+    return None
+
+
+def test_evidence_is_where_a_loop_finds_it(spark):
+    rnd = random.Random(3)
+    words = ["permit", "permits", "if", "so", "ggf.", "end.", "what?", "e.g.", "ä😀;", "x.y", "\n", "a"]
+    texts = [None, "", ".", "permit", "if permit. permit"] + [" ".join(rnd.choices(words, k=rnd.randrange(1, 40))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = df.select("i", sentences.evidence(sentences.sentences(F.col("t")), "permits?", "if").alias("e"), F.array_join(sentences.sentences(F.col("t")), "").alias("whole")).collect()
+    assert {r.i: r.e and tuple(r.e) for r in found} == {i: plain_evidence(t, "permits?", "if") for i, t in enumerate(texts)}
+    assert {r.i: r.whole for r in found} == {i: t or "" for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize(
+    ("text", "state", "term"),
+    [
+        ("We cannot offer visa sponsorship.", "no_sponsorship", "cannot offer visa"),
+        ("Good pay. We help with your visa; a valid work permit is fine.", "support", "help with your visa"),
+        ("Send your papers, ggf. eine gültige Arbeitserlaubnis.", "unclear", "Arbeitserlaubnis"),
+        ("Send papers ggf. by mail. A valid work permit is needed.", "existing_required", "valid work permit"),
+        ("If applicable, a valid work permit.", "unclear", "work permit"),
+        ("Nothing of the kind.", None, None),
+        (None, None, None),
+    ],
+)
+def test_work_authorization_rests_on_words(spark, text, state, term):
+    found = spark.createDataFrame([(text,)], "t string").select(sentences.work_authorization_evidence(F.col("t")).alias("e")).first().e
+    assert (found and found.state, found and found.term) == (state, term)
+    assert found is None or text[found.at : found.at + len(term)] == term
+
+
+def test_agreement_gates_and_rechecks(spark):
+    rows = [("A 3-party agreement must be signed by your university.", "live", "2024-01-01 12:00:00"), ("External agreements cannot be accepted.", "live", "2023-12-31 11:00:00"), ("An agreement. It is signed by the school.", "Unknown ", "2024-01-01 12:00:00"), (None, "live", None)]
+    df = spark.createDataFrame(rows, "t string, s string, at string")
+    found = df.select(sentences.agreement_gate(F.col("t"))["state"].alias("gate"), sentences.needs_recheck(F.col("s"), F.col("at").cast("timestamp"), F.lit("2024-01-01 12:00:00").cast("timestamp")).alias("again")).collect()
+    assert [tuple(r) for r in found] == [("university_signs", False), ("employer_agreement_only", True), (None, True), (None, True)]
