@@ -50,3 +50,8 @@ def windowed_counts(rows: DataFrame, at: str, kind: str, late: str = "1 hour", s
 
 def into(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> DataStreamWriter:
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
+def changes(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Rows of a stream as Parquet; a batch that ran twice is there once for whoever reads the folder with Spark."""
+    return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True)
