@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlode.catalogue.base import query, table
-from postlode.operators import health, scoring, snapshots
+from postlode.operators import health, scoring, snapshots, tracker
 from postlode.sources import readers
 
 RUNS = "WITH r AS (SELECT user_id AS series, ts AS tm, event_id, CASE WHEN event_type = 'error' THEN 'error' WHEN value < 5 THEN 'empty' ELSE 'ok' END AS status, CAST(floor(value) AS BIGINT) AS collected FROM events)"
@@ -43,8 +43,7 @@ for _name in (*ALERTS, "stale"):
 
 @query(f"{RUNS} SELECT series, count(*) AS runs, count(*) FILTER (WHERE status = 'ok') AS ok_runs, arg_max(status, (tm, event_id)) AS last_status, round(avg(collected) FILTER (WHERE status = 'ok'), 2) AS avg_ok FROM r GROUP BY series")
 def series_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok = F.col("status") == "ok"
-    return runs(spark, sf_dir).groupBy("series").agg(F.count("*").alias("runs"), F.count_if(ok).alias("ok_runs"), F.max_by("status", F.struct("at", "event_id")).alias("last_status"), F.round(F.avg(F.when(ok, F.col("collected"))), 2).alias("avg_ok"))
+    return health.summary(runs(spark, sf_dir), "series", ["at", "event_id"])
 
 
 @query("WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1), w AS (SELECT *, lag(n, 6) OVER (ORDER BY day) AS nb, lag(errors, 6) OVER (ORDER BY day) AS eb FROM d) SELECT day, n, nb AS n_before, n - nb AS n_change, errors, eb AS errors_before, errors - eb AS errors_change FROM w ORDER BY day DESC LIMIT 1")
@@ -74,8 +73,8 @@ def weekly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_type, CASE WHEN age <= 7 THEN 'week' WHEN age <= 14 THEN 'fortnight' WHEN age <= 28 THEN 'month' ELSE 'old' END AS cadence, count(*) AS n FROM (SELECT event_type, DATE '2024-01-31' - CAST(ts AS DATE) AS age FROM events) GROUP BY 1, 2")
 def cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    age = F.datediff(F.lit("2024-01-31").cast("date"), F.to_date("ts"))
-    return table(spark, sf_dir, "events").groupBy("event_type", F.when(age <= 7, "week").when(age <= 14, "fortnight").when(age <= 28, "month").otherwise("old").alias("cadence")).agg(F.count("*").alias("n"))
+    sent = tracker.cadence(F.to_date("ts"), F.lit("2024-01-31").cast("date"))
+    return table(spark, sf_dir, "events").groupBy("event_type", sent.alias("cadence")).agg(F.count("*").alias("n"))
 
 
 @query("WITH f AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'F'), o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'O'), j AS (SELECT o.o_orderkey, o.d, max(f.d) AS latest FROM o LEFT JOIN f ON f.k = o.o_custkey AND f.d <= o.d GROUP BY 1, 2) SELECT o_orderkey, CASE WHEN d - latest <= 30 THEN latest END AS guard FROM j")

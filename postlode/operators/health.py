@@ -52,6 +52,16 @@ def alerts(last: DataFrame) -> DataFrame:
     return last.join(F.broadcast(newest)).withColumn("alerts", F.when(late, F.array(F.lit("stale"))).otherwise(found)).drop("_newest")
 
 
+def summary(runs: DataFrame, series: str, order: list[str]) -> DataFrame:
+    """(series, runs, ok_runs, last_status, avg_ok): how many runs there were and went well, the last one's status, and what good ones collected on average.
+
+    runs: series, status, collected, and the columns of `order`, in which runs followed each other.
+    """
+    ok = F.col("status") == "ok"
+    last, average = F.max_by("status", F.struct(*order)), F.round(F.avg(F.when(ok, F.col("collected"))), 2)
+    return runs.groupBy(series).agg(F.count("*").alias("runs"), F.count_if(ok).alias("ok_runs"), last.alias("last_status"), average.alias("avg_ok"))
+
+
 def drift(runs: DataFrame, order: str, values: list[str], offset: int = 6) -> DataFrame:
     """The last run's values and their change against the run `offset` before it; one row for each day is expected."""
     recent = runs.orderBy(F.desc(order)).limit(offset + 1)

@@ -143,6 +143,13 @@ def test_series_without_good_or_with_one_run(spark):
     assert found == {"a": (1, 0, "error", None, None, 0, 1), "b": (1, 1, "ok", 5, None, 0, 0), "c": (4, 2, "timeout", 9, 1, 2, 2)}
 
 
+def test_summary_of_series(spark):
+    rows = [("a", 2, "error", None), ("a", 1, "ok", 4), ("a", 0, "ok", 7), ("b", 1, None, 3), (None, 1, "ok", None)]
+    found = health.summary(spark.createDataFrame(rows, "series string, at int, status string, collected long"), "series", ["at"])
+    assert {tuple(r) for r in found.collect()} == {("a", 3, 2, "error", 5.5), ("b", 1, 0, None, None), (None, 1, 1, "ok", None)}
+    assert health.summary(found.select("series", F.lit(1).alias("at"), F.lit("ok").alias("status"), F.lit(1).alias("collected")).limit(0), "series", ["at"]).count() == 0
+
+
 def test_pages_and_titles(spark):
     row = spark.createDataFrame([("Buyer Steel", "We look for a buyer of steel parts")], "t string, p string").select(registry.title_match(F.col("t"), F.col("p")).alias("m")).first()
     assert row.m == 1.0
