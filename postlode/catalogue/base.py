@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """rows dealt out by columns that tell them apart: a narrow table is read by few tasks, however much each row then makes of it."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as postings: the first words are the title, the language stands for the country."""
     d, i = table(spark, sf_dir, "documents"), F.col("doc_id")

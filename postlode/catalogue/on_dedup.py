@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.catalogue.base import query, table
+from postlode.catalogue.base import query, spread, table
 from postlode.operators import dedup
 
 SIZE = 8
@@ -69,7 +69,7 @@ def block(spark: SparkSession, sf_dir: str, rows: list[tuple]) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
     value = lambda x, kind: F.replace(F.lit(x), F.lit("{}"), key) if isinstance(x, str) and "{}" in x else F.lit(x).cast(kind)
     made = [F.struct(F.lit(i).alias("at"), *[value(x, k).alias(n) for x, k, n in zip(r, kinds, names, strict=True)]) for i, r in enumerate(rows)]
-    flat = table(spark, sf_dir, "orders").select("o_orderkey", F.inline(F.array(*made)))
+    flat = spread(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", F.inline(F.array(*made)))
     ordinal = F.col("o_orderkey") * SIZE + F.col("at")
     return flat.withColumns({"id": ordinal, "_ord": ordinal, "posted_at": F.date_sub(F.lit("2024-01-01").cast("date"), F.col("days"))}).drop("o_orderkey", "at", "days")
 

@@ -3,6 +3,10 @@
 Rows arrive in the order of `_ord`. The cascade is a fold: a row that shares a
 key with an earlier one merges into it and registers none of its own keys, so
 it is not a matter of connected components.
+
+Spark takes rows that an array was exploded into, and files, for smaller than
+they are. So joins whose two sides grow with the postings are merge joins by
+hint: none of them passes the driver as a broadcast.
 """
 
 from __future__ import annotations
@@ -95,12 +99,13 @@ def key_edges(keyed: DataFrame) -> DataFrame:
     """(a, b): each row beside the first row of each key that it shares; keyed: (_ord, keys)."""
     flat = keyed.select("_ord", F.explode("keys").alias("k")).select("_ord", "k.key")
     shared = flat.groupBy("key").agg(F.min("_ord").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return flat.join(shared, "key").where("_ord <> first").select(F.col("first").alias("a"), F.col("_ord").alias("b"))
+    return flat.join(shared.hint("merge"), "key").where("_ord <> first").select(F.col("first").alias("a"), F.col("_ord").alias("b"))
 
 
 def component_sizes(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """(size, components): how many rows keys connect, and how often; look at it before a cascade with mirrored sources."""
-    found = components(key_edges(rows.select("_ord", candidate_keys(mirrored).alias("keys"))))
+    keyed = stored(rows.select("_ord", candidate_keys(mirrored).alias("keys")), "keyed")
+    found = components(key_edges(keyed))
     return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("components"))
 
 
@@ -119,15 +124,15 @@ def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = (), most_roun
     keyed = stored(rows.select("_ord", "source", *[c.alias(n) for n, c in known.items()], posted.alias("posted_key"), candidate_keys(mirrored).alias("keys")), "keyed")
     flat = keyed.select("_ord", F.posexplode("keys").alias("i", "k")).select("_ord", "i", "k.*")
     often = flat.groupBy("key").agg(F.count_distinct("_ord").alias("n")).where("n > 1").select("key")
-    shared = checkpointed(flat.join(often, "key", "left_semi"))
+    shared = checkpointed(flat.join(often.hint("merge"), "key", "left_semi"))
     if not mirrored:
         return fold_apart(keyed, shared, most_rounds)
     # whether a mirror key counts depends on who holds it, so what such keys connect is replayed whole
     groups = components(key_edges(keyed))
-    bound = shared.where("tier = 'mirror'").join(groups, F.col("_ord") == F.col("node")).select("component").distinct()
-    groups = checkpointed(groups.join(bound, "component", "left_semi"))
-    free = shared.join(groups, F.col("_ord") == F.col("node"), "left_anti")
-    return _replayed(keyed.join(groups, F.col("_ord") == F.col("node")).drop("node"), mirrored).unionByName(fold_apart(keyed, free, most_rounds))
+    bound = shared.where("tier = 'mirror'").join(groups.hint("merge"), F.col("_ord") == F.col("node")).select("component").distinct()
+    groups = checkpointed(groups.join(bound.hint("merge"), "component", "left_semi"))
+    free = shared.join(groups.hint("merge"), F.col("_ord") == F.col("node"), "left_anti")
+    return _replayed(keyed.join(groups.hint("merge"), F.col("_ord") == F.col("node")).drop("node"), mirrored).unionByName(fold_apart(keyed, free, most_rounds))
 
 
 def _replayed(grouped: DataFrame, mirrored: Sequence[tuple[str, str]]) -> DataFrame:
@@ -158,7 +163,7 @@ def _removed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def survivors(rows: DataFrame, removed: DataFrame) -> DataFrame:
-    return rows.join(removed.select(F.col("loser").alias("_ord")).distinct(), "_ord", "left_anti")
+    return rows.join(removed.select(F.col("loser").alias("_ord")).distinct().hint("merge"), "_ord", "left_anti")
 
 
 def mirrors(rows: DataFrame, german: str = r"(?iU)\b(?:der|die|das|und|praktik\w+|werkstudent\w*)\b", english: str = r"(?iU)\b(?:the|and|intern\w*|working student)\b") -> DataFrame:
@@ -176,7 +181,7 @@ def mirrors(rows: DataFrame, german: str = r"(?iU)\b(?:der|die|das|und|praktik\w
     # a hot requisition is reduced before it is shuffled, and its rows are joined to one winner
     found = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in key)).select(*key, order.alias("_order"), "_ord", language.alias("l"), title_bag(F.col("title")).alias("t"), "country_iso", "employment_type")
     best = found.groupBy(*key).agg(F.min_by(F.struct("_ord", "l", "t", "country_iso", "employment_type"), "_order").alias("w"))
-    ranked = found.join(best, key)
+    ranked = found.join(best.hint("merge"), key)
     agree = F.lit(True)
     for c in ("country_iso", "employment_type"):
         agree = agree & F.coalesce(F.col(c) == F.col(f"w.{c}"), F.lit(True))
@@ -206,11 +211,11 @@ def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:", most_rows: int = 5
     rank = F.struct(*RANK)
     kinds = made.groupBy(*keys, *kind).agg(F.min("_ord").alias("_ord"), F.min(rank).alias("least"), F.max(rank).alias("most"))
     mixed = kinds.groupBy(*keys).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b").select(*keys, ((F.col("least") != F.col("most")) | (F.col("a") == "")).alias("_mixed"))
-    alike = kinds.join(mixed.where("NOT _mixed"), keys, "left_semi").select(*keys, *kind, "least.*", "_ord")
+    alike = kinds.join(mixed.where("NOT _mixed").hint("merge"), keys, "left_semi").select(*keys, *kind, "least.*", "_ord")
     # a kind whose first row goes has each of its rows go with the same winner
-    lost = kinds.join(bucket_fold(alike, keys, most_rows).withColumnRenamed("loser", "_ord"), "_ord").select(*keys, *kind, "winner")
-    plain = made.join(lost, [*keys, *kind]).select(F.col("_ord").alias("loser"), "winner")
-    return plain.unionByName(bucket_fold(made.join(mixed.where("_mixed"), keys, "left_semi"), keys, most_rows))
+    lost = kinds.join(bucket_fold(alike, keys, most_rows).withColumnRenamed("loser", "_ord").hint("merge"), "_ord").select(*keys, *kind, "winner")
+    plain = made.join(lost.hint("merge"), [*keys, *kind]).select(F.col("_ord").alias("loser"), "winner")
+    return plain.unionByName(bucket_fold(made.join(mixed.where("_mixed").hint("merge"), keys, "left_semi"), keys, most_rows))
 
 
 def wildcard_pairs(rows: DataFrame, anywhere: Column) -> DataFrame:
@@ -222,4 +227,4 @@ def wildcard_pairs(rows: DataFrame, anywhere: Column) -> DataFrame:
     key = [F.lower("company").alias("_c"), title_bag(F.col("title")).alias("_t")]
     numbered = running_sums(rows.select("_ord", *key, anywhere.alias("_any")), F.col("_ord"), {"_n": F.lit(1)}, ["_c", "_t", "_any"])
     general, concrete = numbered.where("_any"), numbered.where("NOT _any")
-    return general.join(concrete.withColumnRenamed("_ord", "winner").drop("_any"), ["_c", "_t", "_n"]).select(F.col("_ord").alias("loser"), "winner")
+    return general.join(concrete.withColumnRenamed("_ord", "winner").drop("_any").hint("merge"), ["_c", "_t", "_n"]).select(F.col("_ord").alias("loser"), "winner")
