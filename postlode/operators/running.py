@@ -27,11 +27,12 @@ def running(df: DataFrame, order: Column | Sequence[Column], values: dict[str, C
     ranged = checkpointed(df.repartitionByRange(*by, *orders).withColumn("_range", F.spark_partition_id()))
     totals = ranged.groupBy(*by, "_range").agg(*[how(x).alias(f"_{name}") for name, x in values.items()])
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = totals.select(*[F.col(b).alias(f"_by_{b}") for b in by], F.col("_range").alias("_of"), *[first(how(f"_{name}").over(before)).alias(f"_{name}") for name in values])
+    ranges = totals.withColumn("_past", F.count("*").over(before)).select(*[F.col(b).alias(f"_by_{b}") for b in by], F.col("_range").alias("_of"), "_past", *[how(f"_{name}").over(before).alias(f"_{name}") for name in values])
     within = Window.partitionBy(*by, "_range").orderBy(*orders).rowsBetween(Window.unboundedPreceding, -1)
     own = ranged.withColumns({name: first(how(x).over(within)) for name, x in values.items()})
     same = reduce(Column.__and__, [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by], F.col("_range") == F.col("_of"))
-    joined = own.join(ranges, same).withColumns({name: both(F.col(f"_{name}"), F.col(name)) for name in values})
+    # a range goes on with one group at most, so this is one row a range, however many groups there are
+    joined = own.join(F.broadcast(ranges.where("_past > 0").drop("_past")), same, "left").withColumns({name: both(first(F.col(f"_{name}")), F.col(name)) for name in values})
     return joined.drop("_range", "_of", *[f"_by_{b}" for b in by], *[f"_{name}" for name in values])
 
 
