@@ -86,11 +86,11 @@ def founders(shared: DataFrame, most_rounds: int = 50) -> DataFrame:
     for _ in range(most_rounds):
         with written() as paths:
             least = alive.groupBy("key").agg(F.min("_ord").alias("least"))
-            seen = checkpointed(alive.join(least, "key"))
+            seen = checkpointed(alive.join(least.hint("merge"), "key"))
             first = checkpointed(seen.groupBy("_ord").agg(F.bool_and(F.col("_ord") == F.col("least")).alias("first")).where("first").select("_ord"))
             # rows of a key whose first undecided row is a founder, that row included
-            decided = seen.join(first.withColumnRenamed("_ord", "_founder"), F.col("least") == F.col("_founder")).select("_ord").distinct()
-            alive = checkpointed(seen.join(decided, "_ord", "left_anti").select("_ord", "key"))
+            decided = seen.join(first.withColumnRenamed("_ord", "_founder").hint("merge"), F.col("least") == F.col("_founder")).select("_ord").distinct()
+            alive = checkpointed(seen.join(decided.hint("merge"), "_ord", "left_anti").select("_ord", "key"))
         drop_stored(spark, [*before, paths[0]])
         found, before = found.unionByName(first), paths[2:]
         if alive.isEmpty():
@@ -101,8 +101,8 @@ def founders(shared: DataFrame, most_rounds: int = 50) -> DataFrame:
 def _greedy(alive: DataFrame) -> DataFrame:
     """The founders of what is left: each component of rows is gone through in order by one task."""
     first = alive.groupBy("key").agg(F.min("_ord").alias("a"))
-    group = components(alive.join(first, "key").where("a <> _ord").select("a", F.col("_ord").alias("b")))
-    rows = alive.groupBy("_ord").agg(F.collect_list("key").alias("keys")).join(group, F.col("_ord") == F.col("node"), "left")
+    group = components(alive.join(first.hint("merge"), "key").where("a <> _ord").select("a", F.col("_ord").alias("b")))
+    rows = alive.groupBy("_ord").agg(F.collect_list("key").alias("keys")).join(group.hint("merge"), F.col("_ord") == F.col("node"), "left")
     rows = rows.select(F.coalesce("component", "_ord").alias("component"), "_ord", "keys")
     out = arrow_schema(schema := f"_ord {alive.schema['_ord'].dataType.simpleString()}")
 
@@ -123,8 +123,8 @@ def _greedy(alive: DataFrame) -> DataFrame:
 
 def joined_classes(shared: DataFrame, first: DataFrame) -> DataFrame:
     """(_ord, founder, tier) of the rows that join a class, and of the founders that are joined (their tier is null); shared: (_ord, i, tier, key)."""
-    held = shared.join(first, "_ord").select("key", F.col("_ord").alias("founder"))
-    met = shared.join(held, "key").where("founder < _ord").groupBy("_ord").agg(F.min(F.struct("i", "tier", "founder")).alias("m"))
+    held = shared.join(first.hint("merge"), "_ord").select("key", F.col("_ord").alias("founder"))
+    met = shared.join(held.hint("merge"), "key").where("founder < _ord").groupBy("_ord").agg(F.min(F.struct("i", "tier", "founder")).alias("m"))
     members = checkpointed(met.select("_ord", "m.founder", "m.tier"))
     own = members.select(F.col("founder").alias("_ord"), "founder", F.lit(None).cast("string").alias("tier")).distinct()
     return members.unionByName(own)
@@ -220,4 +220,4 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def fold_apart(keyed: DataFrame, shared: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(loser, winner, tier): the fold over all rows; keyed: (_ord, traits), shared: (_ord, i, tier, key) of keys that several rows have."""
     classes = joined_classes(shared, checkpointed(founders(shared, most_rounds)))
-    return replayed(classes.join(keyed.select("_ord", *TRAITS), "_ord"))
+    return replayed(classes.join(keyed.select("_ord", *TRAITS).hint("merge"), "_ord"))
