@@ -8,7 +8,10 @@ come in within `late`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+import math
+import pickle
+import zlib
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -67,20 +70,22 @@ class Summary:
         return found
 
 
-def summaries(rows: DataFrame, key: Sequence[str], at: str, summary: Summary, late: str) -> DataFrame:
+def summaries(rows: DataFrame, key: Sequence[str], at: str, summary: Summary, late: str, buckets: int = 1024) -> DataFrame:
     """(key, columns of the summary, due, version): a row for each change of a key; the greatest version is its last.
 
     due: the deadline has passed, and nothing came that moved it. Tasks
     summarise what they read before rows move, so a key that holds most rows
-    sends one row for each Arrow batch.
+    sends one row for each Arrow batch. State is held by buckets of keys, as
+    asking for each key on its own takes far longer than summing up. A stream
+    keeps the number of buckets that it began with.
     """
     told = rows.where(F.col(at).isNotNull()).select(*key, at, *summary.columns)
     few = told.mapInArrow(partial(_combined, key=list(key), at=at, summary=summary), told.schema).withWatermark(at, late)
     types = {f.name: f.dataType.simpleString() for f in told.schema}
     kept = ", ".join(f"{c} {types[c]}" for c in summary.columns)
     found = ", ".join([*(f"{c} {types[c]}" for c in key), kept, "due boolean, version long"])
-    processor = _Summaries(summary, Row(*key, *summary.columns, "due", "version"), f"{kept}, _deadline long, due boolean, version long")
-    return few.groupBy(*key).transformWithState(processor, found, "Append", "eventTime")
+    few = few.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)))
+    return few.groupBy("_bucket").transformWithState(_Summaries(key, summary), found, "Append", "eventTime")
 
 
 def _combined(batches: Iterator[pa.RecordBatch], key: list[str], at: str, summary: Summary) -> Iterator[pa.RecordBatch]:
@@ -99,39 +104,71 @@ def _combined(batches: Iterator[pa.RecordBatch], key: list[str], at: str, summar
 
 
 class _Summaries(StatefulProcessor):
-    def __init__(self, summary: Summary, found: Row, state: str) -> None:
-        self.summary, self.found, self.state = summary, found, state
+    """The summaries of a bucket of keys: read, changed and written as one value, with one timer for the earliest deadline."""
+
+    def __init__(self, key: Sequence[str], summary: Summary) -> None:
+        self.key, self.summary, self.found = list(key), summary, Row(*key, *summary.columns, "due", "version")
 
     def init(self, handle) -> None:
-        self.handle, self.held = handle, handle.getValueState("summary", self.state)
+        self.handle, self.state = handle, handle.getValueState("summaries", "held binary, timer long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self.held.get()
-        *known, deadline, due, version = old or (None, False, 0)
-        held = dict(zip(self.summary.columns, known, strict=True)) if old else None
-        for row in rows:
-            held = self.summary.merged(held, row.asDict())
-        new = self.summary.deadline(held)
-        if new != deadline:
-            if deadline is not None and not due:
-                self.handle.deleteTimer(deadline)
-            if new is not None:
-                self.handle.registerTimer(new)
-            due = False
-        yield self._told(key, [held[c] for c in self.summary.columns], new, due, version + 1)
+        held, timer = self._read()
+        new: dict[tuple, dict] = {}
+        for row in map(Row.asDict, rows):
+            one = _same(row[c] for c in self.key)
+            if one not in new:
+                old = held.get(one)
+                new[one] = self.summary.merged(old and dict(zip(self.summary.columns, old[0], strict=True)), row)
+            else:
+                new[one] = self.summary.merged(new[one], row)
+        for one, kept in new.items():
+            _, before, due, version = held.get(one) or ((), None, False, 0)
+            deadline = self.summary.deadline(kept)
+            held[one] = tuple(kept[c] for c in self.summary.columns), deadline, due and deadline == before, version + 1
+        self._write(held, timer)
+        for one in new:
+            yield self._told(one, held[one])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        *known, deadline, _, version = self.held.get()
-        yield self._told(key, known, deadline, True, version + 1)
-
-    def _told(self, key, kept: list, deadline: int | None, due: bool, version: int) -> Row:
-        self.held.update((*kept, deadline, due, version))
-        return self.found(*key, *kept, due, version)
+        held, timer = self._read()
+        now = timerValues.getCurrentWatermarkInMs()
+        passed = [one for one, (_, deadline, due, _) in held.items() if deadline is not None and not due and deadline < now]
+        for one in passed:
+            kept, deadline, _, version = held[one]
+            held[one] = kept, deadline, True, version + 1
+        self._write(held, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
+        for one in passed:
+            yield self._told(one, held[one])
+
+    def _told(self, one: tuple, entry: tuple) -> Row:
+        kept, _, due, version = entry
+        return self.found(*one, *kept, due, version)
+
+    def _read(self) -> tuple[dict[tuple, tuple], int | None]:
+        """Of each key what is kept, its deadline, whether it is due, and its version; and the timer that runs."""
+        if not (found := self.state.get()):
+            return {}, None
+        return {_same(one): entry for one, entry in pickle.loads(zlib.decompress(bytes(found[0]))).items()}, found[1]
+
+    def _write(self, held: dict[tuple, tuple], timer: int | None) -> None:
+        first = min((deadline for _, deadline, due, _ in held.values() if deadline is not None and not due), default=None)
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+        self.state.update((zlib.compress(pickle.dumps(held, pickle.HIGHEST_PROTOCOL), 1), first))
 
     def close(self) -> None:
         pass
 
 
+def _same(key: Iterable) -> tuple:
+    """A key's values, of which all that are not a number are one."""
+    return tuple(math.nan if v != v else v for v in key)
+
+
 def lifecycles(rows: DataFrame, key: str, at: str, values: Sequence[str], gone_after: int = 0, late: str = "1 second") -> DataFrame:
     """(key, values, first_seen, last_seen, active, version) of the rows of run after run, each seen at the time of its run.
 

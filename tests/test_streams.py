@@ -127,3 +127,22 @@ def test_a_store_follows_a_stream(spark, tmp_path):
         told = states.lifecycles(ledger.read_runs(states.stateful(spark), str(tmp_path / "in"), "id string, at timestamp", 100), "id", "at", [])
         ledger.into(told, lambda batch, _: store.upsert(batch), str(tmp_path / "checkpoint")).start().awaitTermination()
     assert {r.id: (r.active, r.version) for r in store.read(spark).collect()} == {"a": (True, 2), "b": (False, 2)}
+
+
+def test_keys_of_a_bucket_are_one_value_and_one_timer():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    asked, held, timers = [], [None], set()
+    state = SimpleNamespace(get=lambda: asked.append("get") or held[0], update=lambda v: asked.append("update") or held.__setitem__(0, v))
+    processor = states._Summaries(["k"], states.Summary(("o",), deadline=lambda kept: kept["o"]))
+    processor.init(SimpleNamespace(getValueState=lambda *_: state, registerTimer=timers.add, deleteTimer=timers.remove))
+    rows = [Row(k=float("nan") if i % 100 == 99 else i % 100, o=100 + i) for i in range(1000)]
+    told = list(processor.handleInputRows((0,), iter(rows), None))
+    assert len(told) == 100 and {r.o for r in told} == set(range(1000, 1100)) and asked == ["get", "update"] and timers == {1000}
+    expired = timers.pop()
+    due = list(processor.handleExpiredTimer((0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1010), SimpleNamespace(getExpiryTimeInMs=lambda: expired)))
+    assert sorted(r.o for r in due) == list(range(1000, 1010)) and all(r.due and r.version == 2 for r in due) and timers == {1010}
+    back = list(processor.handleInputRows((0,), iter([Row(k=float("nan"), o=2000), Row(k=0, o=2000)]), None))
+    assert [(r.due, r.version) for r in back] == [(False, 2), (False, 3)] and asked == ["get", "update"] * 3
