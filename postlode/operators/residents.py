@@ -155,7 +155,7 @@ def _starts(events: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFra
     placed = placed.select(*of, (F.col("placed") + F.col("n")).alias("_at"), F.col("loser").alias("_ord"), *RANK)
     upto = F.least("placed", F.col("gone") + F.col("size"))
     wanted = grid.where(upto > F.col("gone")).select(*at, *KIND, F.explode(F.sequence(F.col("gone"), upto - 1)).alias("_at"))
-    return wanted.join(placed, [*of, "_at"]).drop("_at").select(*at, *KIND, "_ord", *RANK)
+    return wanted.join(placed.hint("merge"), [*of, "_at"]).drop("_at").select(*at, *KIND, "_ord", *RANK)
 
 
 def _replayed(rows: DataFrame, starts: DataFrame, at: Sequence[str]) -> DataFrame:
