@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.catalogue.base import query, table
+from postlode.catalogue.base import query, spread, table
 from postlode.catalogue.on_lookups import log
 from postlode.catalogue.on_postings import SCORED, scored
 from postlode.functions import applicability, keys, places
@@ -261,7 +261,7 @@ def board_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
     seconds = F.unix_date(day) * F.lit(86_400).cast("long")
     filled = F.array(*[F.format_string(t, k, "o_custkey", F.date_format(day, "yyyy-MM-dd"), seconds * 1000, seconds, F.date_format(day, "MMMM d, yyyy")) for t in ITEMS])
-    rows = table(spark, sf_dir, "orders").select((k % 7).alias("kind"), F.get(filled, (k % 7).cast("int")).alias("item"))
+    rows = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey").select((k % 7).alias("kind"), F.get(filled, (k % 7).cast("int")).alias("item"))
     parts = [readers.posting(rows.where(F.col("kind") == i), fields(F.col("item")), F.lit(source)) for i, (source, (fields, _)) in enumerate(boards_of.JSON_BOARDS.items())]
     notes = readers.posting(rows.where("kind = 6"), boards_of.remoteok(F.col("item")), F.lit("remoteok"))
     whole = readers.union(*parts, notes)
