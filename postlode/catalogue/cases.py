@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.catalogue.base import query, table
+from postlode.catalogue.base import query, spread, table
 from postlode.functions import applicability, extract, money, seasons
 from postlode.operators import filters
 
@@ -117,7 +117,7 @@ def cases(spark: SparkSession, sf_dir: str, rows: list[tuple], schema: str) -> D
     """Each order as one of the authored rows, in turn. The few rows are a literal; no table is joined."""
     fields = [f.split() for f in schema.split(", ")]
     made = F.array(*[F.struct(*[F.lit(x).cast(kind).alias(name) for x, (name, kind) in zip(row, fields, strict=True)]) for row in rows])
-    picked = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.get(made, (F.col("o_orderkey") % len(rows)).cast("int")).alias("c"))
+    picked = spread(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select(F.col("o_orderkey").alias("id"), F.get(made, (F.col("o_orderkey") % len(rows)).cast("int")).alias("c"))
     return picked.select("id", "c.*")
 
 
