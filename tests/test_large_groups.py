@@ -98,6 +98,19 @@ def test_similar_sets_equal_brute_force(spark, least):
     assert setjoin.similar_sets(tables[0].where("false"), tables[1], least, within=("g",)).count() == 0
 
 
+@pytest.mark.parametrize("most", [(60, 40, 20), (10**6, 30, 30), (8, 8, 8)])
+def test_blocks_of_sets_meet_once(spark, most):
+    """Groups that are cut on either side, on both, and that share a cell; pairs are judged where they meet, so no words move with a pair."""
+    rnd = random.Random(9)
+    made = lambda n, groups: [(i, rnd.choice(groups), sorted({f"w{int(30 * rnd.random() ** 2)}" for _ in range(rnd.randint(0, 8))})) for i in range(n)]
+    left, right = made(60, ["hot", "hot", "b", "c", "left alone"]), made(80, ["hot", "hot", "b", "c", "right alone"])
+    tables = [spark.createDataFrame(x, "key long, g string, words array<string>").repartition(3) for x in (left, right)]
+    pairs = setjoin.similar_sets(*tables, 0.5, within=("g",), most=most)
+    expected = [(i, j, len(set(a) & set(b))) for i, g, a in left for j, h, b in right if g == h and (2 * len(set(a) & set(b)) >= len(set(a) | set(b)))]
+    assert sorted(map(tuple, pairs.collect())) == sorted(expected) and len(expected) > 40
+    assert "array_intersect" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_copies_of_a_hot_title_are_one_set(spark):
     """A third of all rows are copies of one posting: pairs are of sets, not of rows."""
     rnd = random.Random(2)
