@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postlode.functions.spans import after, around, let, spans
+from postlode.functions.text import marked
 
 DATE = r"(\d{1,2}\.\d{1,2}\.\d{4}|\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4})"
 #: The stronger demand first.
@@ -36,10 +37,14 @@ def language_level(text: Column, language: str = r"\b(?:german|deutsch)\w*", ahe
     return F.when(text.isNotNull(), best)
 
 
-def deadline(text: Column, marker: str = r"(?i)(?:deadline|apply by|bewerbungsfrist|bis zum)[^\d]{0,40}") -> Column:
+DEADLINE = r"(?i)(?:deadline|apply by|bewerbungsfrist|bis zum)[^\d]{0,40}"
+
+
+def deadline(text: Column, marker: str = DEADLINE) -> Column:
     """The date that follows a deadline marker, null without one."""
-    raw = F.nullif(F.regexp_extract(text, marker + DATE, 1), F.lit(""))
-    return F.coalesce(F.try_to_date(raw, "d.M.yyyy"), F.try_to_date(raw, "yyyy-MM-dd"), F.try_to_date(raw, "d/M/yyyy"))
+    found = F.regexp_extract(text, marker + DATE, 1)
+    raw = F.when(marked(text, ("deadline", "apply by", "bewerbungsfrist", "bis zum")), found) if marker == DEADLINE else found
+    return let(raw, lambda r: F.when(r != "", F.coalesce(F.try_to_date(r, "d.M.yyyy"), F.try_to_date(r, "yyyy-MM-dd"), F.try_to_date(r, "d/M/yyyy"))))
 
 
 def duration_months(text: Column) -> Column:

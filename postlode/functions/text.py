@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postlode.functions.spans import let
+
 #: Accented letters of the closed alphabet and what they fold to.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
@@ -28,6 +31,20 @@ def fold(c: Column) -> Column:
     return F.translate(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), ACCENTED, PLAIN)
 
 
+def marked(c: Column, *marks: Iterable[str]) -> Column:
+    """Whether a text has one of each of the marks (ASCII, in lower case) in any case; null has none.
+
+    A plain search, far cheaper than a pattern: what lacks the words that a
+    pattern (?i) or (?iU) needs can't match it. The letters are those that
+    (?iU) takes for ASCII ones.
+    """
+    odd, plain = "\u017f\u0131\u0130\u212a", "siik"
+    whole = F.coalesce(c, F.lit(""))
+    spelt = reduce(Column.__or__, [F.contains(whole, F.lit(x)) for x in odd])
+    low = F.lower(F.when(spelt, F.translate(whole, odd, plain)).otherwise(whole))
+    return let(low, lambda t: reduce(Column.__and__, [reduce(Column.__or__, [F.contains(t, F.lit(m)) for m in any_of]) for any_of in marks]))
+
+
 def tokens(c: Column) -> Column:
     return F.regexp_extract_all(fold(F.coalesce(c, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
 

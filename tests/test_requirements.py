@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postlode.functions import places, sentences
+from postlode.functions import extract, places, sentences
 from postlode.functions import requirements as req
 from postlode.operators import enrichment, lookups, tracker
 
@@ -190,3 +190,22 @@ def test_agreement_gates_and_rechecks(spark):
     df = spark.createDataFrame(rows, "t string, s string, at string")
     found = df.select(sentences.agreement_gate(F.col("t"))["state"].alias("gate"), sentences.needs_recheck(F.col("s"), F.col("at").cast("timestamp"), F.lit("2024-01-01 12:00:00").cast("timestamp")).alias("again")).collect()
     assert [tuple(r) for r in found] == [("university_signs", False), ("employer_agreement_only", True), (None, True), (None, True)]
+
+
+def test_texts_without_the_words_of_a_pattern_are_not_cut(spark, monkeypatch):
+    """The plain search ahead of the patterns changes no verdict, whatever the case of letters, and spares the cutting."""
+    bits = ["EU C\u0131t\u0130zens", "non", "3 year\u017f exper\u0131ence", "5 Jahre Erfahrung", "plus", "NATIVE SPEA\u212aER", "gültige Arbeitserlaubnis", "valid work permit", "if", "no v\u0130sa", "we offer relocation", "sponsor", "Wer\u212aſtudent", "intern", "MASTER'S degree", "Ph. D", "the\u017fis", "unbefristete", "Apply by 01.02.2024", "bis zum 2024-13-01", "hiwi", ". ", "! ", "\n", "senior"]
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice([None, "", rnd.choice(bits)]), rnd.choice([None, " ".join(rnd.choices(bits, k=rnd.randint(0, 7)))])) for i in range(600)]
+    table = spark.createDataFrame([*rows, *[(900 + i, None, b) for i, b in enumerate(bits)]], "id long, t string, d string")
+
+    def flags():
+        t, d = F.col("t"), F.col("d")
+        return table.select("id", req.is_student_role(t, d, F.lit(None).cast("string")), req.requires_master(t, d), req.requires_phd(t, d), req.requires_citizenship(d), req.requires_experience(d), req.requires_native(d), req.requires_permit(d), req.work_authorization(d), req.job_type(t, d), extract.deadline(d))
+
+    spared = sorted(map(tuple, flags().collect()), key=lambda r: r[0])
+    assert flags()._jdf.queryExecution().optimizedPlan().toString().lower().count("contains(") > 20
+    for module in (req, extract):
+        monkeypatch.setattr(module, "marked", lambda c, *marks: F.lit(True))
+    assert spared == sorted(map(tuple, flags().collect()), key=lambda r: r[0])
+    assert all(len({r[k] for r in spared}) > 1 for k in range(1, 11))
