@@ -24,6 +24,8 @@ from pyspark.sql.streaming import StatefulProcessor
 from postlode.operators.tracker import FOLLOWUP_DAYS, STATUS_EVENTS
 
 DAY_MS = 86_400_000
+#: Rows that a task holds while it sums up.
+MOST_HELD = 100_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -75,7 +77,7 @@ def summaries(rows: DataFrame, key: Sequence[str], at: str, summary: Summary, la
 
     due: the deadline has passed, and nothing came that moved it. Tasks
     summarise what they read before rows move, so a key that holds most rows
-    sends one row for each Arrow batch. State is held by buckets of keys, as
+    sends one row for each portion (see _combined). State is held by buckets of keys, as
     asking for each key on its own takes far longer than summing up. A stream
     keeps the number of buckets that it began with.
     """
@@ -88,19 +90,30 @@ def summaries(rows: DataFrame, key: Sequence[str], at: str, summary: Summary, la
     return few.groupBy("_bucket").transformWithState(_Summaries(key, summary), found, "Append", "eventTime")
 
 
-def _combined(batches: Iterator[pa.RecordBatch], key: list[str], at: str, summary: Summary) -> Iterator[pa.RecordBatch]:
+def _combined(batches: Iterator[pa.RecordBatch], key: list[str], at: str, summary: Summary, most: int = MOST_HELD) -> Iterator[pa.RecordBatch]:
+    """One row for each key of a task's rows; where more than `most` rows are left of them, for each such portion."""
+    held: list[pa.Table] = []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        if ranks := [(c, "ascending") for c in (*summary.order, *summary.carried)]:
-            table = table.take(pc.sort_indices(table, sort_keys=ranks, null_placement="at_start"))
-        table = table.append_column("_row", pa.array(range(table.num_rows), pa.int64()))
-        folds = {at: "max", **dict.fromkeys(summary.least, "min"), **dict.fromkeys(summary.most, "max"), **dict.fromkeys(summary.total, "sum")}
-        groups = table.group_by(key, use_threads=False).aggregate([("_row", "max"), *folds.items()])
-        last = table.take(groups["_row_max"])
-        columns = [groups[f"{c}_{folds[c]}"].cast(batch.schema.field(c).type) if c in folds else last[c] for c in batch.schema.names]
-        yield from pa.Table.from_arrays(columns, schema=batch.schema).to_batches()
+        if batch.num_rows:
+            held.append(_folded(pa.Table.from_batches([batch]), key, at, summary))
+        if sum(t.num_rows for t in held) > most:
+            held = [_folded(pa.concat_tables(held), key, at, summary)]
+            if held[0].num_rows > most // 2:
+                yield from held.pop().to_batches()
+    if held:
+        yield from _folded(pa.concat_tables(held), key, at, summary).to_batches()
+
+
+def _folded(table: pa.Table, key: list[str], at: str, summary: Summary) -> pa.Table:
+    schema = table.schema
+    if ranks := [(c, "ascending") for c in (*summary.order, *summary.carried)]:
+        table = table.take(pc.sort_indices(table, sort_keys=ranks, null_placement="at_start"))
+    table = table.append_column("_row", pa.array(range(table.num_rows), pa.int64()))
+    folds = {at: "max", **dict.fromkeys(summary.least, "min"), **dict.fromkeys(summary.most, "max"), **dict.fromkeys(summary.total, "sum")}
+    groups = table.group_by(key, use_threads=False).aggregate([("_row", "max"), *folds.items()])
+    last = table.take(groups["_row_max"])
+    columns = [groups[f"{c}_{folds[c]}"].cast(schema.field(c).type) if c in folds else last[c] for c in schema.names]
+    return pa.Table.from_arrays(columns, schema=schema)
 
 
 class _Summaries(StatefulProcessor):

@@ -109,6 +109,17 @@ def test_a_summary_is_the_same_in_any_portions(spark, seed):
     assert fold(few) == fold(rows)
 
 
+@pytest.mark.parametrize(("most", "rows"), [(1000, 10), (15, 100)])
+def test_batches_of_a_task_are_summed_up_together(spark, most, rows):
+    import pyarrow as pa
+
+    schema = pa.schema([("k", pa.int64()), ("at", pa.int64()), ("t", pa.int64())])
+    batches = [pa.RecordBatch.from_pylist([{"k": i % 10, "at": b, "t": 1} for i in range(30)], schema=schema) for b in range(20)]
+    few = [r for b in states._combined(iter(batches), ["k"], "at", states.Summary(total=("t",)), most=most) for r in b.to_pylist()]
+    sums = [sum(r["t"] for r in few if r["k"] == k) for k in range(10)]
+    assert sums == [60] * 10 and len(few) == rows
+
+
 def test_sessions_in_a_stream_are_those_of_a_batch(spark):
     apart = F.expr("make_interval(0, 0, 0, 0, 0, 0, pmod(xxhash64(message_id, ts), 1000))")  # no two exactly a gap apart
     rows = events(spark, 400, seed=8).where("job_id > 1").withColumn("ts", F.col("ts") + apart).cache()
