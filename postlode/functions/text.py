@@ -20,6 +20,10 @@ FUNCTION_WORDS = "a an and or of in on at to for from with your you my our the a
 #: Rules of our own for gender tags, and for marks of student work that count as one.
 GENDER_TAGS = r"\b(?:[mfwd](?:/[mfwd]){1,2}|mwd|x|[mw]/[mw]/div\.?|all genders?|any gender|alle geschlechter)\b"
 STUDENT_MARKERS = r"\b(?:werkstudent(?:en?|in)?|praktikant(?:en?|in)?|praktikums?|internships?|interns?)\b"
+#: Each match of GENDER_TAGS or STUDENT_MARKERS in a folded title has one of these.
+TAG_PARTS = ("/", "x", "mwd", "gender", "geschlechter", "intern", "praktik", "werkstudent")
+#: What `$` of a pattern takes for the end of a last line.
+LINE_ENDS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -51,7 +55,14 @@ def tokens(c: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """Without fragment, campaign parameters and closing slashes, in lower case; null is empty."""
-    u = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), "#.*$", "")
+    whole = F.trim(F.coalesce(url, F.lit("")))
+    # without a fragment, a query and a line's end there is nothing for the patterns to find but slashes
+    plain = ~F.contains(whole, F.lit("#")) & ~F.contains(whole, F.lit("?")) & ~F.right(whole, F.lit(1)).isin(*LINE_ENDS)
+    return F.when(plain, F.lower(F.rtrim(whole, F.lit("/")))).otherwise(_without_campaign(whole))
+
+
+def _without_campaign(url: Column) -> Column:
+    u = F.regexp_replace(url, "#.*$", "")
     query = F.regexp_replace(u, r"^[^?]*\??", "")
     kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).rlike("^utm_") & ~F.lower(F.substring_index(p, "=", 1)).isin(TRACKING))
     base = F.regexp_extract(u, r"^[^?]*", 0)
@@ -61,21 +72,25 @@ def canonical_url(url: Column) -> Column:
 
 def title_bag(title: Column) -> Column:
     """The distinct words of a title in order of the alphabet, without gender tags and function words."""
-    t = F.regexp_replace(fold(F.coalesce(title, F.lit(""))), GENDER_TAGS, " ")
-    t = F.regexp_replace(t, STUDENT_MARKERS, "working student")
-    found = F.regexp_extract_all(t, F.lit("[a-z0-9]+"), F.lit(0))
-    return F.array_join(F.array_sort(F.array_except(F.array_distinct(found), F.array(*map(F.lit, FUNCTION_WORDS)))), " ")
+    # the patterns run only on titles that have a part of what they look for
+    replaced = lambda t: F.regexp_replace(F.regexp_replace(t, GENDER_TAGS, " "), STUDENT_MARKERS, "working student")
+    marked = lambda t: reduce(Column.__or__, [F.contains(t, F.lit(x)) for x in TAG_PARTS])
+    plain = let(fold(F.coalesce(title, F.lit(""))), lambda t: F.when(marked(t), replaced(t)).otherwise(t))
+    found = F.regexp_extract_all(plain, F.lit("[a-z0-9]+"), F.lit(0))
+    return F.array_join(F.sort_array(F.filter(F.array_distinct(found), lambda w: ~w.isin(FUNCTION_WORDS))), " ")
 
 
 def place_key(location: Column) -> Column:
     """The first part of a place, folded, without a postal code."""
     first = F.substring_index(F.coalesce(location, F.lit("")), ",", 1)
-    return F.trim(F.regexp_replace(F.regexp_replace(fold(first), r"^\s*\d{4,5}\s+", ""), r"\s+", " "))
+    replaced = lambda f: F.regexp_replace(F.regexp_replace(f, r"^\s*\d{4,5}\s+", ""), r"\s+", " ")
+    # without digits and with single spaces alone the patterns change nothing
+    return let(fold(first), lambda f: F.trim(F.when((F.translate(f, "0123456789\t\n\x0b\f\r", "") != f) | F.contains(f, F.lit("  ")), replaced(f)).otherwise(f)))
 
 
 def identity(company: Column, noise: Iterable[str] = ("gmbh", "ag", "se", "inc", "ltd", "co", "kg", "group", "the")) -> Column:
     """The words that tell a company apart, sorted."""
-    return F.array_sort(F.array_except(F.array_distinct(tokens(company)), F.array(*map(F.lit, noise))))
+    return F.array_sort(F.filter(F.array_distinct(tokens(company)), lambda w: ~w.isin(list(noise))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

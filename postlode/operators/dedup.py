@@ -19,14 +19,43 @@ from pyspark.sql import functions as F
 
 from postlode.functions.keys import decoded_reference, reference, translated_bag
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
-from postlode.operators.cascade import fold_apart
+from postlode.operators.cascade import fold_apart, shared_keys
 from postlode.operators.components import components
 from postlode.operators.residents import RANK, bucket_fold
 from postlode.operators.running import running_sums
-from postlode.shared import arrow_schema, checkpointed, stored
+from postlode.shared import arrow_schema, checkpointed, drop_stored, stored, written
 
-#: What the fold needs of a row besides its keys.
-FOLD = ("_ord", "source", "has_description", "has_type", "posted_key")
+#: The tiers of keys, in order of candidate_keys().
+TIERS = ("external_id", "url", "company+title+location", "mirror", "company+title+location+translated", "reference")
+
+
+def key_parts() -> dict[str, Column]:
+    """What takes patterns to compute, and is named several times in keys."""
+    return {"_url": canonical_url(F.col("url")), "_bag": title_bag(F.col("title")), "_place": place_key(F.col("location"))}
+
+
+def key_columns(mirrored: Sequence[tuple[str, str]] = (), words: Mapping[str, str] | None = None, references: Mapping[str, bool] | None = None, made: Mapping[str, Column] | None = None) -> list[tuple[str, Column]]:
+    """(tier, key) for each key that a posting can have, the strongest first; null where it has none. made: columns that hold key_parts() already."""
+    company, source = F.trim(F.coalesce("company", F.lit(""))), F.trim(F.coalesce("source", F.lit("")))
+    url, bag, place = (made or key_parts()).values()
+    low = F.lower(company)
+    sep = F.lit("\x1f")
+    whole = lambda *parts: F.concat(*[x for p in parts for x in (p, sep)])
+    listed = F.lit(False)
+    for a, b in mirrored:
+        listed = listed | source.isin(a, b)
+    return [
+        ("external_id", F.when(F.col("external_id").isNotNull(), whole(company, source, F.trim("external_id"))).when(F.col("id").isNotNull(), whole(F.col("id").cast("string")))),
+        ("url", F.when(url != "", whole(company, url))),
+        ("company+title+location", F.when((low != "") & (bag != "") & (place != ""), whole(low, bag, place))),
+        *([("mirror", F.when(listed & (low != "") & (bag != ""), whole(low, bag)))] if mirrored else []),
+        *([("company+title+location+translated", F.when((low != "") & (place != ""), whole(low, F.nullif(translated_bag(F.col("title"), words), F.lit("")), place)))] if words else []),
+        *[("reference", F.when(source == name, whole((decoded_reference if encoded else reference)(F.col("external_id"))))) for name, encoded in (references or {}).items()],
+    ]
+
+
+def _listed(columns: Sequence[tuple[str, Column]]) -> Column:
+    return F.array_compact(F.array(*[F.when(key.isNotNull(), F.struct(F.lit(tier).alias("tier"), key.alias("key"))) for tier, key in columns]))
 
 
 def candidate_keys(mirrored: Sequence[tuple[str, str]] = (), words: Mapping[str, str] | None = None, references: Mapping[str, bool] | None = None) -> Column:
@@ -37,22 +66,24 @@ def candidate_keys(mirrored: Sequence[tuple[str, str]] = (), words: Mapping[str,
     under which titles of two languages meet. references: sources whose ids are
     references that other feeds repeat, and whether theirs are encoded.
     """
-    company, source, url = F.trim(F.coalesce("company", F.lit(""))), F.trim(F.coalesce("source", F.lit(""))), canonical_url(F.col("url"))
-    bag, place, low = title_bag(F.col("title")), place_key(F.col("location")), F.lower(F.trim(F.coalesce("company", F.lit(""))))
-    sep = F.lit("\x1f")
-    whole = lambda parts: F.concat(*[x for p in parts for x in (p, sep)])
-    of = lambda tier, *parts: F.when(whole(parts).isNotNull(), F.struct(F.lit(tier).alias("tier"), whole(parts).alias("key")))
-    listed = F.lit(False)
-    for a, b in mirrored:
-        listed = listed | source.isin(a, b)
-    return F.array_compact(F.array(
-        F.when(F.col("external_id").isNotNull(), of("external_id", company, source, F.trim("external_id"))).otherwise(F.when(F.col("id").isNotNull(), of("external_id", F.col("id").cast("string")))),
-        F.when(url != "", of("url", company, url)),
-        F.when((low != "") & (bag != "") & (place != ""), of("company+title+location", low, bag, place)),
-        F.when(listed & (low != "") & (bag != ""), of("mirror", low, bag)),
-        *([F.when((low != "") & (place != ""), of("company+title+location+translated", low, F.nullif(translated_bag(F.col("title"), words), F.lit("")), place))] if words else []),
-        *[F.when(source == name, of("reference", (decoded_reference if encoded else reference)(F.col("external_id")))) for name, encoded in (references or {}).items()],
-    ))
+    return _listed(key_columns(mirrored, words, references))
+
+
+def keyed_rows(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = (), **others: Column) -> DataFrame:
+    """(_ord, others, a column for each tier of key), written once; each part of a key is computed once a row."""
+    parts = key_parts()
+    keys = key_columns(mirrored, made={c: F.col(c) for c in parts})
+    return stored(rows.withColumns(parts).select("_ord", *[c.alias(n) for n, c in others.items()], *[c.alias(tier) for tier, c in keys]), "keyed")
+
+
+def _tiers(keyed: DataFrame) -> list[tuple[str, Column]]:
+    return [(t, F.col(f"`{t}`")) for t in keyed.columns if t in TIERS]
+
+
+def flat_keys(keyed: DataFrame) -> DataFrame:
+    """(_ord, i, tier, key, digest): a row for each key of keyed_rows(); keys are told apart by hashes of 96 bits, tiers are places in TIERS."""
+    rows = [F.struct(F.lit(i).alias("i"), F.lit(TIERS.index(t)).cast("tinyint").alias("tier"), F.xxhash64(key).alias("key"), F.hash(key).alias("digest"), key.isNotNull().alias("_is")) for i, (t, key) in enumerate(_tiers(keyed))]
+    return keyed.select("_ord", F.inline(F.array(*rows))).where("_is").drop("_is")
 
 
 def posted_key(at: Column) -> Column:
@@ -96,16 +127,16 @@ def fold(rows: list[dict], mirrored: frozenset[frozenset[str]] = frozenset()) ->
 
 
 def key_edges(keyed: DataFrame) -> DataFrame:
-    """(a, b): each row beside the first row of each key that it shares; keyed: (_ord, keys)."""
-    flat = keyed.select("_ord", F.explode("keys").alias("k")).select("_ord", "k.key")
-    shared = flat.groupBy("key").agg(F.min("_ord").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return flat.join(shared.hint("merge"), "key").where("_ord <> first").select(F.col("first").alias("a"), F.col("_ord").alias("b"))
+    """(a, b): each row beside the first row of each key that it shares; keyed: as keyed_rows() has it."""
+    return shared_keys(flat_keys(keyed)).where("least < _ord").select(F.col("least").alias("a"), F.col("_ord").alias("b"))
 
 
 def component_sizes(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """(size, components): how many rows keys connect, and how often; look at it before a cascade with mirrored sources."""
-    keyed = stored(rows.select("_ord", candidate_keys(mirrored).alias("keys")), "keyed")
+    with written() as paths:
+        keyed = keyed_rows(rows, mirrored)
     found = components(key_edges(keyed))
+    drop_stored(rows.sparkSession, paths)
     return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("components"))
 
 
@@ -119,20 +150,22 @@ def cascade(rows: DataFrame, mirrored: Sequence[tuple[str, str]] = (), most_roun
     task; only what keys of mirrored sources connect does.
     """
     known = {"has_description": F.coalesce(F.col("description"), F.lit("")) != "", "has_type": F.coalesce(F.col("employment_type"), F.lit("")) != ""}
-    posted = posted_key(F.col("posted_at"))
-    # the keys take many regular expressions, so rows with them are written once
-    keyed = stored(rows.select("_ord", "source", *[c.alias(n) for n, c in known.items()], posted.alias("posted_key"), candidate_keys(mirrored).alias("keys")), "keyed")
-    flat = keyed.select("_ord", F.posexplode("keys").alias("i", "k")).select("_ord", "i", "k.*")
-    often = flat.groupBy("key").agg(F.count_distinct("_ord").alias("n")).where("n > 1").select("key")
-    shared = checkpointed(flat.join(often.hint("merge"), "key", "left_semi"))
+    with written() as paths:
+        keyed = keyed_rows(rows, mirrored, source=F.col("source"), posted_key=posted_key(F.col("posted_at")), **known)
+    flat = flat_keys(keyed)
+    named = lambda lost: lost.withColumn("tier", F.get(F.array(*map(F.lit, TIERS)), F.col("tier").cast("int")))
     if not mirrored:
-        return fold_apart(keyed, shared, most_rounds)
+        found = named(fold_apart(keyed, flat, most_rounds))
+        drop_stored(rows.sparkSession, paths)
+        return found
     # whether a mirror key counts depends on who holds it, so what such keys connect is replayed whole
+    shared = stored(shared_keys(flat).drop("least"), "shared")
     groups = components(key_edges(keyed))
-    bound = shared.where("tier = 'mirror'").join(groups.hint("merge"), F.col("_ord") == F.col("node")).select("component").distinct()
+    bound = shared.where(F.col("tier") == TIERS.index("mirror")).join(groups.hint("merge"), F.col("_ord") == F.col("node")).select("component").distinct()
     groups = checkpointed(groups.join(bound.hint("merge"), "component", "left_semi"))
     free = shared.join(groups.hint("merge"), F.col("_ord") == F.col("node"), "left_anti")
-    return _replayed(keyed.join(groups.hint("merge"), F.col("_ord") == F.col("node")).drop("node"), mirrored).unionByName(fold_apart(keyed, free, most_rounds))
+    whole = keyed.select("_ord", "source", "has_description", "has_type", "posted_key", _listed(_tiers(keyed)).alias("keys"))
+    return _replayed(whole.join(groups.hint("merge"), F.col("_ord") == F.col("node")).drop("node"), mirrored).unionByName(named(fold_apart(keyed, free, most_rounds)))
 
 
 def _replayed(grouped: DataFrame, mirrored: Sequence[tuple[str, str]]) -> DataFrame:
