@@ -21,7 +21,7 @@ from postlode.functions.keys import decoded_reference, reference, translated_bag
 from postlode.functions.text import canonical_url, identity, place_key, title_bag
 from postlode.operators.cascade import fold_apart, shared_keys
 from postlode.operators.components import components
-from postlode.operators.residents import RANK, bucket_fold
+from postlode.operators.residents import RANK, bucket_fold, in_ranges, whole_buckets
 from postlode.operators.running import running_sums
 from postlode.shared import arrow_schema, checkpointed, drop_stored, stored, written
 
@@ -233,22 +233,32 @@ def cross_source(rows: DataFrame, bulk_prefix: str = "bulk:", most_rows: int = 5
     without a place, title or company are left alone; rows without a source go
     with others, but none goes with them.
     """
-    keys, kind = ["_place", "_title", "_who"], ["source", "country"]
+    keys, kind = ["_key", "_digest"], ["source", "country"]
     filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    made = rows.select(
-        place_key(F.col("location")).alias("_place"), title_bag(F.col("title")).alias("_title"), F.array_join(identity(F.col("company")), " ").alias("_who"), F.trim(F.coalesce("source", F.lit(""))).alias("source"), F.lower(F.coalesce("country_iso", F.lit(""))).alias("country"),
-        F.coalesce(F.startswith("source", F.lit(bulk_prefix)), F.lit(False)).alias("bulk"), filled("description").alias("described"), filled("employment_type").alias("typed"), posted_key(F.col("posted_at")).alias("posted"), "_ord",
-    ).where(" AND ".join(f"{k} <> ''" for k in keys))
-    # keys take many regular expressions, so rows with them are written once
-    made = stored(made, "sources")
-    rank = F.struct(*RANK)
-    kinds = made.groupBy(*keys, *kind).agg(F.min("_ord").alias("_ord"), F.min(rank).alias("least"), F.max(rank).alias("most"))
-    mixed = kinds.groupBy(*keys).agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b").select(*keys, ((F.col("least") != F.col("most")) | (F.col("a") == "")).alias("_mixed"))
-    alike = kinds.join(mixed.where("NOT _mixed").hint("merge"), keys, "left_semi").select(*keys, *kind, "least.*", "_ord")
-    # a kind whose first row goes has each of its rows go with the same winner
-    lost = kinds.join(bucket_fold(alike, keys, most_rows).withColumnRenamed("loser", "_ord").hint("merge"), "_ord").select(*keys, *kind, "winner")
-    plain = made.join(lost.hint("merge"), [*keys, *kind]).select(F.col("_ord").alias("loser"), "winner")
-    return plain.unionByName(bucket_fold(made.join(mixed.where("_mixed").hint("merge"), keys, "left_semi"), keys, most_rows))
+    parts = {"_at": place_key(F.col("location")), "_title": title_bag(F.col("title")), "_who": F.array_join(identity(F.col("company")), " ")}
+    whole, told = F.concat_ws("\x1f", *parts), (F.col("_at") != "") & (F.col("_title") != "") & (F.col("_who") != "")
+    with written() as paths:
+        # keys take many regular expressions, so rows are written once, with hashes of 96 bits for them
+        made = stored(rows.withColumns(parts).select(
+            F.when(told, F.xxhash64(whole)).alias("_key"), F.hash(whole).alias("_digest"), F.trim(F.coalesce("source", F.lit(""))).alias("source"), F.lower(F.coalesce("country_iso", F.lit(""))).alias("country"),
+            F.coalesce(F.startswith("source", F.lit(bulk_prefix)), F.lit(False)).alias("bulk"), filled("description").alias("described"), filled("employment_type").alias("typed"), posted_key(F.col("posted_at")).alias("posted"), "_ord",
+        ), "sources").where("_key IS NOT NULL")
+        # numbers stand for ranks and sources, as those that hashes keep together need no sort
+        rank, source = F.xxhash64(*RANK), F.xxhash64("source")
+        buckets = made.groupBy(*keys).agg(F.min(rank).alias("least"), F.max(rank).alias("most"), F.min(source).alias("a"), F.max(source).alias("b"), F.max((F.col("source") == "").cast("int")).alias("none"), F.count("*").alias("_n"))
+        buckets = buckets.where("a <> b").select(*keys, ((F.col("least") != F.col("most")) | (F.col("none") == 1)).alias("_mixed"), "_n")
+        # written first, so that both sides of the join are shuffled and Spark can split the rows of a large bucket
+        buckets = stored(buckets, "buckets")
+        met = stored(made.join(buckets.hint("merge"), keys), "met")
+    drop_stored(rows.sparkSession, paths[:2])
+    mixed, same = met.where("_mixed"), met.where("NOT _mixed")
+    # a kind whose first row goes has each of its rows go with the same winner; where all rank alike, any rank will do
+    alike = same.groupBy(*keys, *kind).agg(F.min("_ord").alias("_ord")).select("*", *[F.lit("" if c == "posted" else False).alias(c) for c in RANK])
+    lost = alike.join(bucket_fold(alike, keys, most_rows).withColumnRenamed("loser", "_ord").hint("merge"), "_ord").select(*keys, *kind, "winner")
+    plain = same.join(lost.hint("merge"), [*keys, *kind]).select(F.col("_ord").alias("loser"), "winner")
+    found = plain.unionByName(whole_buckets(mixed.where(F.col("_n") <= most_rows), keys))
+    large = mixed.where(F.col("_n") > most_rows)
+    return found if large.isEmpty() else found.unionByName(in_ranges(large, keys, most_rows))
 
 
 def wildcard_pairs(rows: DataFrame, anywhere: Column) -> DataFrame:

@@ -16,17 +16,32 @@ from collections import Counter, deque
 from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlode.operators.running import running_sums
-from postlode.shared import arrow_schema, checkpointed, drop_stored, stored, written
+from postlode.shared import arrow_schema, drop_stored, stored, written
 
 KIND = ("source", "country")
 RANK = ("bulk", "described", "typed", "posted")
 
 
+#: Rows of a bucket up to which its residents are looked through one by one.
+FEW = 64
+
+
+def takes_over(new: tuple, other: tuple) -> bool:
+    """Of two (bulk, described, typed, posted): a bulk row beats others; then a trait that the other lacks counts, then the earlier date. Not an order: two rows can each beat the other."""
+    if new[0] != other[0]:
+        return new[0]
+    if new[1] > other[1] or new[2] > other[2]:
+        return True
+    return new[:3] == other[:3] and new[3] < other[3]
+
+
 class Rank(NamedTuple):
     """What decides between two rows that meet."""
 
@@ -36,12 +51,26 @@ class Rank(NamedTuple):
     posted: str
 
     def takes_over(self, other: Rank) -> bool:
-        """A bulk row beats others; then a trait that the other lacks counts, then the earlier date. Not an order: two rows can each beat the other."""
-        if self.bulk != other.bulk:
-            return self.bulk
-        if self.described > other.described or self.typed > other.typed:
-            return True
-        return self[:3] == other[:3] and self.posted < other.posted
+        return takes_over(self, other)
+
+
+def of_few(rows: Sequence[tuple]) -> list[tuple]:
+    """(loser, winner) of the rows (row, source, country, rank) of one small bucket, as Residents has them."""
+    lost, residents = [], []
+    for new in rows:
+        row, source, country, rank = new
+        for at, (other, theirs, place, held) in enumerate(residents):
+            if theirs and theirs != source and (not country or not place or place == country):
+                if takes_over(rank, held):
+                    del residents[at]
+                    residents.append(new)
+                    lost.append((other, row))
+                else:
+                    lost.append((row, other))
+                break
+        else:
+            residents.append(new)
+    return lost
 
 
 class Residents:
@@ -83,33 +112,53 @@ def bucket_fold(rows: DataFrame, keys: Sequence[str], most_rows: int = 50_000) -
     most_rows is gone through by one task, as one of many that it sorts; larger
     ones are cut into ranges of that many rows. Rows are read several times.
     """
-    large = checkpointed(rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most_rows).select(*keys))
+    large = stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most_rows).select(*keys), "large")
     if large.isEmpty():
-        return _whole(rows, keys)
-    return _whole(rows.join(large, list(keys), "left_anti"), keys).unionByName(_in_ranges(rows.join(large, list(keys), "left_semi"), keys, most_rows))
+        return whole_buckets(rows, keys)
+    return whole_buckets(rows.join(large.hint("merge"), list(keys), "left_anti"), keys).unionByName(in_ranges(rows.join(large.hint("merge"), list(keys), "left_semi"), keys, most_rows))
 
 
-def _whole(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def whole_buckets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The fold of buckets that one task each goes through."""
     kind = rows.schema["_ord"].dataType.simpleString()
     schema = f"loser {kind}, winner {kind}"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, residents = None, Residents()
+        last, few, many = None, [], None
         for batch in batches:
-            removed = []
-            for row, source, country, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rank, key = Rank(*values[:4]), values[4:]
-                if key != bucket:
-                    bucket, residents = key, Residents()
-                if (found := residents.meet(source, country, row, rank)) is not None:
+            if not batch.num_rows:
+                continue
+            own = batch.select(list(keys))
+            begins = np.zeros(batch.num_rows, bool)
+            begins[0] = own.slice(0, 1).to_pylist() != last
+            for c in own.columns:
+                begins[1:] |= pc.not_equal(c.slice(1), c.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            last, removed = own.slice(batch.num_rows - 1).to_pylist(), []
+            order, source, country, *rank = (batch.column(c).to_pylist() for c in ("_ord", *KIND, *RANK))
+            for begun, *row in zip(begins.tolist(), order, source, country, zip(*rank, strict=True), strict=True):
+                if begun:
+                    removed += of_few(few)
+                    few, many = [], None
+                if many is None:
+                    few.append(row)
+                    if len(few) > FEW:
+                        many = Residents()
+                        removed += [x for i, s, c, r in few if (x := many.meet(s, c, i, Rank(*r))) is not None]
+                        few = []
+                elif (found := many.meet(row[1], row[2], row[0], Rank(*row[3]))) is not None:
                     removed.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in removed], out.field(i).type) for i in range(2)], schema=out)
+            yield _pairs(removed, out)
+        yield _pairs(of_few(few), out)
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, "_ord").select("_ord", *KIND, *RANK, *keys).mapInArrow(run, schema)
 
 
-def _in_ranges(rows: DataFrame, keys: Sequence[str], most_rows: int) -> DataFrame:
+def _pairs(pairs: list[tuple], out: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], out.field(i).type) for i in range(2)], schema=out)
+
+
+def in_ranges(rows: DataFrame, keys: Sequence[str], most_rows: int) -> DataFrame:
     """The fold of buckets of any size, by ranges of most_rows rows.
 
     Each pass replays the ranges whose first residents have changed. A pass

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlode import shared
+from postlode.catalogue import on_dedup
 from postlode.functions.text import FUNCTION_WORDS, GENDER_TAGS, STUDENT_MARKERS, TRACKING, canonical_url, fold, identity, place_key, title_bag
-from postlode.operators import cascade, dedup
+from postlode.operators import cascade, dedup, residents
 
 SHARED = pa.schema([("key", pa.string()), ("_ord", pa.int64()), ("i", pa.int32()), ("tier", pa.int8()), ("least", pa.int64()), ("at_edge", pa.int32())])
 FOLDED = pa.schema([("loser", pa.int64()), ("winner", pa.int64()), ("tier", pa.int8()), ("founder", pa.int64()), ("has_description", pa.bool_()), ("has_type", pa.bool_()), ("posted_key", pa.string())])
@@ -123,3 +124,21 @@ def test_a_key_counts_whatever_its_column(spark):
     flat = dedup.flat_keys(dedup.keyed_rows(rows))
     assert sorted((r._ord, dedup.TIERS[r.tier]) for r in flat.collect()) == sorted((o, t) for o, keys in listed.items() for t, _ in keys)
     assert flat.select("key", "digest").distinct().count() == len({k for keys in listed.values() for _, k in keys})
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_few_residents_equal_queues_of_many(seed):
+    rnd = random.Random(seed)
+    rows = [(n, rnd.choice(["", "a", "b", "c"]), rnd.choice(["", "de", "fr"]), (rnd.random() < 0.2, rnd.random() < 0.5, rnd.random() < 0.5, str(rnd.randint(0, 3)))) for n in range(60)]
+    queues = residents.Residents()
+    expected = [x for n, s, c, r in rows if (x := queues.meet(s, c, n, residents.Rank(*r))) is not None]
+    assert residents.of_few(rows) == expected and len(expected) > 20
+
+
+def test_cross_source_sorts_nothing_to_add_it_up(spark, monkeypatch):
+    seen, plan = [], lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for module in (dedup, residents):
+        monkeypatch.setattr(module, "stored", lambda df, name: (seen.append(plan(df)), shared.stored(df, name))[1])
+    found = dedup.cross_source(on_dedup.block(spark, "/root/testdata/sf0.001", on_dedup.SOURCES))
+    assert len(seen) > 2 and not [p for p in [*seen, plan(found)] if "SortAggregate" in p]
+    assert sum(p.count("RegExpReplace") + p.count("regexp_replace") for p in seen[1:]) == 0
