@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postlode import shared
 from postlode.catalogue import on_dedup
 from postlode.functions.text import FUNCTION_WORDS, GENDER_TAGS, STUDENT_MARKERS, TRACKING, canonical_url, fold, identity, place_key, title_bag
-from postlode.operators import cascade, dedup, residents
+from postlode.operators import cascade, dedup, lookups, residents, setjoin
 
 SHARED = pa.schema([("key", pa.string()), ("_ord", pa.int64()), ("i", pa.int32()), ("tier", pa.int8()), ("least", pa.int64()), ("at_edge", pa.int32())])
 FOLDED = pa.schema([("loser", pa.int64()), ("winner", pa.int64()), ("tier", pa.int8()), ("founder", pa.int64()), ("has_description", pa.bool_()), ("has_type", pa.bool_()), ("posted_key", pa.string())])
@@ -142,3 +142,33 @@ def test_cross_source_sorts_nothing_to_add_it_up(spark, monkeypatch):
     found = dedup.cross_source(on_dedup.block(spark, "/root/testdata/sf0.001", on_dedup.SOURCES))
     assert len(seen) > 2 and not [p for p in [*seen, plan(found)] if "SortAggregate" in p]
     assert sum(p.count("RegExpReplace") + p.count("regexp_replace") for p in seen[1:]) == 0
+
+
+def test_rounds_of_blocks_move_a_bounded_part(spark, monkeypatch):
+    rnd, moved, dealt = random.Random(2), [], setjoin._dealt
+    made = lambda n: [(i, rnd.choice(["hot", "hot", "b"]), sorted({f"w{int(30 * rnd.random() ** 2)}" for _ in range(rnd.randint(0, 8))})) for i in range(n)]
+    left, right = made(90), made(120)
+    total = sum(len(x[2]) for x in left + right)
+    words = lambda df: df.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first().n
+
+    def watched(*args):
+        for x, y in dealt(*args):
+            moved.append(words(x) + words(y))
+            yield x, y
+
+    monkeypatch.setattr(setjoin, "_dealt", watched)
+    tables = [spark.createDataFrame(x, "key long, g string, words array<string>").repartition(3) for x in (left, right)]
+    pairs = setjoin.similar_sets(*tables, 0.5, within=("g",), most=(40, 40, 40), most_moved=1)
+    expected = [(i, j, len(set(a) & set(b))) for i, g, a in left for j, h, b in right if g == h and (2 * len(set(a) & set(b)) >= len(set(a) | set(b)))]
+    assert sorted(map(tuple, pairs.collect())) == sorted(expected) and len(expected) > 40
+    assert len(moved) > 2 and max(moved) < 2 * total < sum(moved)
+
+
+def test_twins_drop_words_before_sets_meet(spark, monkeypatch):
+    seen, own = [], setjoin.similar_hashed
+    rows = [(1, "agg.de", "t", "de", ["a", "b"]), (2, "x.de", "t", "de", ["a", "b", "c"]), (3, "agg.de", "t", "de", ["z"])]
+    with shared.written() as paths:
+        monkeypatch.setattr(lookups, "similar_hashed", lambda *x: (seen.extend(p for p in paths if p in shared.WRITTEN), own(*x))[1])
+        found = lookups.official_twins(spark.createDataFrame(rows, "id long, host string, bag string, country_iso string, words array<string>"), ("agg.de",))
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+    assert sorted(p.split("postlode-")[1].split("-")[0] for p in seen) == ["ids", "sets", "sets"]
