@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postlode import shared
 from postlode.catalogue import on_dedup
 from postlode.functions.text import FUNCTION_WORDS, GENDER_TAGS, STUDENT_MARKERS, TRACKING, canonical_url, fold, identity, place_key, title_bag
-from postlode.operators import cascade, dedup, lookups, residents, setjoin
+from postlode.operators import cascade, components, dedup, lookups, residents, setjoin
 
 SHARED = pa.schema([("key", pa.string()), ("_ord", pa.int64()), ("i", pa.int32()), ("tier", pa.int8()), ("least", pa.int64()), ("at_edge", pa.int32())])
 FOLDED = pa.schema([("loser", pa.int64()), ("winner", pa.int64()), ("tier", pa.int8()), ("founder", pa.int64()), ("has_description", pa.bool_()), ("has_type", pa.bool_()), ("posted_key", pa.string())])
@@ -172,3 +172,15 @@ def test_twins_drop_words_before_sets_meet(spark, monkeypatch):
         found = lookups.official_twins(spark.createDataFrame(rows, "id long, host string, bag string, country_iso string, words array<string>"), ("agg.de",))
     assert [tuple(r) for r in found.collect()] == [(1, 2)]
     assert sorted(p.split("postlode-")[1].split("-")[0] for p in seen) == ["ids", "sets", "sets"]
+
+
+def test_components_compute_edges_once_and_leave_one_table(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(components, "stored", lambda df, name: (seen.append(df._jdf.queryExecution().executedPlan().toString()), shared.stored(df, name))[1])
+    edges = spark.createDataFrame([(n, n + 1) for n in range(0, 40, 2)] + [(3, 8), (5, 5)], "a long, b long")
+    with shared.written() as paths:
+        found = components.components(edges)
+    expected = {n: n // 2 * 2 for n in range(42) if n < 40} | {8: 2, 9: 2}
+    assert {r.node: r.component for r in found.collect()} == expected
+    assert len(seen) > 3 and not [p for p in seen if "Union" in p]
+    assert len([p for p in paths if p in shared.WRITTEN]) == 1
