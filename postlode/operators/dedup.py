@@ -196,7 +196,7 @@ def _removed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def survivors(rows: DataFrame, removed: DataFrame) -> DataFrame:
-    return rows.join(removed.select(F.col("loser").alias("_ord")).distinct().hint("merge"), "_ord", "left_anti")
+    return rows.join(removed.select(F.col("loser").alias("_ord")).hint("merge"), "_ord", "left_anti")
 
 
 def mirrors(rows: DataFrame, german: str = r"(?iU)\b(?:der|die|das|und|praktik\w+|werkstudent\w*)\b", english: str = r"(?iU)\b(?:the|and|intern\w*|working student)\b") -> DataFrame:

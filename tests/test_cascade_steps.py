@@ -184,3 +184,17 @@ def test_components_compute_edges_once_and_leave_one_table(spark, monkeypatch):
     assert {r.node: r.component for r in found.collect()} == expected
     assert len(seen) > 3 and not [p for p in seen if "Union" in p]
     assert len([p for p in paths if p in shared.WRITTEN]) == 1
+
+
+def test_survivors_add_nothing_up(spark):
+    rows = on_dedup.block(spark, "/root/testdata/sf0.001", on_dedup.CASCADE)
+    removed = spark.createDataFrame([(0, 1)], "loser long, winner long")
+    assert "Aggregate" not in dedup.survivors(rows, removed)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cascade_leaves_only_what_its_result_reads(spark):
+    with shared.written() as paths:
+        removed = dedup.cascade(on_dedup.block(spark, "/root/testdata/sf0.001", on_dedup.CASCADE))
+    left = [p.rsplit("/", 1)[-1] for p in paths if p in shared.WRITTEN]
+    assert removed.count() == 5 * spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert sum(p.startswith("postlode-") for p in left) == 1 and len(left) <= 3
